@@ -1,0 +1,22 @@
+"""Broadcast only what provably fits.
+
+A broadcast hint is attached only after a bounded count shows the relation
+has at most ``max_rows`` rows: ``limit(max_rows + 1).count()`` stops once
+the bound is passed, so the check never scans more than the bound.  Above
+the bound the plain DataFrame is returned; Spark then plans a shuffle join
+and, with AQE, may still switch to a broadcast from measured shuffle sizes
+(``spark.sql.adaptive.autoBroadcastJoinThreshold``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df

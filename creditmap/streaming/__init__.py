@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference has no streaming construct (no stream source, watermark,
+event-time window or state): both scripts are batch reports over stored
+facts, and their point-in-time logic is batch joins on stored dates.
+Nothing is built here; the batch plans accept any DataFrame, so a caller
+may run them inside ``foreachBatch`` without code in this package.
+"""
