@@ -61,6 +61,7 @@ class Sources:
         self._tables = dict(tables)
         self._small: dict[str, DataFrame] = {}
         self.broadcast_max_rows = broadcast_max_rows
+        self.sf_dir: str | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         try:
@@ -79,6 +80,7 @@ class Sources:
 
     def with_table(self, name: str, df: DataFrame) -> "Sources":
         out = Sources(self.spark, {**self._tables, name: df}, self.broadcast_max_rows)
+        out.sf_dir = self.sf_dir
         return out
 
     @classmethod
