@@ -414,10 +414,19 @@ def _q_sales_assets(src, cfg):
 
 # ---- driver-facing wrappers --------------------------------------------------------
 
+_SOURCES: dict[tuple, Sources] = {}
+
+
 def sources_for(spark: SparkSession, sf_dir: str, cfg: AttributionConfig) -> Sources:
-    src = testdata_sources(spark, sf_dir, cfg.broadcast_max_rows)
-    src.sf_dir = sf_dir.rstrip("/")
-    return src
+    """The adapter registry for ``sf_dir``; built once per session (the
+    DataFrames are lazy plans, so sharing them only shares file listings
+    and the broadcast size checks)."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), cfg.broadcast_max_rows)
+    if key not in _SOURCES:
+        src = testdata_sources(spark, sf_dir, cfg.broadcast_max_rows)
+        src.sf_dir = sf_dir.rstrip("/")
+        _SOURCES[key] = src
+    return _SOURCES[key]
 
 
 def build(name: str, spark: SparkSession, sf_dir: str, cfg: AttributionConfig | None = None) -> DataFrame:

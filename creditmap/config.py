@@ -75,7 +75,7 @@ class AttributionConfig:
     as_of: str | _dt.date | None = "latest"
     # Largest row count of a reference table that may be broadcast; the
     # check is a bounded count, beyond it Spark plans a shuffle join.
-    broadcast_max_rows: int = 2_000_000
+    broadcast_max_rows: int = 1_000_000
     # Raise (as T-SQL does) when RIGHT(code, LEN(code)-4) gets a code shorter
     # than 4; otherwise yield '' like Spark's right().
     strict_right: bool = False

@@ -68,13 +68,13 @@ MS_FINE_KEYS = [
 def market_share_fine(src: Sources, cfg: AttributionConfig, as_of) -> DataFrame:
     """Market-share fact at the common grain of stages 1-3, with its route."""
     dims = _branch_dims(src, "inner")
-    dims = dims.select(
+    dims = src.bounded("market_share_branch_dims", dims.select(
         "*",
         F.explode(_routes([
             (MS_BRANCH, P.firm_kept("Firm_Name", "Dealer_Branch_CD", cfg)),
             (MS_REP, P.rep_level_daily("MLI_Dealer_Code", "Dealer_Branch_CD", cfg)),
         ])).alias(ROUTE),
-    )
+    ))
     fact = snapshot(src[R.MARKET_SHARE], "Reporting_Date", as_of).select(
         "Dealer_Branch_ID", "Reporting_Date", "Rank_Group", "Industry_Shares_Amount", "Industry_Asset_Amount"
     )
@@ -139,11 +139,8 @@ def holdings_dims(src: Sources, cfg: AttributionConfig) -> DataFrame:
     hold = src[R.HOLDINGS].select("Holdings_ID", "Account_ID", "Dealer_Branch_ID", "Product_ID")
     acct = src[R.ACCOUNT].select("Account_ID", "Account_Postal_CD", "Account_Type_TA_CD")
     prod = src.small(R.ETF_PRODUCT).select("Product_ID", "Product_CUSIP")
-    dims = (
-        hold.join(acct, "Account_ID")
-        .join(_branch_dims(src, "left"), "Dealer_Branch_ID")
-        .join(prod, "Product_ID")
-    )
+    branch = src.bounded("sales_branch_dims", _branch_dims(src, "left"))
+    dims = hold.join(acct, "Account_ID").join(branch, "Dealer_Branch_ID").join(prod, "Product_ID")
     return dims.select(
         "Holdings_ID", "Firm_ID", "Firm_Name", "MLI_Dealer_Code", "Office_Postal_CD", "Account_Postal_CD",
         "Office_Type", "Dealer_Branch_CD", "Account_Type_TA_CD", "Product_CUSIP",

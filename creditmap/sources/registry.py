@@ -12,7 +12,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.broadcast import broadcast_if_bounded
+from pyspark.sql import functions as F
+
+from ..operators.broadcast import broadcast_if_bounded, row_count_at_most
 
 # Vendor (ETF intelligence) tables
 MARKET_SHARE = "ETF_MARKET_SHARE_FACT"
@@ -60,6 +62,7 @@ class Sources:
         self.spark = spark
         self._tables = dict(tables)
         self._small: dict[str, DataFrame] = {}
+        self._fits: dict[str, bool] = {}
         self.broadcast_max_rows = broadcast_max_rows
         self.sf_dir: str | None = None
 
@@ -78,20 +81,27 @@ class Sources:
             self._small[name] = broadcast_if_bounded(self[name], self.broadcast_max_rows)
         return self._small[name]
 
+    def bounded(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` (a relation derived from small tables) with a broadcast hint
+        when it provably fits.  The size check runs once per ``name``."""
+        if name not in self._fits:
+            self._fits[name] = row_count_at_most(df, self.broadcast_max_rows)
+        return F.broadcast(df) if self._fits[name] else df
+
     def with_table(self, name: str, df: DataFrame) -> "Sources":
         out = Sources(self.spark, {**self._tables, name: df}, self.broadcast_max_rows)
         out.sf_dir = self.sf_dir
         return out
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, root: str, broadcast_max_rows: int = 2_000_000,
+    def from_parquet(cls, spark: SparkSession, root: str, broadcast_max_rows: int = 1_000_000,
                      names=ALL_TABLES) -> "Sources":
         """One parquet dataset per logical table under ``root``."""
         tables = {n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names}
         return cls(spark, tables, broadcast_max_rows)
 
     @classmethod
-    def from_catalog(cls, spark: SparkSession, database: str, broadcast_max_rows: int = 2_000_000,
+    def from_catalog(cls, spark: SparkSession, database: str, broadcast_max_rows: int = 1_000_000,
                      names=ALL_TABLES) -> "Sources":
         tables = {n: spark.table(f"{database}.{n}") for n in names}
         return cls(spark, tables, broadcast_max_rows)

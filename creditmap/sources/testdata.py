@@ -267,5 +267,5 @@ def build(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return out
 
 
-def testdata_sources(spark: SparkSession, sf_dir: str, broadcast_max_rows: int = 2_000_000) -> Sources:
+def testdata_sources(spark: SparkSession, sf_dir: str, broadcast_max_rows: int = 1_000_000) -> Sources:
     return Sources(spark, build(spark, sf_dir), broadcast_max_rows)
