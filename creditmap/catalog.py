@@ -220,7 +220,7 @@ def _q_rank_client(src, cfg):
 
 
 def _daily_positions_all_days(src, cfg):
-    return V.branch_positions_daily(V.market_share_fine(src, cfg, None))
+    return V.branch_positions_daily(V.market_share_positions(src, cfg, None))
 
 
 _POS_COLS = ["Reporting_Date", "Firm_Name", "aBR", "Dealer_Type", "MLI_Dealer_Code", "PeerGroup", "Office_Type",
@@ -266,7 +266,7 @@ def _q_vendor_daily(src, cfg):
 
 @register("vendor_position_rollup_monthly")
 def _q_vendor_monthly(src, cfg):
-    x = V.branch_positions_monthly(V.sales_fine(src, cfg), V.SA_ACTUAL)
+    x = V.branch_positions_monthly(V.sales_positions(src, cfg), V.SA_ACTUAL)
     return x.select(
         "Asset_Position_Reporting_Date", "Firm_Name", "aBR", "cBR", "Dealer_Type", "CUSIP", "Office_Type",
         "Dealer_Branch_CD", "Account_Type", "MLI_Territory_Name",
@@ -280,7 +280,7 @@ _REP_COLS = ["Firm_Name", "Dealer_Type", "aBR", "Office_Type", "Reporting_Date",
 
 
 def _rep_daily_all_days(src, cfg):
-    return V.rep_positions_daily(V.market_share_fine(src, cfg, None), cfg)
+    return V.rep_positions_daily(V.market_share_positions(src, cfg, None))
 
 
 @register("dealer_rep_positions")
@@ -293,7 +293,7 @@ def _q_rep_daily(src, cfg):
 
 @register("dealer_rep_positions_monthly")
 def _q_rep_monthly(src, cfg):
-    return V.rep_positions_monthly(V.sales_fine(src, cfg), cfg).select(
+    return V.rep_positions_monthly(V.sales_positions(src, cfg)).select(
         "Firm_Name", "Dealer_Type", "aBR", "Office_Type", "Reporting_Date", "cBR", "Account_Type", "CUSIP",
         d6("Asset_Position_Shares").alias("Asset_Position_Shares"),
         d2("Asset_Position_Net_New_Assets").alias("Asset_Position_Net_New_Assets"),

@@ -1,16 +1,18 @@
 """Vendor position rollups (C-05).
 
-Each script reads its vendor fact in several stages that differ only in
-their filters and group keys.  Here every fact row is routed once, on the
-dimension side, to the stages that want it (a row may go to several), the
-effective-dated override is joined only for the stages that read it, and
-ONE aggregation at a common fine grain serves all stages.  The stage
-rollups then re-aggregate the already small result.  The fact is scanned
-and shuffled once per script instead of once per stage.
-
-Dimension tables (branch, firm, dealer, product, override) are broadcast
-when a bounded count proves they fit; the month/day grain aggregation is
-partial (map-side) before its shuffle.
+Each script reads its vendor fact in several stages that differ in their
+filters and group keys.  Here every fact row is routed once, on the
+dimension side, to the stages that want it (a row may go to several, each
+copy carries its route), the effective-dated override is joined only for
+the routes that read it, and ONE aggregation serves all stages: its group
+keys are route-dependent expressions that equal, for each route, exactly
+the group keys of that stage.  A stage rollup is then a filter and a
+projection of the shared aggregate, and the end-to-end plans attach all
+routes with one join, so the fact is scanned and shuffled once per script.
+
+Dimension relations (branch x firm x dealer with routes, product,
+override) are broadcast when a bounded count proves they fit; the
+aggregation is partial (map-side) before its shuffle.
 """
 
 from __future__ import annotations
@@ -42,6 +44,10 @@ def _routes(pairs: list[tuple[str, Column]]) -> Column:
     return F.filter(arr, lambda r: r.isNotNull())
 
 
+def _is(route: str) -> Column:
+    return F.col(ROUTE) == F.lit(route)
+
+
 def _branch_dims(src: Sources, dealer_how: str) -> DataFrame:
     branch = src.small(R.DEALER_BRANCH).select(
         "Dealer_Branch_ID", "Office_ID", "Dealer_Branch_CD", "Office_Type", "Office_Postal_CD"
@@ -51,22 +57,25 @@ def _branch_dims(src: Sources, dealer_how: str) -> DataFrame:
     return branch.join(firm, "Office_ID").join(dealer, "Firm_ID", dealer_how)
 
 
-def _override_keep() -> dict[str, str]:
-    return {"MLI_Territory_Name": "MLI_Territory_Name"}
+def _override(rows: DataFrame, src: Sources, at: str, only_when: Column) -> DataFrame:
+    return effective_dated_left(
+        rows, src.small(R.REF_TERRITORY), "Dealer_Branch_CD", at, "ETF_Branch_Name", "Effective_Date",
+        "End_Date", {"MLI_Territory_Name": "MLI_Territory_Name"}, only_when=only_when,
+    )
 
 
 # ---------------------------------------------------------------------------
 # Script A: market share, daily
 # ---------------------------------------------------------------------------
 
-MS_FINE_KEYS = [
-    ROUTE, "Reporting_Date", "Firm_Name", "Firm_ID", "MLI_Dealer_Code", "Office_Postal_CD",
-    "Rank_Group", "Office_Type", "Dealer_Branch_CD", "MLI_Territory_Name",
-]
+def market_share_positions(src: Sources, cfg: AttributionConfig, as_of) -> DataFrame:
+    """Market-share fact aggregated once for stages 1-3.
 
-
-def market_share_fine(src: Sources, cfg: AttributionConfig, as_of) -> DataFrame:
-    """Market-share fact at the common grain of stages 1-3, with its route."""
+    Group keys per route (A:135-144 for ``branch``, A:329-337 for ``rep``):
+    Reporting_Date (raw), Firm_Name, aBR (office key / dealer-rep key),
+    Dealer_Type, MLI_Dealer_Code (``branch`` only), Rank_Group,
+    Office_Type, Dealer_Branch_CD, MLI_Territory_Name (``branch`` only).
+    """
     dims = _branch_dims(src, "inner")
     dims = src.bounded("market_share_branch_dims", dims.select(
         "*",
@@ -78,46 +87,34 @@ def market_share_fine(src: Sources, cfg: AttributionConfig, as_of) -> DataFrame:
     fact = snapshot(src[R.MARKET_SHARE], "Reporting_Date", as_of).select(
         "Dealer_Branch_ID", "Reporting_Date", "Rank_Group", "Industry_Shares_Amount", "Industry_Asset_Amount"
     )
-    rows = fact.join(dims, "Dealer_Branch_ID")
-    rows = effective_dated_left(
-        rows, src.small(R.REF_TERRITORY), "Dealer_Branch_CD", "Reporting_Date",
-        "ETF_Branch_Name", "Effective_Date", "End_Date", _override_keep(),
-        only_when=F.col(ROUTE) == F.lit(MS_BRANCH),
-    )
-    return rows.groupBy(*MS_FINE_KEYS).agg(
+    rows = _override(fact.join(dims, "Dealer_Branch_ID"), src, "Reporting_Date", _is(MS_BRANCH))
+    rep = _is(MS_REP)
+    return rows.groupBy(
+        ROUTE, "Reporting_Date", "Firm_Name",
+        F.when(rep, dealer_rep_key("MLI_Dealer_Code", "Dealer_Branch_CD", cfg.strict_right))
+        .otherwise(vendor_key("MLI_Dealer_Code", "Firm_ID", "Office_Postal_CD")).alias("aBR"),
+        dealer_type("MLI_Dealer_Code").alias("Dealer_Type"),
+        F.when(~rep, F.col("MLI_Dealer_Code")).alias("MLI_Dealer_Code"),
+        "Rank_Group", "Office_Type", "Dealer_Branch_CD", "MLI_Territory_Name",
+    ).agg(
         F.sum("Industry_Shares_Amount").alias("Asset_Position_Shares"),
         F.sum("Industry_Asset_Amount").alias("Asset_Position_Balance"),
     )
 
 
-def branch_positions_daily(fine: DataFrame) -> DataFrame:
-    """Stages 1-2 vendor rollup (G-03): keyed by the office branch key aBR."""
-    rows = fine.where(F.col(ROUTE) == F.lit(MS_BRANCH))
-    return rows.groupBy(
-        "Reporting_Date", "Firm_Name",
-        vendor_key("MLI_Dealer_Code", "Firm_ID", "Office_Postal_CD").alias("aBR"),
-        dealer_type("MLI_Dealer_Code").alias("Dealer_Type"),
-        "MLI_Dealer_Code", F.col("Rank_Group").alias("PeerGroup"), "Office_Type", "Dealer_Branch_CD",
-        "MLI_Territory_Name",
-    ).agg(
-        F.sum("Asset_Position_Shares").alias("Asset_Position_Shares"),
-        F.sum("Asset_Position_Balance").alias("Asset_Position_Balance"),
+def branch_positions_daily(positions: DataFrame) -> DataFrame:
+    """Stages 1-2 vendor rollup (G-03), keyed by the office branch key aBR."""
+    return positions.where(_is(MS_BRANCH)).select(
+        "Reporting_Date", "Firm_Name", "aBR", "Dealer_Type", "MLI_Dealer_Code",
+        F.col("Rank_Group").alias("PeerGroup"), "Office_Type", "Dealer_Branch_CD", "MLI_Territory_Name",
+        "Asset_Position_Shares", "Asset_Position_Balance",
     )
 
 
-def rep_positions_daily(fine: DataFrame, cfg: AttributionConfig) -> DataFrame:
-    """Stage 3 rollup (G-05): by raw timestamp and branch code, shown as a day (Q-18)."""
-    rows = fine.where(F.col(ROUTE) == F.lit(MS_REP))
-    agg = rows.groupBy(
-        "Reporting_Date", "Firm_Name",
-        dealer_rep_key("MLI_Dealer_Code", "Dealer_Branch_CD", cfg.strict_right).alias("aBR"),
-        dealer_type("MLI_Dealer_Code").alias("Dealer_Type"),
-        "Rank_Group", "Office_Type", "Dealer_Branch_CD",
-    ).agg(
-        F.sum("Asset_Position_Shares").alias("Asset_Position_Shares"),
-        F.sum("Asset_Position_Balance").alias("Asset_Position_Balance"),
-    )
-    return agg.select(
+def rep_positions_daily(positions: DataFrame) -> DataFrame:
+    """Stage 3 rollup (G-05): grouped by raw timestamp and branch code,
+    shown as a day (Q-18)."""
+    return positions.where(_is(MS_REP)).select(
         "Firm_Name", "Dealer_Type", "aBR", "Office_Type",
         F.col("Reporting_Date").cast("date").alias("Reporting_Date"),
         F.col("Rank_Group").alias("PEER_GROUP"), "Asset_Position_Shares", "Asset_Position_Balance",
@@ -128,12 +125,6 @@ def rep_positions_daily(fine: DataFrame, cfg: AttributionConfig) -> DataFrame:
 # Script B: sales and assets, month end
 # ---------------------------------------------------------------------------
 
-SA_FINE_KEYS = [
-    ROUTE, "Month_End", "Firm_Name", "Firm_ID", "MLI_Dealer_Code", "Office_Postal_CD", "Account_Postal_CD",
-    "Office_Type", "Dealer_Branch_CD", "Account_Type_TA_CD", "Product_CUSIP", "MLI_Territory_Name",
-]
-
-
 def holdings_dims(src: Sources, cfg: AttributionConfig) -> DataFrame:
     """Holding id -> account, branch, firm, dealer, product and stage routes."""
     hold = src[R.HOLDINGS].select("Holdings_ID", "Account_ID", "Dealer_Branch_ID", "Product_ID")
@@ -152,54 +143,51 @@ def holdings_dims(src: Sources, cfg: AttributionConfig) -> DataFrame:
     )
 
 
-def sales_fine(src: Sources, cfg: AttributionConfig) -> DataFrame:
-    """Asset positions at the common month-end grain of stages 1-3."""
+def sales_positions(src: Sources, cfg: AttributionConfig) -> DataFrame:
+    """Asset positions aggregated once for stages 1-3, at month end.
+
+    Group keys per route (B:134-144 for ``actual``/``correlated``, B:329-337
+    for ``rep``): month end, Firm_Name, aBR (office key / dealer-rep key),
+    cBR, Dealer_Type, CUSIP, Office_Type, Dealer_Branch_CD (not ``rep``),
+    Account_Type, MLI_Territory_Name (not ``rep``).
+    """
     fact = src[R.ASSET_POSITION].select(
         F.col("Asset_Position_Holding_ID").alias("Holdings_ID"), "Asset_Position_Reporting_Date",
         "Asset_Position_Shares", "Asset_Position_Net_New_Assets", "Asset_Position_Balance",
     )
-    rows = fact.join(holdings_dims(src, cfg), "Holdings_ID")
-    rows = effective_dated_left(
-        rows, src.small(R.REF_TERRITORY), "Dealer_Branch_CD", "Asset_Position_Reporting_Date",
-        "ETF_Branch_Name", "Effective_Date", "End_Date", _override_keep(),
-        only_when=F.col(ROUTE) != F.lit(SA_REP),
-    )
-    rows = rows.withColumn("Month_End", month_end("Asset_Position_Reporting_Date"))
-    return rows.groupBy(*SA_FINE_KEYS).agg(
+    rep = _is(SA_REP)
+    rows = _override(fact.join(holdings_dims(src, cfg), "Holdings_ID"), src, "Asset_Position_Reporting_Date", ~rep)
+    return rows.groupBy(
+        ROUTE, month_end("Asset_Position_Reporting_Date").alias("Reporting_Date"), "Firm_Name",
+        F.when(rep, dealer_rep_key("MLI_Dealer_Code", "Dealer_Branch_CD", cfg.strict_right))
+        .otherwise(vendor_key("MLI_Dealer_Code", "Firm_ID", "Office_Postal_CD")).alias("aBR"),
+        vendor_key("MLI_Dealer_Code", "Firm_ID", "Account_Postal_CD").alias("cBR"),
+        dealer_type("MLI_Dealer_Code").alias("Dealer_Type"),
+        F.col("Product_CUSIP").alias("CUSIP"), "Office_Type",
+        F.when(~rep, F.col("Dealer_Branch_CD")).alias("Dealer_Branch_CD"),
+        F.col("Account_Type_TA_CD").alias("Account_Type"), "MLI_Territory_Name",
+    ).agg(
         F.sum("Asset_Position_Shares").alias("Asset_Position_Shares"),
         F.sum("Asset_Position_Net_New_Assets").alias("Asset_Position_Net_New_Assets"),
         F.sum("Asset_Position_Balance").alias("Asset_Position_Balance"),
     )
 
 
-def _sales_sums():
-    return (
-        F.sum("Asset_Position_Shares").alias("Asset_Position_Shares"),
-        F.sum("Asset_Position_Net_New_Assets").alias("Asset_Position_Net_New_Assets"),
-        F.sum("Asset_Position_Balance").alias("Asset_Position_Balance"),
-    )
+_SALES_SUMS = ("Asset_Position_Shares", "Asset_Position_Net_New_Assets", "Asset_Position_Balance")
 
 
-def branch_positions_monthly(fine: DataFrame, route: str) -> DataFrame:
-    """Stages 1-2 rollup (G-04): month end, both branch keys, CUSIP, override."""
-    rows = fine.where(F.col(ROUTE) == F.lit(route))
-    return rows.groupBy(
-        F.col("Month_End").alias("Asset_Position_Reporting_Date"), "Firm_Name",
-        vendor_key("MLI_Dealer_Code", "Firm_ID", "Office_Postal_CD").alias("aBR"),
-        vendor_key("MLI_Dealer_Code", "Firm_ID", "Account_Postal_CD").alias("cBR"),
-        dealer_type("MLI_Dealer_Code").alias("Dealer_Type"),
-        F.col("Product_CUSIP").alias("CUSIP"), "Office_Type", "Dealer_Branch_CD",
-        F.col("Account_Type_TA_CD").alias("Account_Type"), "MLI_Territory_Name",
-    ).agg(*_sales_sums())
+def branch_positions_monthly(positions: DataFrame, route: str) -> DataFrame:
+    """Stage 1 or 2 rollup (G-04)."""
+    return positions.where(_is(route)).select(
+        F.col("Reporting_Date").alias("Asset_Position_Reporting_Date"), "Firm_Name", "aBR", "cBR",
+        "Dealer_Type", "CUSIP", "Office_Type", "Dealer_Branch_CD", "Account_Type", "MLI_Territory_Name",
+        *_SALES_SUMS,
+    )
 
 
-def rep_positions_monthly(fine: DataFrame, cfg: AttributionConfig) -> DataFrame:
-    """Stage 3 rollup (G-06): month end, dealer-rep key, client key, CUSIP."""
-    rows = fine.where(F.col(ROUTE) == F.lit(SA_REP))
-    return rows.groupBy(
-        "Firm_Name", dealer_type("MLI_Dealer_Code").alias("Dealer_Type"),
-        dealer_rep_key("MLI_Dealer_Code", "Dealer_Branch_CD", cfg.strict_right).alias("aBR"),
-        "Office_Type", F.col("Month_End").alias("Reporting_Date"),
-        vendor_key("MLI_Dealer_Code", "Firm_ID", "Account_Postal_CD").alias("cBR"),
-        F.col("Account_Type_TA_CD").alias("Account_Type"), F.col("Product_CUSIP").alias("CUSIP"),
-    ).agg(*_sales_sums())
+def rep_positions_monthly(positions: DataFrame) -> DataFrame:
+    """Stage 3 rollup (G-06)."""
+    return positions.where(_is(SA_REP)).select(
+        "Firm_Name", "Dealer_Type", "aBR", "Office_Type", "Reporting_Date", "cBR", "Account_Type", "CUSIP",
+        *_SALES_SUMS,
+    )
