@@ -9,6 +9,9 @@ driver tables.  The DuckDB oracle builds the same tables in SQL
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -267,5 +270,46 @@ def build(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return out
 
 
-def testdata_sources(spark: SparkSession, sf_dir: str, broadcast_max_rows: int = 1_000_000) -> Sources:
-    return Sources(spark, build(spark, sf_dir), broadcast_max_rows)
+def scratch_root(spark: SparkSession) -> str:
+    """The shared folder the session names in ``spark.checkpoint.dir``.
+
+    Only when the session names none (local tests) is a fresh temporary
+    folder set as the checkpoint directory.
+    """
+    sc = spark.sparkContext
+    root = sc.getCheckpointDir()
+    if not root:
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(conf or tempfile.mkdtemp(prefix="creditmap-checkpoint-"))
+        root = sc.getCheckpointDir()
+    return root.rstrip("/")
+
+
+def materialize(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """Write every logical table once as parquet and read it back.
+
+    Production reads stored tables; writing the analog once gives the
+    plans the same shape (one scan per source, with pushdown and pruning)
+    instead of re-deriving each table inside every plan that uses it.
+    """
+    out = {}
+    for name, df in tables.items():
+        path = f"{root}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        out[name] = spark.read.parquet(path)
+    return out
+
+
+def testdata_sources(spark: SparkSession, sf_dir: str, broadcast_max_rows: int = 1_000_000,
+                     stored: bool = True) -> Sources:
+    """The logical tables over the driver tables at ``sf_dir``.
+
+    ``stored=True`` writes them once under the checkpoint folder (see
+    ``materialize``); ``stored=False`` keeps them as lazy derivations.
+    """
+    tables = build(spark, sf_dir)
+    if stored:
+        tag = "-".join(p for p in sf_dir.rstrip("/").split("/")[-2:] if p)
+        root = f"{scratch_root(spark)}/creditmap-sources/{tag}-{uuid.uuid4().hex[:8]}"
+        tables = materialize(spark, tables, root)
+    return Sources(spark, tables, broadcast_max_rows)
