@@ -46,6 +46,12 @@ ASSET_MONTHEND = "ASSET_MONTHEND_FACT"
 # The peer list the market-share script declares inline.
 PEERS = "PEER_LIST"
 
+# Reference tables whose size is bounded by the business (firms, dealers,
+# branches, products, calendar, territories); they are broadcast after a
+# bounded row count proves it.
+REFERENCE_TABLES = (DEALER_BRANCH, FIRM, REF_DEALER, REF_TERRITORY, ETF_PRODUCT, DATE_DIM, PRODUCT_DIM,
+                    DIST_TERRITORY, SALES_TERRITORY, PEERS)
+
 ALL_TABLES = (
     MARKET_SHARE, DEALER_BRANCH, FIRM, REF_DEALER, REF_TERRITORY, ACCOUNT, HOLDINGS,
     ASSET_POSITION, ETF_PRODUCT, DIRECT_SOURCE, ASSOCIATED_CODES, SELLING_CODE, ASSET_DAILY,
@@ -81,6 +87,14 @@ class Sources:
             self._small[name] = broadcast_if_bounded(self[name], self.broadcast_max_rows)
         return self._small[name]
 
+    def check_reference_tables(self, names=REFERENCE_TABLES) -> "Sources":
+        """Run the size checks of the registered reference tables up front,
+        once per registry (like collecting table statistics at load)."""
+        for n in names:
+            if n in self:
+                self.small(n)
+        return self
+
     def bounded(self, name: str, df: DataFrame) -> DataFrame:
         """``df`` (a relation derived from small tables) with a broadcast hint
         when it provably fits.  The size check runs once per ``name``."""

@@ -312,4 +312,4 @@ def testdata_sources(spark: SparkSession, sf_dir: str, broadcast_max_rows: int =
         tag = "-".join(p for p in sf_dir.rstrip("/").split("/")[-2:] if p)
         root = f"{scratch_root(spark)}/creditmap-sources/{tag}-{uuid.uuid4().hex[:8]}"
         tables = materialize(spark, tables, root)
-    return Sources(spark, tables, broadcast_max_rows)
+    return Sources(spark, tables, broadcast_max_rows).check_reference_tables()
