@@ -43,11 +43,6 @@ def hop_to_current(
     return out.join(current, "__bk").drop("__bk")
 
 
-def in_force(day: Column, lo, hi) -> Column:
-    """``CAST(lo AS date) <= day AND CAST(hi AS date) >= day``."""
-    return (day_of(lo) <= day) & (day_of(hi) >= day)
-
-
 def hop_as_of(
     df: DataFrame,
     dim: DataFrame,

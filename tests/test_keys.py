@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from creditmap.functions import keys as K
 from helpers import day, frame, rows, ts

@@ -1,7 +1,7 @@
 """Owner ranking and attachment (R-1), conform and accumulate."""
 
 import pytest
-from pyspark.sql import Window
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -1,6 +1,5 @@
 """Stage filters: the coverage table of SURVEY 5.1 and NULL logic."""
 
-from pyspark.sql import functions as F
 
 from creditmap.config import AttributionConfig
 from creditmap.functions import predicates as P
