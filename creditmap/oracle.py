@@ -24,12 +24,12 @@ def _list(values) -> str:
 
 
 def _vendor_postal(k: str) -> str:
-    return (f"CASE WHEN {k} < 4 THEN 'P' || CAST({k} AS VARCHAR) WHEN {k} < 6 THEN 'P-' || CAST({k} AS VARCHAR) "
-            f"ELSE 'P ' || CAST({k} AS VARCHAR) END")
+    return (f"CASE WHEN {k} < 4 THEN 'P' || CAST({k} AS STRING) WHEN {k} < 6 THEN 'P-' || CAST({k} AS STRING) "
+            f"ELSE 'P ' || CAST({k} AS STRING) END")
 
 
 def _master_postal(k: str) -> str:
-    return f"CASE WHEN {k} < 4 THEN 'P' || CAST({k} AS VARCHAR) ELSE 'P ' || CAST({k} AS VARCHAR) END"
+    return f"CASE WHEN {k} < 4 THEN 'P' || CAST({k} AS STRING) ELSE 'P ' || CAST({k} AS STRING) END"
 
 
 def _date_id(d: str) -> str:
@@ -43,18 +43,18 @@ def _hid() -> str:
 ADAPTER = [
     ("ETF_FIRM_FACT", "SELECT CAST(n_nationkey AS BIGINT) AS Firm_ID, n_name AS Firm_Name FROM nation"),
     ("ETF_ref_DEALER_FACT", """SELECT CAST(n_nationkey AS BIGINT) AS ETF_Dealer_Code,
-        CASE WHEN n_nationkey % 6 = 0 THEN NULL ELSE CAST(n_nationkey + 9000 AS VARCHAR) END AS MLI_Dealer_Code
+        CASE WHEN n_nationkey % 6 = 0 THEN NULL ELSE CAST(n_nationkey + 9000 AS STRING) END AS MLI_Dealer_Code
         FROM nation WHERE n_nationkey % 12 <> 11"""),
     ("ETF_DEALER_BRANCH_FACT", f"""SELECT s_suppkey AS Dealer_Branch_ID, CAST(s_nationkey AS BIGINT) AS Office_ID,
-        'C' || lpad(CAST(s_nationkey AS VARCHAR), 2, '0') || ':' ||
+        'C' || lpad(CAST(s_nationkey AS STRING), 2, '0') || ':' ||
           CASE WHEN s_suppkey % 10 = 0 THEN 'DEFAULT' WHEN s_suppkey % 10 = 1 THEN '000'
-               ELSE lpad(CAST(s_suppkey % 100 AS VARCHAR), 3, '0') END AS Dealer_Branch_CD,
+               ELSE lpad(CAST(s_suppkey % 100 AS STRING), 3, '0') END AS Dealer_Branch_CD,
         CASE WHEN s_suppkey % 13 = 7 THEN NULL WHEN s_suppkey % 3 = 0 THEN 'Correlated' ELSE 'Actual' END AS Office_Type,
         CASE WHEN s_suppkey % 29 = 5 THEN NULL ELSE {_vendor_postal('s_suppkey % 7')} END AS Office_Postal_CD
         FROM supplier"""),
     ("ETF_ref_TERRITORY_FACT", """SELECT DISTINCT Dealer_Branch_CD AS ETF_Branch_Name,
         TIMESTAMP '1996-01-01 00:00:00' AS Effective_Date, TIMESTAMP '1998-12-31 00:00:00' AS End_Date,
-        'OVR_' || CAST(Office_ID AS VARCHAR) AS MLI_Territory_Name
+        'OVR_' || CAST(Office_ID AS STRING) AS MLI_Territory_Name
         FROM ETF_DEALER_BRANCH_FACT WHERE Dealer_Branch_ID % 9 = 0"""),
     ("ETF_MARKET_SHARE_FACT", """SELECT l_suppkey AS Dealer_Branch_ID, l_shipdate AS Reporting_Date,
         p_type AS Rank_Group, CAST(l_quantity AS DECIMAL(18,2)) AS Industry_Shares_Amount,
@@ -70,12 +70,12 @@ ADAPTER = [
         CAST(l_tax AS DECIMAL(18,2)) AS Asset_Position_Net_New_Assets,
         CAST(l_extendedprice AS DECIMAL(18,2)) AS Asset_Position_Balance
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""),
-    ("ETF_PRODUCT_FACT", """SELECT p_partkey AS Product_ID, 'CU' || CAST(p_partkey AS VARCHAR) AS Product_CUSIP,
+    ("ETF_PRODUCT_FACT", """SELECT p_partkey AS Product_ID, 'CU' || CAST(p_partkey AS STRING) AS Product_CUSIP,
         CASE WHEN p_partkey % 2 = 0 THEN 'ETF' ELSE 'MF' END AS Product_Type FROM part"""),
-    ("ETF_DIRECT_SOURCE", """SELECT 'SC' || CAST(user_id AS VARCHAR) AS Selling_Code, ts AS Reporting_Date,
+    ("ETF_DIRECT_SOURCE", """SELECT 'SC' || CAST(user_id AS STRING) AS Selling_Code, ts AS Reporting_Date,
         event_type AS CUSIP, CAST(value AS DECIMAL(18,6)) AS Units, CAST(value * 10 AS DECIMAL(18,2)) AS Assets,
         CAST(value AS DECIMAL(18,2)) AS Net_Sales FROM events"""),
-    ("SELLING_CODE_DIM", """SELECT o_orderkey AS Selling_Code_ID, 'SC' || CAST(o_custkey AS VARCHAR) AS Selling_Code,
+    ("SELLING_CODE_DIM", """SELECT o_orderkey AS Selling_Code_ID, 'SC' || CAST(o_custkey AS STRING) AS Selling_Code,
         o_custkey * 2 + CASE WHEN o_orderdate >= TIMESTAMP '1998-07-01 00:00:00' THEN 1 ELSE 0 END AS Distributor_ID,
         o_orderdate AS Rec_Created_Date,
         COALESCE(lead(o_orderdate) OVER w - INTERVAL 1 DAY, TIMESTAMP '9999-12-31 00:00:00') AS Rec_Term_Date,
@@ -102,7 +102,7 @@ ADAPTER = [
         UNION ALL SELECT CAST(n_nationkey * 2 + 1 AS BIGINT), CAST(n_nationkey AS BIGINT), n_name,
           CASE WHEN n_nationkey = 24 THEN 'TERM' ELSE n_name END, 'Y' FROM nation"""),
     ("ASSOCIATED_CODES_DIM", """SELECT o_orderkey AS Associated_Codes_ID, o_orderkey AS Selling_Code_ID,
-        CAST(c_nationkey + 9000 AS VARCHAR) AS Dealer_Code, lpad(CAST(o_custkey % 100 AS VARCHAR), 3, '0') AS Rep_Code
+        CAST(c_nationkey + 9000 AS STRING) AS Dealer_Code, lpad(CAST(o_custkey % 100 AS STRING), 3, '0') AS Rep_Code
         FROM orders JOIN customer ON o_custkey = c_custkey"""),
     ("DISTRIBUTOR_ADDRESS_DIM", f"""SELECT c_custkey AS src_Party_ID, {_master_postal('c_custkey % 7')} AS Postal_Code,
         'Y' AS Active_Record_Ind FROM customer"""),
@@ -111,7 +111,7 @@ ADAPTER = [
     ("POLICY_CUSTOMER_FACT", """SELECT c_custkey AS Policy_ID, c_custkey AS Customer_ID,
         CASE WHEN c_custkey % 11 = 0 THEN 'insured' ELSE 'owner' END AS Customer_Role FROM customer"""),
     ("POLICY_DIM", """SELECT c_custkey AS Policy_ID, CASE WHEN c_custkey % 5 = 0 THEN 'Other' ELSE 'Core Funds' END
-        AS Product_Name, CAST(c_nationkey + 9000 AS VARCHAR) || 'XX' AS Host_Distributor_Num FROM customer"""),
+        AS Product_Name, CAST(c_nationkey + 9000 AS STRING) || 'XX' AS Host_Distributor_Num FROM customer"""),
     ("SELLING_CODE_POLICY_FACT", """SELECT o_custkey AS Policy_ID, o_orderkey AS Selling_Code_ID,
         CASE WHEN o_orderkey % 10 = 0 THEN 'N' ELSE 'Y' END AS Active_Record_Ind FROM orders"""),
     ("ASSET_DAILY_FACT", f"""SELECT l_orderkey AS Original_Associated_Codes_ID, l_orderkey AS Reporting_Selling_Code_ID,
@@ -129,11 +129,11 @@ ADAPTER = [
           AS Txn_Amt FROM lineitem"""),
     ("DATE_DIM", f"""SELECT {_date_id('l_shipdate')} AS Date_ID, l_shipdate AS Calendar_Date
         FROM (SELECT DISTINCT l_shipdate FROM lineitem)"""),
-    ("PRODUCT_DIM", """SELECT p_partkey AS Product_ID, 'CU' || CAST(p_partkey AS VARCHAR) AS Product_Name,
+    ("PRODUCT_DIM", """SELECT p_partkey AS Product_ID, 'CU' || CAST(p_partkey AS STRING) AS Product_Name,
         CASE WHEN p_partkey % 17 = 0 THEN 'N' ELSE 'Y' END AS Active_Record_Ind FROM part"""),
-    ("PEER_LIST", """SELECT 'CU' || CAST(p_partkey AS VARCHAR) AS CUSIP, p_type AS PEER_GROUP FROM part
+    ("PEER_LIST", """SELECT 'CU' || CAST(p_partkey AS STRING) AS CUSIP, p_type AS PEER_GROUP FROM part
           WHERE p_partkey % 20 = 0
-        UNION ALL SELECT 'CU' || CAST(p_partkey AS VARCHAR), p_type FROM part WHERE p_partkey % 200 = 0"""),
+        UNION ALL SELECT 'CU' || CAST(p_partkey AS STRING), p_type FROM part WHERE p_partkey % 200 = 0"""),
 ]
 
 
@@ -209,7 +209,7 @@ class Script:
     # -- vendor rollups -----------------------------------------------------
     @staticmethod
     def abr(postal: str) -> str:
-        return ("COALESCE(CAST(DEALER.MLI_Dealer_Code AS VARCHAR), CAST(FIRM.Firm_ID AS VARCHAR)) || '-' || "
+        return ("COALESCE(CAST(DEALER.MLI_Dealer_Code AS STRING), CAST(FIRM.Firm_ID AS STRING)) || '-' || "
                 + postal)
 
     @staticmethod
@@ -218,7 +218,7 @@ class Script:
 
     @staticmethod
     def dlr_rep() -> str:
-        return ("CAST(DEALER.MLI_Dealer_Code AS VARCHAR) || "
+        return ("CAST(DEALER.MLI_Dealer_Code AS STRING) || "
                 "right(BR.Dealer_Branch_CD, greatest(length(rtrim(BR.Dealer_Branch_CD)) - 4, 0))")
 
     @staticmethod
@@ -334,7 +334,7 @@ class Script:
 
     # -- dealer-rep bridge --------------------------------------------------
     def ass_sc(self) -> str:
-        k = "CAST(CODE.Dealer_Code AS VARCHAR) || CAST(CODE.Rep_Code AS VARCHAR)"
+        k = "CAST(CODE.Dealer_Code AS STRING) || CAST(CODE.Rep_Code AS STRING)"
         return f"""SELECT {k} || SC.Selling_Code AS ASS_SC_ID, {k} AS DlrRep, SC.Selling_Code,
           CAST(MIN(SC.Rec_Created_Date) AS DATE) AS Start_Date, CAST(MAX(SC.Rec_Term_Date) AS DATE) AS End_Date
         FROM ASSOCIATED_CODES_DIM CODE JOIN SELLING_CODE_DIM SC ON CODE.Selling_Code_ID = SC.Selling_Code_ID
@@ -344,7 +344,7 @@ class Script:
     def sc_party(self) -> str:
         c = self.c
         y = _lit(c.active_flag)
-        k = "CAST(SC.Selling_Code AS VARCHAR) || CAST(DIST.src_Party_ID AS VARCHAR)"
+        k = "CAST(SC.Selling_Code AS STRING) || CAST(DIST.src_Party_ID AS STRING)"
         return f"""SELECT {k} AS SC_Party_ID, SC.Selling_Code, DIST.src_Party_ID, TERR_c.Territory_External_ID,
           CAST(MIN(SC.Rec_Created_Date) AS DATE) AS Start_Date, CAST(MAX(SC.Rec_Term_Date) AS DATE) AS End_Date
         FROM SELLING_CODE_DIM SC
@@ -447,7 +447,7 @@ class Script:
         y = _lit(c.active_flag)
         return f"""SELECT {_lit(c.in_house_firm)} AS FirmName, TERR_c.Territory_External_ID AS Comp_Territory,
           'RETAIL' AS Dealer_Type, SCD2.Selling_Code AS Branch, 'SOURCE' AS Office_Type, '1' AS Account_Type,
-          CAST(NULL AS VARCHAR) AS C_BR, last_day(D.Calendar_Date) AS Reporting_Date, PROD.Product_Name AS CUSIP,
+          CAST(NULL AS STRING) AS C_BR, last_day(D.Calendar_Date) AS Reporting_Date, PROD.Product_Name AS CUSIP,
           SUM(HOLD.Units) AS Asset_Position_Shares,
           SUM(CASE WHEN HOLD.Gross_Redemption_Type = 'H' THEN HOLD.Txn_Amt ELSE 0 END) AS Asset_Balance,
           SUM(CASE WHEN HOLD.Gross_Redemption_Type = 'G' THEN HOLD.Txn_Amt ELSE 0 END)
@@ -475,7 +475,7 @@ class Script:
         c = self.c
         return f"""SELECT {_lit(c.direct_source_firm)} AS FirmName, TERR_c.Territory_External_ID AS Comp_Territory,
           'RETAIL' AS Dealer_Type, Source.Selling_Code AS Branch, 'SOURCE' AS Office_Type, '1' AS Account_Type,
-          CAST(NULL AS VARCHAR) AS C_BR, last_day(Source.Reporting_Date) AS Reporting_Date, Source.CUSIP,
+          CAST(NULL AS STRING) AS C_BR, last_day(Source.Reporting_Date) AS Reporting_Date, Source.CUSIP,
           SUM(Source.Units) AS Asset_Position_Shares, SUM(Source.Assets) AS Asset_Balance,
           SUM(Source.Net_Sales) AS Net_New_Assets
         {self.direct_rows()}
@@ -502,16 +502,16 @@ class Script:
           AND (SMDM.THE_START <= ETF_ACTUAL.Reporting_Date AND SMDM.THE_END >= ETF_ACTUAL.Reporting_Date)"""
 
 
-MS_CONFORM = """CAST(FirmName AS VARCHAR) AS FirmName, CAST(Comp_Territory AS VARCHAR) AS Comp_Territory,
-  CAST(Dealer_Type AS VARCHAR) AS Dealer_Type, CAST(Branch AS VARCHAR) AS Branch,
-  CAST(Office_Type AS VARCHAR) AS Office_Type, CAST(Reporting_Date AS TIMESTAMP) AS Reporting_Date,
-  CAST(PEER_GROUP AS VARCHAR) AS PEER_GROUP, CAST(Asset_Position_Shares AS DECIMAL(15,2)) AS Asset_Position_Shares,
+MS_CONFORM = """CAST(FirmName AS STRING) AS FirmName, CAST(Comp_Territory AS STRING) AS Comp_Territory,
+  CAST(Dealer_Type AS STRING) AS Dealer_Type, CAST(Branch AS STRING) AS Branch,
+  CAST(Office_Type AS STRING) AS Office_Type, CAST(Reporting_Date AS TIMESTAMP) AS Reporting_Date,
+  CAST(PEER_GROUP AS STRING) AS PEER_GROUP, CAST(Asset_Position_Shares AS DECIMAL(15,2)) AS Asset_Position_Shares,
   CAST(Asset_Balance AS DECIMAL(15,2)) AS Asset_Balance"""
 
-SA_CONFORM = """CAST(FirmName AS VARCHAR) AS FirmName, CAST(Comp_Territory AS VARCHAR) AS Comp_Territory,
-  CAST(Dealer_Type AS VARCHAR) AS Dealer_Type, CAST(Branch AS VARCHAR) AS Branch,
-  CAST(Office_Type AS VARCHAR) AS Office_Type, CAST(Account_Type AS VARCHAR) AS Account_Type,
-  CAST(C_BR AS VARCHAR) AS C_BR, CAST(Reporting_Date AS TIMESTAMP) AS Reporting_Date, CAST(CUSIP AS VARCHAR) AS CUSIP,
+SA_CONFORM = """CAST(FirmName AS STRING) AS FirmName, CAST(Comp_Territory AS STRING) AS Comp_Territory,
+  CAST(Dealer_Type AS STRING) AS Dealer_Type, CAST(Branch AS STRING) AS Branch,
+  CAST(Office_Type AS STRING) AS Office_Type, CAST(Account_Type AS STRING) AS Account_Type,
+  CAST(C_BR AS STRING) AS C_BR, CAST(Reporting_Date AS TIMESTAMP) AS Reporting_Date, CAST(CUSIP AS STRING) AS CUSIP,
   CAST(Asset_Position_Shares AS DECIMAL(15,6)) AS Asset_Position_Shares,
   CAST(Asset_Balance AS DECIMAL(15,2)) AS Asset_Balance, CAST(Net_New_Assets AS DECIMAL(15,2)) AS Net_New_Assets"""
 
@@ -664,16 +664,39 @@ def build(cfg: AttributionConfig | None = None) -> dict[str, str]:
     q["accumulate_distinct"] = A(f"""SELECT DISTINCT * FROM (
         {_conf(MS_CONFORM, s.ms_branch_stage('cte1', 'BR', False))}
         UNION ALL {_conf(MS_CONFORM, s.ms_branch_stage('cte2', 'cBranch', False))}) u""", cte1a + cte2a)
-    q["market_share_attribution"] = A(f"""SELECT DISTINCT * FROM (
+    for name, (extra, body) in literal_scripts(cfg).items():
+        q[name] = A(body, extra)
+    return q
+
+
+def _with(extra: list[tuple[str, str]], body: str) -> str:
+    return "WITH " + ",\n".join(f"{n} AS (\n{q}\n)" for n, q in extra) + "\n" + body
+
+
+def literal_scripts(cfg: AttributionConfig | None = None) -> dict[str, tuple[list[tuple[str, str]], str]]:
+    """The two scripts transcribed statement by statement: (CTEs, body)
+    over the logical table names only (no adapter)."""
+    cfg = cfg or testdata_config()
+    s = Script(cfg)
+    ms = f"""SELECT DISTINCT * FROM (
         {_conf(MS_CONFORM, s.ms_branch_stage('cte1', 'BR', True))}
         UNION ALL {_conf(MS_CONFORM, s.ms_branch_stage('cte2', 'cBranch', True))}
         UNION ALL {_conf(MS_CONFORM, s.ms_rep_stage(True))}
-        UNION ALL {_conf(MS_CONFORM, s.ms_in_house_stage())}) u""", cte1a + cte2a)
-    q["sales_assets_attribution"] = A(f"""SELECT DISTINCT * FROM (
+        UNION ALL {_conf(MS_CONFORM, s.ms_in_house_stage())}) u"""
+    sa = f"""SELECT DISTINCT * FROM (
         {_conf(SA_CONFORM, s.sa_branch_stage('cte1', 'BR', 'aBR', s.actual_filter(), 'ACTUAL'))}
         UNION ALL {_conf(SA_CONFORM, s.sa_branch_stage('cte2', 'cBranch', 'cBR', s.correlated_filter(), 'CORRELATED'))}
         UNION ALL {_conf(SA_CONFORM, s.sa_rep_stage())}
         UNION ALL {_conf(SA_CONFORM, s.sa_in_house_stage())}
-        UNION ALL {_conf(SA_CONFORM, s.sa_direct_stage())}) u""",
-        [("cte1", s.cte1(True, True)), ("cte2", s.cte2(True, True))])
-    return q
+        UNION ALL {_conf(SA_CONFORM, s.sa_direct_stage())}) u"""
+    return {
+        "market_share_attribution": ([("cte1", s.cte1(False, False)), ("cte2", s.cte2(False, False))], ms),
+        "sales_assets_attribution": ([("cte1", s.cte1(True, True)), ("cte2", s.cte2(True, True))], sa),
+    }
+
+
+def literal_sql(name: str, cfg: AttributionConfig | None = None) -> str:
+    """Literal transcription of one script as a single SQL statement over
+    views named like the logical tables (runs on DuckDB and Spark SQL)."""
+    extra, body = literal_scripts(cfg)[name]
+    return _with(extra, body)

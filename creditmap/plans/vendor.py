@@ -156,7 +156,8 @@ def sales_positions(src: Sources, cfg: AttributionConfig) -> DataFrame:
         "Asset_Position_Shares", "Asset_Position_Net_New_Assets", "Asset_Position_Balance",
     )
     rep = _is(SA_REP)
-    rows = _override(fact.join(holdings_dims(src, cfg), "Holdings_ID"), src, "Asset_Position_Reporting_Date", ~rep)
+    dims = src.bounded("sales_holdings_dims", holdings_dims(src, cfg))
+    rows = _override(fact.join(dims, "Holdings_ID"), src, "Asset_Position_Reporting_Date", ~rep)
     return rows.groupBy(
         ROUTE, month_end("Asset_Position_Reporting_Date").alias("Reporting_Date"), "Firm_Name",
         F.when(rep, dealer_rep_key("MLI_Dealer_Code", "Dealer_Branch_CD", cfg.strict_right))

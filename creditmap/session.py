@@ -26,8 +26,9 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "creditmap") -> SparkSession:
-    spark = (
+def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "creditmap",
+                  extra: dict[str, str] | None = None) -> SparkSession:
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -35,7 +36,9 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "credi
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        .getOrCreate()
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)

@@ -81,6 +81,9 @@ class Sources:
     def __contains__(self, name: str) -> bool:
         return name in self._tables
 
+    def names(self) -> list[str]:
+        return list(self._tables)
+
     def small(self, name: str) -> DataFrame:
         """The table with a broadcast hint when it provably fits (checked once)."""
         if name not in self._small:
@@ -95,12 +98,38 @@ class Sources:
                 self.small(n)
         return self
 
-    def bounded(self, name: str, df: DataFrame) -> DataFrame:
-        """``df`` (a relation derived from small tables) with a broadcast hint
-        when it provably fits.  The size check runs once per ``name``."""
+    def fits(self, name: str, df: DataFrame) -> bool:
+        """Whether ``df`` provably has at most ``broadcast_max_rows`` rows.
+
+        The check is a bounded count (it stops after the bound) and runs
+        once per ``name`` and registry."""
         if name not in self._fits:
             self._fits[name] = row_count_at_most(df, self.broadcast_max_rows)
-        return F.broadcast(df) if self._fits[name] else df
+        return self._fits[name]
+
+    def bounded(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` with a broadcast hint when it provably fits."""
+        return F.broadcast(df) if self.fits(name, df) else df
+
+    def per_key(self, name: str, rows: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
+        """Measures ready to join by ``keys``: the raw rows, broadcast, when
+        they provably fit (joined map-side and summed once after the join),
+        else summed per key first with a map-side partial aggregate, so a
+        large fact meets the dimension chains once per key instead of once
+        per row (R-2).  Both give the same sums, because SUM is linear in the
+        join fan-out."""
+        if self.fits(name, rows):
+            return F.broadcast(rows)
+        return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+    def reduced(self, name: str, rows: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
+        """Fact rows about to walk the dimension chains: as they are when they
+        provably fit (the chain joins are then map-side and one aggregation
+        follows), else summed per ``keys`` first with a map-side partial
+        aggregate so the large fact is shuffled once, already reduced."""
+        if self.fits(name, rows):
+            return rows
+        return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
 
     def with_table(self, name: str, df: DataFrame) -> "Sources":
         out = Sources(self.spark, {**self._tables, name: df}, self.broadcast_max_rows)

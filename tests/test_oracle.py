@@ -53,3 +53,21 @@ def test_entry_smoke(spark):
     assert df.columns == ["FirmName", "Comp_Territory", "Dealer_Type", "Branch", "Office_Type", "Reporting_Date",
                           "PEER_GROUP", "Asset_Position_Shares", "Asset_Balance"]
     assert df.count() >= 0
+
+
+LARGE_PATH = ["rank_owner_advisor", "rank_owner_client", "in_house_holdings", "conditional_net_new",
+              "direct_source_rollup", "vendor_position_rollup_monthly", "market_share_attribution",
+              "sales_assets_attribution"]
+
+
+@pytest.mark.parametrize("name", LARGE_PATH)
+def test_large_fact_path_matches_oracle(spark, con, name):
+    """With a tiny broadcast bound every fact takes the pre-aggregation path
+    and every dimension a shuffle join, as on a large cluster."""
+    from creditmap import catalog
+    from creditmap.config import testdata_config
+
+    df = catalog.build(name, spark, SF, testdata_config(broadcast_max_rows=10))
+    res = con.execute(E.oracle_sql()[name])
+    o_cols = [d[0] for d in res.description]
+    assert bag(df.columns, df.collect()) == bag(o_cols, res.fetchall())
