@@ -2,7 +2,11 @@
 
 The same chain is spelled out four times in each script.  Here it is
 built once, on the dimension side, and joined to facts after they are
-aggregated, so the large facts never travel through the chain.
+aggregated, so the large facts never travel through the chain.  Each
+composite chain carries its own size check: without cost-based statistics
+Spark estimates an inner join as the product of its inputs, so a composite
+dimension would never qualify for a broadcast on estimates alone; a bounded
+row count proves when it does, and beyond the bound it is shuffle-joined.
 """
 
 from __future__ import annotations
@@ -30,7 +34,8 @@ def distributor_territories(src: Sources, cfg: AttributionConfig, dist_col: str
     current = terr.where(active("Active_Record_Ind", cfg)).select(
         F.col("src_ID").alias("__src"), "Territory_External_ID", "Territory_Name"
     )
-    return link.join(version, "Sales_Territory_ID").join(current, "__src").drop("Sales_Territory_ID", "__src")
+    out = link.join(version, "Sales_Territory_ID").join(current, "__src").drop("Sales_Territory_ID", "__src")
+    return src.bounded(f"distributor_territories:{dist_col}", out)
 
 
 def party_current_territories(src: Sources, cfg: AttributionConfig) -> DataFrame:
@@ -41,7 +46,8 @@ def party_current_territories(src: Sources, cfg: AttributionConfig) -> DataFrame
     cur = src[R.DISTRIBUTOR].where(active("Active_Record_Ind", cfg)).select(
         "src_Party_ID", F.col("Distributor_ID").alias("__cur")
     )
-    return cur.join(distributor_territories(src, cfg, "__cur"), "__cur").drop("__cur")
+    out = cur.join(distributor_territories(src, cfg, "__cur"), "__cur").drop("__cur")
+    return src.bounded("party_current_territories", out)
 
 
 def selling_code_territories(src: Sources, cfg: AttributionConfig) -> DataFrame:
@@ -57,9 +63,10 @@ def selling_code_territories(src: Sources, cfg: AttributionConfig) -> DataFrame:
         F.col("Selling_Code").alias("__code"), F.col("Distributor_ID").alias("__dist")
     )
     party = src[R.DISTRIBUTOR].select(F.col("Distributor_ID").alias("__dist"), "src_Party_ID")
-    return (
+    out = (
         version.join(current, "__code")
         .join(party, "__dist")
         .join(party_current_territories(src, cfg), "src_Party_ID")
         .drop("__code", "__dist")
     )
+    return src.bounded("selling_code_territories", out)
