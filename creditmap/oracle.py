@@ -379,13 +379,13 @@ class Script:
         WHERE ({cte}.rn = 1 OR {cte}.rn IS NULL)"""
 
     def ms_rep_stage(self, latest: bool) -> str:
-        return f"""SELECT ETF_ACTUAL.Firm_Name AS FirmName, SMDM.Territory_External_ID AS Comp_Territory,
-          ETF_ACTUAL.Dealer_Type, COALESCE(SMDM.Selling_Code, ETF_ACTUAL.aBR) AS Branch, ETF_ACTUAL.Office_Type,
+        return f"""SELECT ETF_ACTUAL.Firm_Name AS FirmName, BRIDGE.Territory_External_ID AS Comp_Territory,
+          ETF_ACTUAL.Dealer_Type, COALESCE(BRIDGE.Selling_Code, ETF_ACTUAL.aBR) AS Branch, ETF_ACTUAL.Office_Type,
           ETF_ACTUAL.Reporting_Date, ETF_ACTUAL.PEER_GROUP, ETF_ACTUAL.Asset_Position_Shares,
           ETF_ACTUAL.Asset_Position_Balance AS Asset_Balance
         FROM ({self.etf_rep_daily(latest)}) ETF_ACTUAL
-        LEFT JOIN ({self.bridge()}) SMDM ON ETF_ACTUAL.aBR = SMDM.DlrRep
-          AND (SMDM.THE_START <= ETF_ACTUAL.Reporting_Date AND SMDM.THE_END >= ETF_ACTUAL.Reporting_Date)"""
+        LEFT JOIN ({self.bridge()}) BRIDGE ON ETF_ACTUAL.aBR = BRIDGE.DlrRep
+          AND (BRIDGE.THE_START <= ETF_ACTUAL.Reporting_Date AND BRIDGE.THE_END >= ETF_ACTUAL.Reporting_Date)"""
 
     def in_house_tail(self) -> str:
         c = self.c
@@ -492,14 +492,14 @@ class Script:
         WHERE ({cte}.rn = 1 OR {cte}.rn IS NULL)"""
 
     def sa_rep_stage(self) -> str:
-        return f"""SELECT ETF_ACTUAL.Firm_Name AS FirmName, SMDM.Territory_External_ID AS Comp_Territory,
-          ETF_ACTUAL.Dealer_Type, COALESCE(SMDM.Selling_Code, ETF_ACTUAL.aBR) AS Branch, ETF_ACTUAL.Office_Type,
+        return f"""SELECT ETF_ACTUAL.Firm_Name AS FirmName, BRIDGE.Territory_External_ID AS Comp_Territory,
+          ETF_ACTUAL.Dealer_Type, COALESCE(BRIDGE.Selling_Code, ETF_ACTUAL.aBR) AS Branch, ETF_ACTUAL.Office_Type,
           ETF_ACTUAL.Account_Type, ETF_ACTUAL.cBR AS C_BR, ETF_ACTUAL.Reporting_Date, ETF_ACTUAL.CUSIP,
           ETF_ACTUAL.Asset_Position_Shares, ETF_ACTUAL.Asset_Position_Balance AS Asset_Balance,
           ETF_ACTUAL.Asset_Position_Net_New_Assets AS Net_New_Assets
         FROM ({self.etf_rep_monthly()}) ETF_ACTUAL
-        LEFT JOIN ({self.bridge()}) SMDM ON ETF_ACTUAL.aBR = SMDM.DlrRep
-          AND (SMDM.THE_START <= ETF_ACTUAL.Reporting_Date AND SMDM.THE_END >= ETF_ACTUAL.Reporting_Date)"""
+        LEFT JOIN ({self.bridge()}) BRIDGE ON ETF_ACTUAL.aBR = BRIDGE.DlrRep
+          AND (BRIDGE.THE_START <= ETF_ACTUAL.Reporting_Date AND BRIDGE.THE_END >= ETF_ACTUAL.Reporting_Date)"""
 
 
 MS_CONFORM = """CAST(FirmName AS STRING) AS FirmName, CAST(Comp_Territory AS STRING) AS Comp_Territory,
@@ -632,10 +632,10 @@ def build(cfg: AttributionConfig | None = None) -> dict[str, str]:
       FROM ({s.etf_rep_monthly()}) E""")
     q["collapse_versions"] = A(f"SELECT DlrRep, Selling_Code, Start_Date, End_Date FROM ({s.ass_sc()}) a")
     q["interval_overlap_bridge"] = A(s.bridge())
-    q["point_in_interval_attach"] = A(f"""SELECT {rep_cols}, SMDM.Selling_Code, SMDM.Territory_External_ID
+    q["point_in_interval_attach"] = A(f"""SELECT {rep_cols}, BRIDGE.Selling_Code, BRIDGE.Territory_External_ID
       FROM ({s.etf_rep_daily(False)}) E
-      LEFT JOIN ({s.bridge()}) SMDM ON E.aBR = SMDM.DlrRep
-        AND (SMDM.THE_START <= E.Reporting_Date AND SMDM.THE_END >= E.Reporting_Date)""")
+      LEFT JOIN ({s.bridge()}) BRIDGE ON E.aBR = BRIDGE.DlrRep
+        AND (BRIDGE.THE_START <= E.Reporting_Date AND BRIDGE.THE_END >= E.Reporting_Date)""")
     q["fallback_branch_coalesce"] = A(_conf(MS_CONFORM, s.ms_rep_stage(False)))
     q["peer_values_join"] = A("""SELECT PEER.PEER_GROUP, COUNT(*) AS n,
         CAST(SUM(HOLD.Asset_Value_Amt) AS DECIMAL(38,2)) AS assets,

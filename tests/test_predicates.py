@@ -56,14 +56,14 @@ def test_sales_null_office_type_and_null_branch(spark):
 
 
 def test_market_share_firm_filter_three_valued(spark):
+    partial = CFG.partial_firm
     df = frame(spark, "firm string, branch string", [
         ("SOME FIRM", "C10:001"), ("SOME FIRM", None), (None, "C10:001"),
-        ("MANULIFE SECURITIES", "C10:001"), ("CIBC WORLD MARKETS CORP.", "C10:001"),
-        ("RBC DOMINION SECURITIES.", "C10:001"),
-        ("SCOTIACAPITAL INC.", "C36:000"), ("SCOTIACAPITAL INC.", "C36:013"), ("SCOTIACAPITAL INC.", None),
+        *[(f, "C10:001") for f in CFG.excluded_firms],
+        (partial, "C36:000"), (partial, "C36:013"), (partial, None),
     ])
     kept = {(r.firm, r.branch) for r in df.where(P.firm_kept("firm", "branch", CFG)).collect()}
-    assert kept == {("SOME FIRM", "C10:001"), ("SOME FIRM", None), ("SCOTIACAPITAL INC.", "C36:000")}
+    assert kept == {("SOME FIRM", "C10:001"), ("SOME FIRM", None), (partial, "C36:000")}
 
 
 def test_market_share_rep_level_filter(spark):
