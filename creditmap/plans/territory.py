@@ -21,6 +21,10 @@ from ..sources.registry import Sources
 
 
 def distributor_territories(src: Sources, cfg: AttributionConfig, dist_col: str = "Distributor_ID") -> DataFrame:
+    return src.memo(("distributor_territories", dist_col, cfg), lambda: _distributor_territories(src, cfg, dist_col))
+
+
+def _distributor_territories(src: Sources, cfg: AttributionConfig, dist_col: str) -> DataFrame:
     """Distributor id -> current territory through its active typed links.
 
     ``link(type, active) -> SALES_TERRITORY(version) -> SALES_TERRITORY(current,
@@ -39,6 +43,10 @@ def distributor_territories(src: Sources, cfg: AttributionConfig, dist_col: str
 
 
 def party_current_territories(src: Sources, cfg: AttributionConfig) -> DataFrame:
+    return src.memo(("party_current_territories", cfg), lambda: _party_current_territories(src, cfg))
+
+
+def _party_current_territories(src: Sources, cfg: AttributionConfig) -> DataFrame:
     """Party -> its current distributor versions -> their current territories.
 
     Columns: ``src_Party_ID, Territory_External_ID, Territory_Name``.
@@ -51,6 +59,10 @@ def party_current_territories(src: Sources, cfg: AttributionConfig) -> DataFrame
 
 
 def selling_code_territories(src: Sources, cfg: AttributionConfig) -> DataFrame:
+    return src.memo(("selling_code_territories", cfg), lambda: _selling_code_territories(src, cfg))
+
+
+def _selling_code_territories(src: Sources, cfg: AttributionConfig) -> DataFrame:
     """Selling code id (any version) -> current selling-code versions ->
     their distributor (any version) -> current distributor versions of the
     same party -> current territories.

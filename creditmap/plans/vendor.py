@@ -69,6 +69,10 @@ def _override(rows: DataFrame, src: Sources, at: str, only_when: Column) -> Data
 # ---------------------------------------------------------------------------
 
 def market_share_positions(src: Sources, cfg: AttributionConfig, as_of) -> DataFrame:
+    return src.memo(("market_share_positions", str(as_of), cfg), lambda: _market_share_positions(src, cfg, as_of))
+
+
+def _market_share_positions(src: Sources, cfg: AttributionConfig, as_of) -> DataFrame:
     """Market-share fact aggregated once for stages 1-3.
 
     Group keys per route (A:135-144 for ``branch``, A:329-337 for ``rep``):
@@ -144,6 +148,10 @@ def holdings_dims(src: Sources, cfg: AttributionConfig) -> DataFrame:
 
 
 def sales_positions(src: Sources, cfg: AttributionConfig) -> DataFrame:
+    return src.memo(("sales_positions", cfg), lambda: _sales_positions(src, cfg))
+
+
+def _sales_positions(src: Sources, cfg: AttributionConfig) -> DataFrame:
     """Asset positions aggregated once for stages 1-3, at month end.
 
     Group keys per route (B:134-144 for ``actual``/``correlated``, B:329-337

@@ -69,6 +69,7 @@ class Sources:
         self._tables = dict(tables)
         self._small: dict[str, DataFrame] = {}
         self._fits: dict[str, bool] = {}
+        self._memo: dict = {}
         self.broadcast_max_rows = broadcast_max_rows
         self.sf_dir: str | None = None
 
@@ -98,6 +99,17 @@ class Sources:
                 self.small(n)
         return self
 
+    def memo(self, key, build):
+        """The DataFrame ``build()`` returns, built once per ``key``.
+
+        Plans are immutable, so a relation used by several stages (a
+        territory chain, the owner tables, the bridge) is one plan instance:
+        fewer round-trips while building, and Spark can reuse its exchange
+        or broadcast wherever it appears in one query."""
+        if key not in self._memo:
+            self._memo[key] = build()
+        return self._memo[key]
+
     def fits(self, name: str, df: DataFrame) -> bool:
         """Whether ``df`` provably has at most ``broadcast_max_rows`` rows.
 
