@@ -58,3 +58,22 @@ def test_literal_as_of_is_pushed_to_the_scan(spark, src):
 def test_dimension_sides_are_broadcast(spark, src):
     plan = executed(V.market_share_positions(src, analog(), None))
     assert "BroadcastHashJoin" in plan
+
+
+def _owner_plan(spark, max_rows):
+    from creditmap.plans import owners as OW
+    src = catalog.sources_for(spark, SF, analog(broadcast_max_rows=max_rows))
+    df = OW.advisor_candidates(src, analog(broadcast_max_rows=max_rows), False, False)
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_fact_is_broadcast_raw(spark):
+    plan = _owner_plan(spark, 1_000_000)
+    # no per-code pre-aggregation: the only partial_sum is on the owner group keys
+    assert not re.search(r"HashAggregate\(keys=\[Associated_Codes_ID#", plan)
+    assert "BroadcastExchange" in plan
+
+
+def test_large_fact_is_pre_aggregated_per_key(spark):
+    plan = _owner_plan(spark, 10)
+    assert re.search(r"HashAggregate\(keys=\[Associated_Codes_ID#\w+\], functions=\[partial_sum", plan)
