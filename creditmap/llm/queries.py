@@ -2,23 +2,96 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from creditmap.llm import chat_format, factorization_quality, kneser_ney_toxicity, language_mixture, length_histogram, multiset_fingerprint
+from creditmap.llm.bpe_trie import encode_decode_digests
 from creditmap.llm.common import table
 from creditmap.llm.jaccard_join import Similarity, near_duplicates
+from creditmap.llm.residual_packing import pack_documents
+
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op1_factorization_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return factorization_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney_toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_mixture.identify(table(spark, sf_dir, "documents")).drop("langs")
+
+
+def op3_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lengths = length_histogram.encoded_lengths(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, public_tokenizers.PATTERN)
+    return length_histogram.histogram(lengths)
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    same = "</s>[INST] ok [/INST]"
+    more = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(same).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    rows = rows.select("conv_id", "turn", "role", chat_format.text_parts(F.col("text")).alias("parts"))
+    found = chat_format.read_chats(chat_format.format_chats(rows))
+    loss = chat_format.loss_text(F.col("formatted"), F.col("loss_spans"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return (found.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+                         loss.alias("loss"), F.length("formatted").cast("bigint").alias("formatted_chars"))
+            .select("conv_id", "n_turns", "turns_sha256", F.length("loss").cast("bigint").alias("loss_chars"),
+                    F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"), "formatted_chars"))
+
+
+def op6_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
+
+
+def op7_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset_fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Similarity(words=4, num=85, den=100))
 
 
+def op10_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode_digests(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
+
+
 QUERIES = {f.__name__: f for f in (
+    op1_factorization_quality,
+    op2_kneser_ney_toxicity,
+    op3_length_histogram,
+    op4_language_mixture,
+    op5_chat_format,
+    op6_residual_packing,
+    op7_multiset_fingerprint,
     op8_ngram_jaccard_join,
+    op10_bpe_trie,
 )}
 
 _WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_chat_format": r"""
+WITH c AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(replace(role, '<', '<\') || replace(text, '<', '<\')) + 9 + 7 + 8)::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+""".replace("\\\\", "\\"),
     "op8_ngram_jaccard_join": f"""
 WITH RECURSIVE
   w AS (SELECT doc_id, {_WORDS} AS words FROM documents),
