@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import math
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +45,7 @@ def byte_characters() -> list[str]:
 class TrieEncoder:
     """Encodes texts for one tokenizer file."""
 
-    def __init__(self, path: str, max_nodes: int = 600_000):
+    def __init__(self, path: str, max_nodes: int = 1_500_000):
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
         model = file["model"]
@@ -103,8 +104,8 @@ class TrieEncoder:
 
     def _clear(self) -> None:
         self.children: dict[int, int] = {}  # 256 * node + byte: node
-        self.last = [-1]  # of each node, the last token of its prefix
-        self.before = [0]  # the node of the prefix without that token
+        self.last = array("i", [-1])  # of each node, the last token of its prefix
+        self.before = array("i", [0])  # the node of the prefix without that token
         self.follows: dict[int, bool] = {}
         self.chunks: dict[str, bytes] = {}
 
@@ -184,7 +185,7 @@ class TrieEncoder:
                 own.append(self._plain(rest))
             parts.append(own)
         needed = set().union(*(p for own in parts for p in own if isinstance(p, list)))
-        if len(self.last) > self.max_nodes or len(self.chunks) > self.max_nodes // 2:
+        if len(self.last) > self.max_nodes or len(self.chunks) > self.max_nodes * 2 // 3:
             self._clear()
         self._learn(sorted(needed - self.chunks.keys()))
         get = self.chunks.__getitem__
