@@ -40,16 +40,16 @@ _SHIFT = 10  # ids of a block: 2 ** 10
 
 def _word_pairs(paragraph: Column) -> Column:
     words = F.filter(F.split(paragraph, r"\s+"), lambda w: w != "")
-    return F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1)))
+    return F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), lambda w, after: F.xxhash64(w, after))
 
 
 def fingerprints(texts: DataFrame, keys: list[str]) -> DataFrame:
     """``keys`` and ``f``: array<long>, for each row (keys, text) with a
     paragraph; the keys identify a row.  Partial sums meet by the keys."""
     paragraphs = (texts.select(*keys, F.explode(F.split("text", "\n")).alias("p")).where(F.col("p").rlike(r"\S"))
-                  .select(*keys, F.posexplode(_word_pairs(F.col("p"))).alias("at", "h"), "p"))
-    first = F.when(F.col("at") == 0, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-    exact = [F.when(F.col("at") == 0, F.xxhash64(F.lit(k), F.col("p")).bitwiseAND(F.lit((1 << 40) - 1))).otherwise(F.lit(0).cast("bigint")) for k in range(EXACT)]
+                  .select(*keys, F.posexplode(_word_pairs(F.col("p"))).alias("place", "h"), "p"))
+    first = F.when(F.col("place") == 0, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    exact = [F.when(F.col("place") == 0, F.xxhash64(F.lit(k), F.col("p")).bitwiseAND(F.lit((1 << 40) - 1))).otherwise(F.lit(0).cast("bigint")) for k in range(EXACT)]
     hashed = paragraphs.select(*keys, first.alias("c0"), *(e.alias(f"c{1 + k}") for k, e in enumerate(exact)), F.lit(1).cast("bigint").alias(f"c{1 + EXACT}"), "h", F.xxhash64("h").alias("g"))
     bits = [F.sum(F.shiftright(h, i).bitwiseAND(F.lit(_MASK))) for h in ("h", "g") for i in range(_LANES)]
     sums = [F.sum(f"c{k}") for k in (0, 1 + EXACT, *range(1, 1 + EXACT))] + bits
