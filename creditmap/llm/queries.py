@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditmap.llm import chat_format, factorization_quality, kneser_ney_toxicity, language_mixture, length_histogram, multiset_fingerprint
+from creditmap.llm import chat_format, factorization_quality, kneser_ney_toxicity, language_mixture, length_histogram, multi_index_search, multiset_fingerprint
 from creditmap.llm.bpe_trie import encode_decode_digests
 from creditmap.llm.common import table
 from creditmap.llm.jaccard_join import Similarity, near_duplicates
@@ -60,6 +60,10 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Similarity(words=4, num=85, den=100))
 
 
+def op9_multi_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op10_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode_digests(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
 
@@ -73,6 +77,7 @@ QUERIES = {f.__name__: f for f in (
     op6_residual_packing,
     op7_multiset_fingerprint,
     op8_ngram_jaccard_join,
+    op9_multi_index_search,
     op10_bpe_trie,
 )}
 
@@ -92,6 +97,14 @@ SELECT conv_id, count(*) AS n_turns,
        sum(length(replace(role, '<', '<\') || replace(text, '<', '<\')) + 9 + 7 + 8)::BIGINT AS formatted_chars
 FROM t GROUP BY conv_id
 """.replace("\\\\", "\\"),
+    "op9_multi_index_search": """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, x -> coalesce(x, 0) > 0) AS code
+           FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL),
+d AS (SELECT q.vec_id AS query, v.vec_id, len(list_filter(list_zip(q.code, v.code), x -> x[1] <> x[2])) AS distance
+      FROM v q JOIN v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id)
+SELECT query, row_number() OVER (PARTITION BY query ORDER BY distance, vec_id) AS rank, vec_id, distance
+FROM d QUALIFY rank <= 10
+""",
     "op8_ngram_jaccard_join": f"""
 WITH RECURSIVE
   w AS (SELECT doc_id, {_WORDS} AS words FROM documents),
