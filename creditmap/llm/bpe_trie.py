@@ -3,9 +3,9 @@
 The symbols of a word are its bytes, the last one marked as word end.  The
 encoding of a prefix is the encoding of a shorter prefix plus one last token,
 and a token may follow another exactly if the two alone encode to themselves.
-So a trie of the distinct words holds, per node, only the last token of that
-prefix and the node before it; a depth-first walk computes each shared prefix
-once, and a word's ids are read back along the chain.
+So a trie of the distinct words holds, per node, the last token of that prefix
+and its ids; a depth-first walk computes each shared prefix once, from the node
+before its last token.
 
 A task keeps one trie and one table of finished words for all its texts and
 drops both when ``max_nodes`` is passed, so memory is bounded and nothing is
@@ -17,8 +17,10 @@ file without decoder.  NULL text is empty; an empty text has no ids.
 
 from __future__ import annotations
 
+import gc
 import json
 import math
+import re
 import struct
 from array import array
 from collections.abc import Iterator
@@ -32,7 +34,8 @@ from tokenizers import Regex, Tokenizer, pre_tokenizers
 # Fixed value of the tokenizer file's pre-tokenizer.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Text of which Python's lower(), split() and the pattern above give what the library gives; other text goes through the library's normalizer and splitter.
-_SIMPLE = regex.compile(r"[\t-\r\x20-\x7e\xa0-\u024f]*")
+_SIMPLE = re.compile(r"[\t-\r\x20-\x7e\xa0-\u012f\u0131-\u024f]*")
+_SHORT = (2, 1)
 
 
 def byte_characters() -> list[str]:
@@ -45,7 +48,7 @@ def byte_characters() -> list[str]:
 class TrieEncoder:
     """Encodes texts for one tokenizer file."""
 
-    def __init__(self, path: str, max_nodes: int = 1_500_000):
+    def __init__(self, path: str, max_nodes: int = 1_200_000):
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
         model = file["model"]
@@ -53,6 +56,7 @@ class TrieEncoder:
         suffix = model["end_of_word_suffix"] or ""
         vocabulary: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
+        self._specials = f"({'|'.join(map(regex.escape, self.special))})"
         self.tokens = {i: t for t, i in (vocabulary | self.special).items()}
         self._library = Tokenizer.from_file(path)
         self._split = pre_tokenizers.Split(Regex(_PIECES.pattern), "removed", invert=True)
@@ -80,6 +84,7 @@ class TrieEncoder:
             text, table = raw[whole]
             if table.get(text) is None and not self._merge_across(a, b, rank):
                 table[text] = whole
+        self.own = [struct.pack("<I", i) for i in range(max(self.tokens) + 1)]
         #: by the last three bytes of a token: the lengths that such tokens have, longest first
         self.lengths: dict[bool, dict[bytes, list[int]]] = {}
         for ends, table in ((False, self.inside), (True, self.ending)):
@@ -87,7 +92,7 @@ class TrieEncoder:
             for text in table:
                 if len(text) > 2:
                     own.setdefault(text[-3:], set()).add(len(text))
-            self.lengths[ends] = {k: [*sorted(v, reverse=True), 2, 1] for k, v in own.items()}
+            self.lengths[ends] = {k: [*sorted(v, reverse=True), *_SHORT] for k, v in own.items()}
         self._clear()
 
     def _merge_across(self, a: int, b: int, limit: float) -> bool:
@@ -105,92 +110,104 @@ class TrieEncoder:
     def _clear(self) -> None:
         self.children: dict[int, int] = {}  # 256 * node + byte: node
         self.last = array("i", [-1])  # of each node, the last token of its prefix
-        self.before = array("i", [0])  # the node of the prefix without that token
+        self.codes = [b""]  # of each node, the ids of its prefix
         self.follows: dict[int, bool] = {}
         self.chunks: dict[str, bytes] = {}
 
-    def _resolve(self, path: list[int], prefix: bytes, ends: bool) -> tuple[int, int]:
-        """(last token, node before it) of a prefix; ``path``: nodes of its own prefixes."""
-        table, n = self.ending if ends else self.inside, len(prefix)
-        for length in self.lengths[ends].get(prefix[-3:], (2, 1)):
-            cut = n - length
-            if cut < 0:
-                continue
-            token = table.get(prefix[cut:])
-            if token is not None:
-                node = path[cut]
-                previous = self.last[node]
-                if previous < 0:
-                    return token, node
-                key = previous << 20 | token
-                follows = self.follows.get(key)
-                if follows is None:
-                    follows = self.follows[key] = not self._merge_across(previous, token, math.inf)
-                if follows:
-                    return token, node
-        raise ValueError(f"no token ends {prefix!r}")
-
-    def encode_words(self, words: set[bytes]) -> dict[bytes, tuple[int, ...]]:
+    def encode_words(self, words: set[str]) -> None:
         """Insert the words into the trie, walking its new part depth-first."""
-        found = {}
-        children, last, before = self.children, self.last, self.before
+        children, last, codes, follows, chunks = self.children, self.last, self.codes, self.follows, self.chunks
+        across, own = self._merge_across, self.own
+
+        def resolve(prefix: bytes, table: dict[bytes, int], lengths: dict[bytes, list[int]]) -> tuple[int, int]:
+            """(last token, node before it); ``path``: nodes of the prefix's own prefixes."""
+            n = len(prefix)
+            for length in lengths.get(prefix[-3:], _SHORT):
+                if length <= n:
+                    token = table.get(prefix[n - length :])
+                    if token is not None:
+                        node = path[n - length]
+                        previous = last[node]
+                        if previous < 0:
+                            return token, node
+                        key = previous << 20 | token
+                        fits = follows.get(key)
+                        if fits is None:
+                            fits = follows[key] = not across(previous, token, math.inf)
+                        if fits:
+                            return token, node
+            raise ValueError(f"no token ends {prefix!r}")
+
+        inside, inside_lengths, ending, ending_lengths = self.inside, self.lengths[False], self.ending, self.lengths[True]
         path, walked = [0], b""
-        for word in sorted(words):  # visits the trie depth-first
+        for text in sorted(words):  # visits the trie depth-first
+            word = text.encode()
             shared, most = 0, min(len(walked), len(word) - 1)
             while shared < most and walked[shared] == word[shared]:
                 shared += 1
             del path[shared + 1 :]
+            node = path[-1]
             for depth in range(shared, len(word) - 1):
-                key = path[-1] << 8 | word[depth]
+                key = node << 8 | word[depth]
                 node = children.get(key)
                 if node is None:
-                    token, prior = self._resolve(path, word[: depth + 1], False)
+                    token, prior = resolve(word[: depth + 1], inside, inside_lengths)
                     node = children[key] = len(last)
                     last.append(token)
-                    before.append(prior)
+                    codes.append(codes[prior] + own[token])
                 path.append(node)
             walked = word[:-1]
-            token, node = self._resolve(path, word, True)
-            ids = [token]
-            while node:
-                ids.append(last[node])
-                node = before[node]
-            found[word] = tuple(reversed(ids))
-        return found
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Encode chunks (text between blanks) that are not known yet."""
-        pieces = [[p.encode() for p in (_PIECES.findall(c) if _SIMPLE.fullmatch(c) else [x[0] for x in self._split.pre_tokenize_str(c)])] for c in chunks]
-        words = self.encode_words({p for ps in pieces for p in ps})
-        for chunk, ps in zip(chunks, pieces):
-            ids = words[ps[0]] if len(ps) == 1 else [i for p in ps for i in words[p]]
-            self.chunks[chunk] = struct.pack(f"<{len(ids)}I", *ids)
-
-    def _plain(self, text: str) -> list[str]:
-        """The chunks of a text without special tokens."""
+            token, prior = resolve(word, ending, ending_lengths)
+            chunks[text] = codes[prior] + own[token]
+
+    def _learn(self, fresh: set[str], simple: bool) -> None:
+        """Encode chunks (text between blanks) that are not known yet; a word is a chunk as well."""
+        chunks = self.chunks
+        words = {c for c in fresh if c.isalpha()} if simple else set()
+        pieces = {}
+        for chunk in fresh - words:
+            if simple and chunk[-1] in ".,!?;:" and chunk[:-1].isalpha():
+                pieces[chunk] = [chunk[:-1], chunk[-1]]
+            else:
+                pieces[chunk] = _PIECES.findall(chunk) if simple else [x[0] for x in self._split.pre_tokenize_str(chunk)]
+        words.update(*pieces.values())
+        self.encode_words(words - chunks.keys())
+        for chunk, ps in pieces.items():
+            if len(ps) != 1 or ps[0] != chunk:
+                chunks[chunk] = b"".join([chunks[p] for p in ps])
+
+    def _plain(self, text: str) -> tuple[list[str], bool]:
+        """The chunks of a text without special tokens; whether they are simple."""
         if _SIMPLE.fullmatch(text):  # composed already
-            return text.lower().split()
-        return [c for c in self._library.normalizer.normalize_str(text).split(" ") if c]
+            return text.lower().split(), True
+        return [c for c in self._library.normalizer.normalize_str(text).split(" ") if c], False
 
     def encode_batch(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
+        if len(self.last) > self.max_nodes or len(self.chunks) > self.max_nodes:
+            self._clear()
         parts: list[list[list[str] | bytes]] = []
+        needed: dict[bool, list[list[str]]] = {True: [], False: []}
         for text in texts:
             own: list[list[str] | bytes] = []
-            rest = text or ""
-            if "<|" in rest:
-                for part in regex.split(f"({'|'.join(map(regex.escape, self.special))})", rest):
-                    own.append(np.array([self.special[part]], "<u4").tobytes() if part in self.special else self._plain(part))
-            elif rest:
-                own.append(self._plain(rest))
+            for part in regex.split(self._specials, text) if text and "<|" in text else [text]:
+                if part in self.special:
+                    own.append(struct.pack("<I", self.special[part]))
+                elif part:
+                    chunks, simple = self._plain(part)
+                    needed[simple].append(chunks)
+                    own.append(chunks)
             parts.append(own)
-        needed = set().union(*(p for own in parts for p in own if isinstance(p, list)))
-        if len(self.last) > self.max_nodes or len(self.chunks) > self.max_nodes * 2 // 3:
-            self._clear()
-        self._learn(sorted(needed - self.chunks.keys()))
-        get = self.chunks.__getitem__
+        gc.disable()  # no cycles are made here, and its passes would walk over all these objects
+        found: dict[str, bytes] = {}  # small, so that each occurrence is looked up nearby
+        for simple, lists in needed.items():
+            own = set().union(*lists)
+            self._learn(own - self.chunks.keys(), simple)
+            found.update(zip(own, map(self.chunks.__getitem__, own)))
+        gc.enable()
+        get = found.__getitem__
         for own in parts:
-            yield b"".join(p if isinstance(p, bytes) else b"".join(map(get, p)) for p in own)
+            yield b"".join([p if isinstance(p, bytes) else b"".join(map(get, p)) for p in own])
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(map(self.tokens.__getitem__, ids))
