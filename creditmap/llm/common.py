@@ -83,7 +83,7 @@ _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """_BASE ** i and its inverse mod 2 ** 64 for i < n."""
     if len(_POWERS[0]) < n:
-        size = max(n, 2 * BLOCK_BYTES)
+        size = max(n, BLOCK_BYTES + BLOCK_BYTES // 2)
         if size > 16 * BLOCK_BYTES:  # a very long text: not kept
             return _geometric(_BASE, size), _geometric(pow(_BASE, -1, 2**64), size)
         _POWERS[:] = [_geometric(_BASE, size), _geometric(pow(_BASE, -1, 2**64), size)]

@@ -81,7 +81,7 @@ QUERIES = {f.__name__: f for f in (
     op10_bpe_trie,
 )}
 
-_WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '')"
+_WORDS = r"[x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> '']"
 
 ORACLE_SQL: dict[str, str] = {
     "op5_chat_format": r"""
@@ -98,9 +98,9 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id
 """.replace("\\\\", "\\"),
     "op9_multi_index_search": """
-WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, x -> coalesce(x, 0) > 0) AS code
+WITH v AS (SELECT DISTINCT vec_id, [coalesce(x, 0) > 0 FOR x IN embedding] AS code
            FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL),
-d AS (SELECT q.vec_id AS query, v.vec_id, len(list_filter(list_zip(q.code, v.code), x -> x[1] <> x[2])) AS distance
+d AS (SELECT q.vec_id AS query, v.vec_id, len([x FOR x IN list_zip(q.code, v.code) IF x[1] <> x[2]]) AS distance
       FROM v q JOIN v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id)
 SELECT query, row_number() OVER (PARTITION BY query ORDER BY distance, vec_id) AS rank, vec_id, distance
 FROM d QUALIFY rank <= 10
@@ -111,7 +111,7 @@ WITH RECURSIVE
   g AS (
     SELECT DISTINCT doc_id, gram FROM (
       SELECT doc_id, unnest(CASE WHEN len(words) >= 4
-               THEN list_transform(range(1, len(words) - 2), i -> array_to_string(words[i:i + 3], ' '))
+               THEN [array_to_string(words[i:i + 3], ' ') FOR i IN range(1, len(words) - 2)]
                WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS gram FROM w)),
   n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
   hits AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY ALL),
