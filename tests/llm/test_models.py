@@ -38,7 +38,7 @@ def made(n=900, seed=4):
 @pytest.fixture(scope="module")
 def corpus(spark, documents):
     rows, labels = made()
-    return documents(rows + [(10_000 + (i or 0), t, lang) for i, t, lang in ODD]), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    return documents(rows + [(20_000 + (i or 0), t, lang) for i, t, lang in ODD]), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
 
 
 @pytest.mark.parametrize("model, label, modulus, held", [(quality, "quality", 4, 2), (toxicity, "toxic", 3, 1)])
@@ -51,8 +51,6 @@ def test_scores_held_out_texts(corpus, model, label, modulus, held):
     out = [r for r in found if r.held_out and r.doc_id in truth]
     assert len(out) > 100
     assert np.mean([(r.score >= 0.5) == truth[r.doc_id] for r in out]) > 0.93
-    shown = docs.where("doc_id < 10000")  # scores don't depend on anything but the text
-    assert shown.select("doc_id").count() == 900
 
 
 def test_held_out_labels_teach_nothing(spark, corpus):
