@@ -8,32 +8,35 @@ agree (sums are cast to DECIMAL(38, s), counts are BIGINT).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .config import AttributionConfig, testdata_config
 from .functions import predicates as P
 from .functions.keys import (
-    branch_key, client_key, dealer_rep_key, dealer_type, month_end, vendor_key,
+    branch_key, client_key, dealer_rep_key, dealer_type, master_dealer_rep_key, month_end, same_text, vendor_key,
 )
-from .operators.intervals import effective_dated_left
+from .operators.intervals import pick_interval
 from .operators.output import accumulate, conform
-from .operators.owners import attach_owner, rank_owner
+from .operators.owners import rank_owner, waterfall_step
 from .operators.snapshot import snapshot
 from .operators.versions import hop_as_of, hop_to_current
+from .plans import lookup as L
 from .plans import market_share as MS
 from .plans import owners as OW
 from .plans import sales_assets as SA
 from .plans import vendor as V
-from .plans.bridge import attach_dealer_rep, dealer_rep_bridge, dealer_rep_codes
+from .plans.bridge import dealer_rep_bridge, dealer_rep_codes
 from .plans.inhouse import (
     direct_source, etf_flows_and_holdings, in_house_daily, in_house_monthly, source_territories,
 )
 from .plans.territory import distributor_territories
 from .schemas import MARKET_SHARE_COLUMNS, SALES_ASSETS_COLUMNS
 from .sources import registry as R
+from .sources.peers import peer_list
 from .sources.registry import Sources
 from .sources.testdata import testdata_sources
 
@@ -73,8 +76,7 @@ def _q_branch_key(src, cfg):
 
 @register("postal_key_replace")
 def _q_postal_key(src, cfg):
-    part = src.spark.read.parquet(f"{src.sf_dir}/part.parquet")
-    return part.select(
+    return src["part"].select(
         "p_partkey",
         branch_key("p_brand", "p_name").alias("key_raw"),
         branch_key("p_brand", "p_name", replace_blanks=True).alias("key_dash"),
@@ -83,8 +85,9 @@ def _q_postal_key(src, cfg):
 
 @register("client_key_left4")
 def _q_client_key(src, cfg):
-    pol = src[R.POLICY].select(F.col("Policy_ID").alias("Customer_ID"), "Host_Distributor_Num")
-    return src[R.CUSTOMER_ADDRESS].join(pol, "Customer_ID").select(
+    owners = src[R.POLICY_CUSTOMER].select("Customer_ID", "Policy_ID").join(
+        src[R.POLICY].select("Policy_ID", "Host_Distributor_Num"), "Policy_ID")
+    return src[R.CUSTOMER_ADDRESS].join(owners, "Customer_ID").select(
         "Customer_ID",
         client_key("Host_Distributor_Num", "Postal_Code").alias("cBranch_raw"),
         client_key("Host_Distributor_Num", "Postal_Code", replace_blanks=True).alias("cBranch_dash"),
@@ -100,8 +103,8 @@ def _q_dealer_rep_key(src, cfg):
 
 @register("dealer_type_case")
 def _q_dealer_type(src, cfg):
-    dealer = src.small(R.REF_DEALER).select(F.col("ETF_Dealer_Code").alias("Firm_ID"), "MLI_Dealer_Code")
-    return src.small(R.FIRM).join(dealer, "Firm_ID", "left").select(
+    dealer = src[R.REF_DEALER].select(F.col("ETF_Dealer_Code").alias("Firm_ID"), "MLI_Dealer_Code")
+    return src[R.FIRM].join(dealer, "Firm_ID", "left").select(
         "Firm_ID", "MLI_Dealer_Code", dealer_type("MLI_Dealer_Code").alias("Dealer_Type")
     )
 
@@ -129,9 +132,9 @@ def _q_latest(src, cfg):
 
 @register("firm_exclusion_3vl")
 def _q_firm_exclusion(src, cfg):
-    firm = src.small(R.FIRM).select(F.col("Firm_ID").alias("Office_ID"), "Firm_Name")
+    firm = src[R.FIRM].select(F.col("Firm_ID").alias("Office_ID"), "Firm_Name")
     return (
-        src.small(R.DEALER_BRANCH).join(firm, "Office_ID")
+        src[R.DEALER_BRANCH].join(firm, "Office_ID")
         .where(P.firm_kept("Firm_Name", "Dealer_Branch_CD", cfg))
         .select("Dealer_Branch_ID", "Firm_Name", "Dealer_Branch_CD")
     )
@@ -159,29 +162,33 @@ def _q_default_branch(src, cfg):
 
 # ---- versioned hops -------------------------------------------------------------
 
+def _by(df, key, *sums):
+    """Rows per key with their number and sums, before a dimension hop."""
+    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"), *[F.sum(c).alias(c) for c in sums])
+
+
 @register("hop_current")
 def _q_hop_current(src, cfg):
     rows = hop_to_current(
-        src[R.ASSET_DAILY], src[R.SELLING_CODE], "Original_Selling_Code_ID", "Selling_Code_ID", "Selling_Code",
+        _by(src[R.ASSET_DAILY], ["Original_Selling_Code_ID"], "Asset_Value_Amt"), src[R.SELLING_CODE],
+        "Original_Selling_Code_ID", "Selling_Code_ID", "Selling_Code",
         {"Selling_Code_ID": "Current_Selling_Code_ID", "Distributor_ID": "Current_Distributor_ID"},
         active_flag=cfg.active_flag,
     )
     return rows.groupBy("Current_Selling_Code_ID", "Current_Distributor_ID").agg(
-        F.count(F.lit(1)).alias("n"), d2(F.sum("Asset_Value_Amt")).alias("assets")
+        F.sum("__n").alias("n"), d2(F.sum("Asset_Value_Amt")).alias("assets")
     )
 
 
 @register("hop_as_of")
 def _q_hop_as_of(src, cfg):
-    dates = src.small(R.DATE_DIM).select(F.col("Date_ID").alias("Reporting_Date_ID"), "Calendar_Date")
-    sc = src[R.SELLING_CODE].select(F.col("Selling_Code_ID").alias("Original_Selling_Code_ID"),
-                                    F.col("Selling_Code").alias("__code"))
-    rows = (
-        src[R.ASSET_DAILY].join(dates, "Reporting_Date_ID").join(sc, "Original_Selling_Code_ID")
-        .withColumn("__day", F.col("Calendar_Date").cast("date"))
-    )
+    dates = src[R.DATE_DIM].select(F.col("Date_ID").alias("Reporting_Date_ID"), F.col("Calendar_Date").cast("date").alias("__day"))
+    codes = src[R.SELLING_CODE].select(F.col("Selling_Code_ID").alias("Original_Selling_Code_ID"),
+                                       F.col("Selling_Code").alias("__code"))
+    rows = _by(src[R.ASSET_DAILY], ["Reporting_Date_ID", "Original_Selling_Code_ID"], "Asset_Value_Amt")
+    rows = rows.join(dates, "Reporting_Date_ID").join(codes, "Original_Selling_Code_ID")
     rows = hop_as_of(rows, src[R.SELLING_CODE], "__code", "Selling_Code", "__day", {"Selling_Code_ID": "Version_ID"})
-    return rows.groupBy("Version_ID").agg(F.count(F.lit(1)).alias("n"), d2(F.sum("Asset_Value_Amt")).alias("assets"))
+    return rows.groupBy("Version_ID").agg(F.sum("__n").alias("n"), d2(F.sum("Asset_Value_Amt")).alias("assets"))
 
 
 @register("typed_territory_link")
@@ -191,32 +198,38 @@ def _q_typed_link(src, cfg):
 
 @register("effective_dated_override")
 def _q_override(src, cfg):
-    rows = src[R.MARKET_SHARE].join(
-        src.small(R.DEALER_BRANCH).select("Dealer_Branch_ID", "Dealer_Branch_CD"), "Dealer_Branch_ID"
-    )
-    rows = effective_dated_left(rows, src.small(R.REF_TERRITORY), "Dealer_Branch_CD", "Reporting_Date",
-                                "ETF_Branch_Name", "Effective_Date", "End_Date",
-                                {"MLI_Territory_Name": "MLI_Territory_Name"})
-    return rows.groupBy("Dealer_Branch_CD", "MLI_Territory_Name").agg(
-        F.count(F.lit(1)).alias("n"), d2(F.sum("Industry_Asset_Amount")).alias("assets")
+    rows = _by(src[R.MARKET_SHARE], ["Dealer_Branch_ID", "Reporting_Date"], "Industry_Asset_Amount").join(
+        V.with_overrides(src[R.DEALER_BRANCH].select("Dealer_Branch_ID", "Dealer_Branch_CD"), src), "Dealer_Branch_ID")
+    return pick_interval(rows, "Reporting_Date", "MLI_Territory_Name").groupBy("Dealer_Branch_CD", "MLI_Territory_Name").agg(
+        F.sum("__n").alias("n"), d2(F.sum("Industry_Asset_Amount")).alias("assets")
     )
 
 
 # ---- owners -------------------------------------------------------------------
 
+def _ranked(cands, order):
+    ranked = rank_owner(cands, OW.OWNER_KEY, order, OW.OWNER_TERRITORY)
+    return ranked.select("BR", "Territory", d2("Assets").alias("Assets"), *order[1:], F.col("rn").cast("bigint").alias("rn"))
+
+
 @register("rank_owner_advisor")
 def _q_rank_advisor(src, cfg):
-    ranked = rank_owner(OW.advisor_candidates(src, cfg, False, False), OW.OWNER_KEY, OW.ADVISOR_ORDER,
-                        OW.OWNER_TERRITORY)
-    return ranked.select("BR", "Territory", d2("Assets").alias("Assets"), "Parties",
-                         F.col("rn").cast("bigint").alias("rn"))
+    return _ranked(OW.advisor_candidates(src, cfg, False, False), OW.ADVISOR_ORDER)
+
+
+@register("rank_owner_advisor_monthly")
+def _q_rank_advisor_monthly(src, cfg):
+    return _ranked(OW.advisor_candidates(src, cfg, True, True), OW.ADVISOR_ORDER)
 
 
 @register("rank_owner_client")
 def _q_rank_client(src, cfg):
-    ranked = rank_owner(OW.client_candidates(src, cfg, False, False), OW.OWNER_KEY, OW.CLIENT_ORDER,
-                        OW.OWNER_TERRITORY)
-    return ranked.select("BR", "Territory", d2("Assets").alias("Assets"), F.col("rn").cast("bigint").alias("rn"))
+    return _ranked(OW.client_candidates(src, cfg, False, False), OW.CLIENT_ORDER)
+
+
+@register("rank_owner_client_policy")
+def _q_rank_client_policy(src, cfg):
+    return _ranked(OW.client_candidates(src, cfg, True, True), OW.CLIENT_ORDER)
 
 
 def _daily_positions_all_days(src, cfg):
@@ -233,26 +246,17 @@ def _pos_select(df, *extra):
 
 
 def _attached(src, cfg):
-    owners = OW.advisor_owner(src, cfg, replace_blanks=False, blacklist=False)
-    return attach_owner(_daily_positions_all_days(src, cfg), owners, "aBR", OW.OWNER_KEY, OW.OWNER_TERRITORY,
-                        "Territory")
+    return MS.attached_positions(src, cfg.with_(as_of=None), (MS.ADVISOR,))
 
 
 @register("preserve_left_attach")
 def _q_attach(src, cfg):
-    return _pos_select(_attached(src, cfg), "Territory")
+    return _pos_select(_attached(src, cfg).withColumnRenamed("Rank_Group", "PeerGroup"), F.col(L.TERRITORY).alias("Territory"))
 
 
 @register("territory_waterfall")
 def _q_waterfall(src, cfg):
-    x = _attached(src, cfg)
-    outcome = (
-        F.when(F.col("MLI_Territory_Name").isNotNull(), F.lit("override"))
-        .when(F.col("Dealer_Branch_CD").isin(*cfg.house_accounts), F.lit("house"))
-        .when(F.col("Territory").isNotNull(), F.lit("ranked"))
-        .otherwise(F.lit("none"))
-    )
-    return x.groupBy(outcome.alias("outcome")).agg(
+    return _attached(src, cfg).groupBy(MS.resolve(cfg, waterfall_step).alias("outcome")).agg(
         F.count(F.lit(1)).alias("n"), d2(F.sum("Asset_Position_Balance")).alias("balance")
     )
 
@@ -266,8 +270,16 @@ def _q_vendor_daily(src, cfg):
 
 @register("vendor_position_rollup_monthly")
 def _q_vendor_monthly(src, cfg):
-    x = V.branch_positions_monthly(V.sales_positions(src, cfg), V.SA_ACTUAL)
-    return x.select(
+    return _monthly(src, cfg, V.SA_ACTUAL)
+
+
+@register("vendor_position_rollup_correlated")
+def _q_vendor_correlated(src, cfg):
+    return _monthly(src, cfg, V.SA_CORRELATED)
+
+
+def _monthly(src, cfg, route):
+    return V.branch_positions_monthly(V.sales_positions(src, cfg), route).select(
         "Asset_Position_Reporting_Date", "Firm_Name", "aBR", "cBR", "Dealer_Type", "CUSIP", "Office_Type",
         "Dealer_Branch_CD", "Account_Type", "MLI_Territory_Name",
         d6("Asset_Position_Shares").alias("Asset_Position_Shares"),
@@ -315,39 +327,76 @@ def _q_bridge(src, cfg):
 
 @register("point_in_interval_attach")
 def _q_point_in_interval(src, cfg):
-    x = attach_dealer_rep(_rep_daily_all_days(src, cfg), dealer_rep_bridge(src, cfg))
+    x = MS.attached_positions(src, cfg.with_(as_of=None), (MS.REP,))
     return x.select(
-        *_REP_COLS, d2("Asset_Position_Shares").alias("Asset_Position_Shares"),
-        d2("Asset_Position_Balance").alias("Asset_Position_Balance"), "Selling_Code", "Territory_External_ID",
+        "Firm_Name", "Dealer_Type", "aBR", "Office_Type", F.col("Reporting_Date").cast("date").alias("Reporting_Date"),
+        F.col("Rank_Group").alias("PEER_GROUP"), d2("Asset_Position_Shares").alias("Asset_Position_Shares"),
+        d2("Asset_Position_Balance").alias("Asset_Position_Balance"), F.col(L.SELLING_CODE).alias("Selling_Code"),
+        F.col(L.TERRITORY).alias("Territory_External_ID"),
     )
 
 
 @register("fallback_branch_coalesce")
 def _q_fallback(src, cfg):
-    return conform(MS.rep_stage(_rep_daily_all_days(src, cfg), dealer_rep_bridge(src, cfg)), MARKET_SHARE_COLUMNS)
+    return conform(MS.vendor_stages(src, cfg.with_(as_of=None), (MS.REP,)), MARKET_SHARE_COLUMNS)
 
 
 # ---- in-house and dealer files -----------------------------------------------------
 
+def _per_product(src):
+    return _by(src[R.ASSET_DAILY], ["inv_Product_ID"], "Asset_Value_Amt", "Number_Of_Units")
+
+
 @register("peer_values_join")
 def _q_peers(src, cfg):
-    prod = src.small(R.PRODUCT_DIM).select(F.col("Product_ID").alias("inv_Product_ID"), "Product_Name")
+    prod = src[R.PRODUCT_DIM].select(F.col("Product_ID").alias("inv_Product_ID"), "Product_Name")
     peers = MS.peers_of(src).select(F.col("CUSIP").alias("Product_Name"), "PEER_GROUP")
-    rows = src[R.ASSET_DAILY].join(prod, "inv_Product_ID").join(peers, "Product_Name")
+    rows = _per_product(src).join(prod.join(peers, "Product_Name"), "inv_Product_ID")
     return rows.groupBy("PEER_GROUP").agg(
-        F.count(F.lit(1)).alias("n"), d2(F.sum("Asset_Value_Amt")).alias("assets"),
-        d6(F.sum("Number_Of_Units")).alias("units"),
+        F.sum("__n").alias("n"), d2(F.sum("Asset_Value_Amt")).alias("assets"), d6(F.sum("Number_Of_Units")).alias("units"),
     )
 
 
+@register("peer_list_literal")
+def _q_peer_list(src, cfg):
+    """The script's own list, against products that are given its names in turn."""
+    peers = peer_list(src.spark)
+    place = Window.orderBy("CUSIP")
+    names = peers.select("CUSIP").distinct().select("CUSIP", (F.row_number().over(place) - 1).alias("__at"))  # 91 rows
+    prod = src[R.PRODUCT_DIM].select(F.col("Product_ID").alias("inv_Product_ID"), (F.col("Product_ID") % 130).alias("__at"))
+    rows = _per_product(src).join(prod.join(names, "__at").join(peers, "CUSIP"), "inv_Product_ID")
+    return rows.groupBy("CUSIP", "PEER_GROUP").agg(F.sum("__n").alias("n"), d2(F.sum("Asset_Value_Amt")).alias("assets"))
+
+
+@register("peer_join_collation")
+def _q_peer_collation(src, cfg):
+    """Product names with another case, an accent or trailing blanks find their peer (Q-16)."""
+    name, at = F.col("Product_Name"), F.col("Product_ID") % 5
+    varied = src[R.PRODUCT_DIM].withColumn("Product_Name", F.when(at == 0, F.lower(name)).when(at == 1, F.concat(name, F.lit("  ")))
+                                           .when(at == 2, F.replace(name, F.lit("U"), F.lit("\u00dc"))).otherwise(name))
+    house = in_house_daily(src.with_table(R.PRODUCT_DIM, varied), cfg, MS.peers_of(src))
+    return conform(house, MARKET_SHARE_COLUMNS)
+
+
+@register("key_varchar30")
+def _q_key_varchar30(src, cfg):
+    """Keys of long codes and of codes with trailing blanks (CAST AS varchar keeps 30 characters)."""
+    long = F.concat(F.repeat(F.lit("D"), 24), F.col("s_suppkey").cast("string"), F.lit("-0123456789"))
+    x = src["supplier"].select(
+        "s_suppkey", long.alias("code"), F.concat("s_name", F.lit("   ")).alias("branch"), F.concat(F.lit("P "), F.lit("  ")).alias("postal"))
+    keys = {"vendor": vendor_key("code", "s_suppkey", "postal"), "rep": dealer_rep_key("code", "branch"),
+            "master": master_dealer_rep_key("code", "code"), "advisor": branch_key("code", "postal"), "branch": F.col("branch")}
+    return x.select("s_suppkey", *[same_text(k).alias(name) for name, k in keys.items()])
+
+
 @register("semi_product_filter")
 def _q_semi(src, cfg):
-    etf = src.small(R.ETF_PRODUCT).where(F.col("Product_Type") == F.lit(cfg.etf_product_type)).select(
+    etf = src[R.ETF_PRODUCT].where(F.col("Product_Type") == F.lit(cfg.etf_product_type)).select(
         F.col("Product_CUSIP").alias("Product_Name")
     )
-    prod = src.small(R.PRODUCT_DIM).select("Product_ID", "Product_Name").join(etf, "Product_Name", "left_semi")
-    rows = src[R.NBV_MONTHEND].join(prod, "Product_ID")
-    return rows.groupBy("Product_Name").agg(F.count(F.lit(1)).alias("n"), d2(F.sum("Txn_Amt")).alias("amount"))
+    prod = src[R.PRODUCT_DIM].select("Product_ID", "Product_Name").join(etf, "Product_Name", "left_semi")
+    rows = _by(src[R.NBV_MONTHEND], ["Product_ID"], "Txn_Amt").join(prod, "Product_ID")
+    return rows.groupBy("Product_Name").agg(F.sum("__n").alias("n"), d2(F.sum("Txn_Amt")).alias("amount"))
 
 
 @register("union_distinct_txn_hold")
@@ -372,9 +421,9 @@ def _q_direct(src, cfg):
 
 @register("duplicate_link_fanout")
 def _q_fanout(src, cfg):
-    rows = src[R.DIRECT_SOURCE].join(source_territories(src, cfg), "Selling_Code")
+    rows = _by(src[R.DIRECT_SOURCE], ["Selling_Code"], "Assets").join(source_territories(src, cfg), "Selling_Code")
     return rows.groupBy("Selling_Code", "Territory_External_ID").agg(
-        F.sum("__times").cast("bigint").alias("n"), d2(F.sum(F.col("Assets") * F.col("__times"))).alias("assets")
+        F.sum(F.col("__n") * F.col("__times")).cast("bigint").alias("n"), d2(F.sum(F.col("Assets") * F.col("__times"))).alias("assets")
     )
 
 
@@ -396,10 +445,8 @@ def _q_conform(src, cfg):
 
 @register("accumulate_distinct")
 def _q_accumulate(src, cfg):
-    positions = _daily_positions_all_days(src, cfg)
-    s1 = MS.branch_stage(positions, OW.advisor_owner(src, cfg, False, False), cfg)
-    s2 = MS.branch_stage(positions, OW.client_owner(src, cfg, False, False), cfg)
-    return accumulate(conform(s1, MARKET_SHARE_COLUMNS), conform(s2, MARKET_SHARE_COLUMNS))
+    cfg = cfg.with_(as_of=None)
+    return accumulate(*(conform(MS.vendor_stages(src, cfg, (stage,)), MARKET_SHARE_COLUMNS) for stage in (MS.ADVISOR, MS.CLIENT)))
 
 
 @register("market_share_attribution")
@@ -407,6 +454,21 @@ def _q_market_share(src, cfg):
     return MS.market_share(src, cfg)
 
 
+@register("market_share_attribution_all_days")
+def _q_market_share_all_days(src, cfg):
+    """The full history: the script's one-day filter is marked for removal there."""
+    return MS.market_share(src, cfg.with_(as_of=None))
+
+
+#: A day inside the validity of the analog overrides.
+AS_OF = dt.date(1997, 6, 30)
+
+
+@register("market_share_as_of")
+def _q_market_share_as_of(src, cfg):
+    return MS.market_share(src, cfg.with_(as_of=AS_OF))
+
+
 @register("sales_assets_attribution")
 def _q_sales_assets(src, cfg):
     return SA.sales_assets(src, cfg)
@@ -417,13 +479,12 @@ def _q_sales_assets(src, cfg):
 _SOURCES: dict[tuple, Sources] = {}
 
 
-def sources_for(spark: SparkSession, sf_dir: str, cfg: AttributionConfig) -> Sources:
-    """The adapter registry for ``sf_dir``; built once per session (the
-    DataFrames are lazy plans, so sharing them only shares file listings
-    and the broadcast size checks)."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), cfg.broadcast_max_rows)
+def sources_for(spark: SparkSession, sf_dir: str) -> Sources:
+    """The adapter registry for ``sf_dir``, one per session.  Its tables are
+    written when first read; relations are kept by name and configuration."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _SOURCES:
-        src = testdata_sources(spark, sf_dir, cfg.broadcast_max_rows)
+        src = testdata_sources(spark, sf_dir)
         src.sf_dir = sf_dir.rstrip("/")
         _SOURCES[key] = src
     return _SOURCES[key]
@@ -431,7 +492,7 @@ def sources_for(spark: SparkSession, sf_dir: str, cfg: AttributionConfig) -> Sou
 
 def build(name: str, spark: SparkSession, sf_dir: str, cfg: AttributionConfig | None = None) -> DataFrame:
     cfg = cfg or testdata_config()
-    return _REGISTRY[name](sources_for(spark, sf_dir, cfg), cfg)
+    return _REGISTRY[name](sources_for(spark, sf_dir), cfg)
 
 
 def names() -> list[str]:

@@ -73,9 +73,9 @@ class AttributionConfig:
     direct_source_firm: str = DIRECT_SOURCE_FIRM
     etf_product_type: str = ETF_PRODUCT_TYPE
     as_of: str | _dt.date | None = "latest"
-    # Largest row count of a reference table that may be broadcast; the
-    # check is a bounded count, beyond it Spark plans a shuffle join.
-    broadcast_max_rows: int = 1_000_000
+    # How product names and the peer list's CUSIPs compare: the list declares a
+    # collation without case, accents and trailing blanks.
+    peer_collation: str = "UNICODE_CI_AI_RTRIM"
     # Raise (as T-SQL does) when RIGHT(code, LEN(code)-4) gets a code shorter
     # than 4; otherwise yield '' like Spark's right().
     strict_right: bool = False

@@ -2,6 +2,10 @@
 
 All keys are NULL-propagating string concatenations (T-SQL ``+`` on
 strings): one NULL part makes the whole key NULL, so it never matches.
+
+Strings compare as in T-SQL without trailing blanks (Q-16): ``same_text``
+strips them where a column or a finished key is compared, grouped or joined.
+Blanks inside a key stay.
 """
 
 from __future__ import annotations
@@ -17,8 +21,13 @@ def col(c) -> Column:
 
 
 def as_text(c) -> Column:
-    """CAST(x AS varchar)."""
-    return col(c).cast("string")
+    """CAST(x AS varchar): the first 30 characters."""
+    return F.left(col(c).cast("string"), F.lit(30))
+
+
+def same_text(c) -> Column:
+    """The string as comparisons see it."""
+    return F.rtrim(col(c))
 
 
 def blanks_to_dash(c) -> Column:

@@ -1,7 +1,7 @@
 """Row filters of the vendor stages.
 
 Written exactly as the scripts' boolean expressions so that SQL
-three-valued logic carries over: a NULL firm name, dealer code or office
+three-valued logic carries over (trailing blanks never count): a NULL firm name, dealer code or office
 type makes ``<>``/``NOT IN`` unknown and the row is dropped.  Never
 rewrite these with null-safe equality.
 """
@@ -12,22 +12,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import AttributionConfig
-from .keys import col, tsql_right
+from .keys import col, same_text, tsql_right
 
 
 def _is_default_branch(code, cfg: AttributionConfig) -> Column:
     suffix = cfg.default_branch_suffix
-    return tsql_right(code, len(suffix)) == F.lit(suffix)
+    return same_text(tsql_right(code, len(suffix))) == F.lit(suffix)
 
 
 def firm_kept(firm_name, branch_code, cfg: AttributionConfig) -> Column:
     """Market-share stages 1-2: drop the firms handled elsewhere; keep the
     partial firm only on its exception branches (F-03)."""
-    f = col(firm_name)
+    f = same_text(firm_name)
     keep = F.lit(True)
     for name in cfg.excluded_firms:
         keep = keep & (f != F.lit(name))
-    partial = (f == F.lit(cfg.partial_firm)) & ~col(branch_code).isin(
+    partial = (f == F.lit(cfg.partial_firm)) & ~same_text(branch_code).isin(
         *cfg.market_share_exception_branches
     )
     return keep & ~partial
@@ -36,18 +36,18 @@ def firm_kept(firm_name, branch_code, cfg: AttributionConfig) -> Column:
 def rep_level_daily(dealer_code, branch_code, cfg: AttributionConfig) -> Column:
     """Market-share stage 3: rep-level dealers, and the partial dealer off
     its exception branches (F-08)."""
-    d = col(dealer_code)
+    d = same_text(dealer_code)
     return d.isin(*cfg.rep_level_dealers) | (
         (d == F.lit(cfg.partial_dealer))
-        & ~col(branch_code).isin(*cfg.market_share_exception_branches)
+        & ~same_text(branch_code).isin(*cfg.market_share_exception_branches)
     )
 
 
 def correlated_class(office_type, branch_code, cfg: AttributionConfig) -> Column:
     """Correlated office, exception branch, or a *DEFAULT branch (F-05)."""
     return (
-        (col(office_type) == F.lit(cfg.correlated_office_type))
-        | col(branch_code).isin(*cfg.sales_exception_branches)
+        (same_text(office_type) == F.lit(cfg.correlated_office_type))
+        | same_text(branch_code).isin(*cfg.sales_exception_branches)
         | _is_default_branch(branch_code, cfg)
     )
 
@@ -55,14 +55,14 @@ def correlated_class(office_type, branch_code, cfg: AttributionConfig) -> Column
 def actual_branches(office_type, branch_code, dealer_code, cfg: AttributionConfig) -> Column:
     """Sales stage 1 (F-04 and F-06)."""
     rep = (*cfg.rep_level_dealers, cfg.partial_dealer)
-    return ~correlated_class(office_type, branch_code, cfg) & ~col(dealer_code).isin(*rep)
+    return ~correlated_class(office_type, branch_code, cfg) & ~same_text(dealer_code).isin(*rep)
 
 
 def correlated_branches(office_type, branch_code, dealer_code, cfg: AttributionConfig) -> Column:
     """Sales stage 2 (F-05, F-06 and F-07)."""
-    d = col(dealer_code)
+    d = same_text(dealer_code)
     excluded = (*cfg.source_dealers, *cfg.rep_level_dealers)
-    partial_off_exception = (d == F.lit(cfg.partial_dealer)) & ~col(branch_code).isin(
+    partial_off_exception = (d == F.lit(cfg.partial_dealer)) & ~same_text(branch_code).isin(
         *cfg.sales_exception_branches
     )
     return correlated_class(office_type, branch_code, cfg) & ~d.isin(*excluded) & ~partial_off_exception
@@ -72,9 +72,9 @@ def rep_level_monthly(branch_code, dealer_code, cfg: AttributionConfig) -> Colum
     """Sales stage 3 (F-09)."""
     rep = (*cfg.rep_level_dealers, cfg.partial_dealer)
     return (
-        col(dealer_code).isin(*rep)
-        & ~col(branch_code).isin(*cfg.sales_exception_branches)
-        & (tsql_right(branch_code, len(cfg.default_branch_suffix)) != F.lit(cfg.default_branch_suffix))
+        same_text(dealer_code).isin(*rep)
+        & ~same_text(branch_code).isin(*cfg.sales_exception_branches)
+        & ~_is_default_branch(branch_code, cfg)
     )
 
 

@@ -1,4 +1,4 @@
-"""Equality-plus-range joins (J-08, J-10, J-11).
+"""Equality-plus-range joins (J-08, J-10).
 
 Every range predicate in the scripts comes with an equality, so Spark
 plans them as hash / sort-merge joins on the equality with the range as a
@@ -10,31 +10,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import same_text
 
-def effective_dated_left(
-    df: DataFrame,
-    ref: DataFrame,
-    key: str,
-    at: str,
-    ref_key: str,
-    ref_from: str,
-    ref_to: str,
-    keep: dict[str, str],
-    only_when: Column | None = None,
-) -> DataFrame:
-    """LEFT JOIN ref ON key AND ref_from <= at AND ref_to >= at (closed, at
-    the grain of ``at``).  Overlapping intervals fan out (bag).  Rows that
-    fail ``only_when`` are kept once with NULL ref columns."""
-    r = ref.select(
-        F.col(ref_key).alias("__rk"),
-        F.col(ref_from).alias("__rf"),
-        F.col(ref_to).alias("__rt"),
-        *[F.col(c).alias(a) for c, a in keep.items()],
-    )
-    cond = (F.col(key) == F.col("__rk")) & (F.col("__rf") <= F.col(at)) & (F.col("__rt") >= F.col(at))
+
+def with_intervals(dims: DataFrame, ref: DataFrame, key: str, ref_key: str, ref_from: str, ref_to: str, value: str) -> DataFrame:
+    """``dims`` with an array of all its intervals (from, to, value) in
+    ``ref``; a reference table has few per key, so facts can pick theirs after
+    their one join instead of joining again."""
+    held = ref.groupBy(same_text(ref_key).alias("__rk")).agg(F.collect_list(F.struct(
+        F.col(ref_from).alias("from"), F.col(ref_to).alias("to"), F.col(value).alias("value"))).alias("__intervals"))
+    return dims.join(held, same_text(key) == F.col("__rk"), "left").drop("__rk")
+
+
+def pick_interval(df: DataFrame, at: str, as_: str, only_when: Column | None = None) -> DataFrame:
+    """One row per interval of ``with_intervals`` that holds ``df[at]`` (closed,
+    at the grain of ``at``), or one row with NULL; rows that fail ``only_when``
+    pick none.  Overlapping intervals fan out (bag)."""
+    found = F.filter("__intervals", lambda i: (i["from"] <= F.col(at)) & (i["to"] >= F.col(at)))
     if only_when is not None:
-        cond = cond & only_when
-    return df.join(r, cond, "left").drop("__rk", "__rf", "__rt")
+        found = F.when(only_when, found)
+    return df.withColumn("__one", F.explode_outer(found)).withColumn(as_, F.col("__one.value")).drop("__one", "__intervals")
+
+
+def effective_dated_left(df: DataFrame, ref: DataFrame, key: str, at: str, ref_key: str, ref_from: str, ref_to: str,
+                         keep: dict[str, str], only_when: Column | None = None) -> DataFrame:
+    """LEFT JOIN ref ON key AND ref_from <= at AND ref_to >= at."""
+    (value, as_), = keep.items()
+    return pick_interval(with_intervals(df, ref, key, ref_key, ref_from, ref_to, value), at, as_, only_when)
 
 
 def overlap_join(left: DataFrame, right: DataFrame, key: str, l_start: str, l_end: str,
@@ -43,12 +45,5 @@ def overlap_join(left: DataFrame, right: DataFrame, key: str, l_start: str, l_en
 
     ``left`` and ``right`` must name their interval columns differently."""
     r = right.withColumnRenamed(key, "__k")
-    cond = (F.col(key) == F.col("__k")) & (F.col(r_start) <= F.col(l_end)) & (F.col(l_start) <= F.col(r_end))
+    cond = (same_text(key) == same_text("__k")) & (F.col(r_start) <= F.col(l_end)) & (F.col(l_start) <= F.col(r_end))
     return left.join(r, cond).drop("__k")
-
-
-def point_in_interval_left(df: DataFrame, intervals: DataFrame, key: str, at: str, i_key: str,
-                           i_start: str, i_end: str) -> DataFrame:
-    """LEFT JOIN intervals ON key = i_key AND i_start <= at AND i_end >= at."""
-    cond = (F.col(key) == F.col(i_key)) & (F.col(i_start) <= F.col(at)) & (F.col(i_end) >= F.col(at))
-    return df.join(intervals, cond, "left")

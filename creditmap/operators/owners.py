@@ -4,11 +4,11 @@
 the aggregated measures (W-01, W-02).  The scripts' order is not total;
 a final ascending territory makes the winner deterministic (Q-10).
 
-``attach_owner`` is the scripts' ``owner RIGHT JOIN positions ... WHERE
-rn = 1 OR rn IS NULL`` rewritten as ``positions LEFT JOIN (owner WHERE
-rn = 1)`` (R-1): every non-NULL key has exactly one rn = 1 row, so both
-keep each position exactly once; filtering first lets Spark plan a
-WindowGroupLimit and keeps the build side one row per key.
+Positions get their owner from the rank-1 rows only (``top_owner``, then
+``plans.lookup.attach``).  The scripts join the ranked table to the right of
+the positions and keep ``rn = 1 OR rn IS NULL``; every non-NULL key has exactly
+one rank-1 row, so both keep each position once, and filtering first lets Spark
+plan a WindowGroupLimit.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import col
+from ..functions.keys import col, same_text
 
 
 def rank_owner(cands: DataFrame, key: str, measures: list[str], tiebreak: str,
@@ -31,17 +31,28 @@ def top_owner(cands: DataFrame, key: str, measures: list[str], tiebreak: str) ->
     return rank_owner(cands, key, measures, tiebreak, "__rn").where(F.col("__rn") == 1).drop("__rn")
 
 
-def attach_owner(positions: DataFrame, owners: DataFrame, on: str, owner_key: str, owner_value: str,
-                 as_: str) -> DataFrame:
-    """Left-join one owner value per key; never adds or drops positions."""
-    o = owners.select(F.col(owner_key).alias("__ok"), F.col(owner_value).alias(as_))
-    return positions.join(o, F.col(on) == F.col("__ok"), "left").drop("__ok")
+def _waterfall_steps(override, ranked, house_code, house_codes, house_label) -> list[tuple[str, Column, Column]]:
+    """(name, condition, territory) in order of precedence."""
+    steps = [("override", col(override).isNotNull(), col(override))]
+    if house_codes:
+        steps.append(("house", same_text(house_code).isin(*house_codes), F.lit(house_label)))
+    return [*steps, ("ranked", col(ranked).isNotNull(), col(ranked))]
 
 
 def waterfall(override, ranked, house_code=None, house_codes: tuple = (), house_label: str | None = None) -> Column:
     """Territory waterfall: override, else house account label, else the
     ranked owner (P-11); without house codes it is COALESCE (P-12)."""
-    out = F.when(col(override).isNotNull(), col(override))
-    if house_codes:
-        out = out.when(col(house_code).isin(*house_codes), F.lit(house_label))
-    return out.otherwise(col(ranked))
+    return F.coalesce(*(F.when(test, value) for _, test, value in _waterfall_steps(
+        override, ranked, house_code, house_codes, house_label)))
+
+
+def waterfall_step(override, ranked, house_code=None, house_codes: tuple = (), house_label: str | None = None) -> Column:
+    """Which step of :func:`waterfall` decides; ``none`` if none does."""
+    return F.coalesce(*(F.when(test, F.lit(name)) for name, test, _ in _waterfall_steps(
+        override, ranked, house_code, house_codes, house_label)), F.lit("none"))
+
+
+def sum_per_key(rows: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
+    """A fact reduced to its join keys (partial sums before the shuffle), so it
+    meets a dimension chain once per key: SUM is linear in join fan-out (R-2)."""
+    return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])

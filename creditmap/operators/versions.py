@@ -15,8 +15,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.keys import col, day_of
+from ..functions.keys import col, day_of, same_text
 
 
 def hop_to_current(
@@ -35,12 +36,24 @@ def hop_to_current(
     versions share ``dim[bk]``.  ``keep`` maps current-version columns to
     output names.
     """
-    version = dim.select(F.col(sk).alias("__sk"), F.col(bk).alias("__bk"))
+    current = current_versions(dim, sk, bk, keep, active_col, active_flag).withColumnRenamed(sk, "__sk")
+    return df.join(current, F.col(on) == F.col("__sk")).drop("__sk")
+
+
+def business_key(dim: DataFrame, c: str) -> Column:
+    """A key column as joins compare it (Q-16)."""
+    return same_text(c) if isinstance(dim.schema[c].dataType, T.StringType) else F.col(c)
+
+
+def current_versions(dim: DataFrame, sk: str, bk: str, keep: dict[str, str], active_col: str = "Active_Record_Ind",
+                     active_flag: str = "Y") -> DataFrame:
+    """(``sk`` of any version, ``keep`` of each current version with the same
+    ``bk``): built on the dimension alone, so a fact needs one join (R-4)."""
+    version = dim.select(F.col(sk), business_key(dim, bk).alias("__bk"))
     current = dim.where(F.col(active_col) == F.lit(active_flag)).select(
-        F.col(bk).alias("__bk"), *[F.col(c).alias(a) for c, a in keep.items()]
+        business_key(dim, bk).alias("__bk"), *[F.col(c).alias(a) for c, a in keep.items()]
     )
-    out = df.join(version, F.col(on) == F.col("__sk")).drop("__sk")
-    return out.join(current, "__bk").drop("__bk")
+    return version.join(current, "__bk").drop("__bk")
 
 
 def hop_as_of(
@@ -58,12 +71,12 @@ def hop_as_of(
     and that are in force on ``df[day]`` (a DATE column)."""
     d = dim if where is None else dim.where(where)
     versions = d.select(
-        F.col(bk).alias("__bk"),
+        business_key(dim, bk).alias("__bk"),
         day_of(lo).alias("__lo"),
         day_of(hi).alias("__hi"),
         *[F.col(c).alias(a) for c, a in keep.items()],
     )
-    cond = (F.col(on) == F.col("__bk")) & (F.col("__lo") <= F.col(day)) & (F.col("__hi") >= F.col(day))
+    cond = (business_key(df, on) == F.col("__bk")) & (F.col("__lo") <= F.col(day)) & (F.col("__hi") >= F.col(day))
     return df.join(versions, cond).drop("__bk", "__lo", "__hi")
 
 

@@ -1,18 +1,20 @@
-"""DuckDB oracle SQL for every registered query.
-
-The oracle is written independently of the Spark code: the logical source
-tables are rebuilt from the driver tables in SQL (same rules as
-``sources.testdata``), and the stages are transcribed statement by
-statement from the scripts' semantics (RIGHT JOIN plus ``rn = 1 OR rn IS
-NULL``, literal repeated joins, UNION, DISTINCT), so the Spark rewrites
-(rank-then-join, pre-aggregation, shared rollups, multiplicities) are
-checked against the literal form.  Rank ties get the same extra
-``Territory ASC NULLS FIRST`` on both sides.
+"""DuckDB SQL for every registered query.
+
+Written from the survey's operator list, independently of the Spark code.  The
+logical tables are rebuilt from the driver tables (``ADAPTER``); over them stand
+a few shared views: the current territory of a distributor, a party and a
+selling code; offices and holdings with everything known about them; the
+dealer-rep bridge; owners as the winner of each branch key.  A query selects
+from these views only.  Strings compare without trailing blanks, rank ties go
+to the smaller territory.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from .config import AttributionConfig, testdata_config
+from .sources.peers import PEER_LIST
 
 
 def _lit(v) -> str:
@@ -37,7 +39,7 @@ def _date_id(d: str) -> str:
 
 
 def _hid() -> str:
-    return "(o_custkey * 1000 + l_suppkey) * 100000 + l_partkey"
+    return "(o_custkey * 100000 + l_suppkey) * 10000000 + l_partkey"
 
 
 ADAPTER = [
@@ -137,566 +139,393 @@ ADAPTER = [
 ]
 
 
-def with_adapter(body: str, extra: list[tuple[str, str]] = ()) -> str:
-    ctes = [*ADAPTER, *extra]
-    return "WITH " + ",\n".join(f"{n} AS (\n{q}\n)" for n, q in ctes) + "\n" + body
-
+def _ctes(views: dict[str, str]) -> str:
+    return ",\n".join(f"{name} AS ({sql})" for name, sql in views.items())
 
-# ---------------------------------------------------------------------------
-# Reference statements, transcribed (DuckDB dialect)
-# ---------------------------------------------------------------------------
 
-class Script:
-    """SQL builders parameterised by one AttributionConfig."""
+class Views:
+    """SQL of the shared views for one configuration."""
 
     def __init__(self, cfg: AttributionConfig):
-        self.c = cfg
-
-    # -- owner candidates (cte1 / cte2) --------------------------------------
-    def chain_tail(self, dist_alias: str = "DISTb") -> str:
-        c = self.c
-        return f"""
-        JOIN DISTRIBUTOR_SALES_TERRITORY_FACT sTERR ON {dist_alias}.Distributor_ID = sTERR.Distributor_ID
-             AND sTERR.Territory_Type_ID = {c.territory_type_id} AND sTERR.Active_Record_Ind = {_lit(c.active_flag)}
-        JOIN SALES_TERRITORY_DIM TERR ON sTERR.Sales_Territory_ID = TERR.Sales_Territory_ID
-        JOIN SALES_TERRITORY_DIM TERRb ON TERR.src_ID = TERRb.src_ID AND TERRb.Active_Record_Ind = {_lit(c.active_flag)}"""
-
-    def cte1(self, replace_blanks: bool, blacklist: bool) -> str:
-        c = self.c
-        postal = "replace(aADDR.Postal_Code, ' ', '-')" if replace_blanks else "aADDR.Postal_Code"
-        key = f"CD.Dealer_Code || '-' || {postal}"
-        where = f"WHERE TERRb.Territory_Name NOT IN {_list(c.territory_blacklist)}" if blacklist else ""
-        y = _lit(c.active_flag)
-        return f"""SELECT {key} AS BR, TERRb.Territory_External_ID AS Territory,
-          SUM(ASSET.Asset_Value_Amt) AS Assets, COUNT(DISTINCT DISTb.src_Party_ID) AS Parties,
-          ROW_NUMBER() OVER (PARTITION BY {key} ORDER BY SUM(ASSET.Asset_Value_Amt) DESC NULLS LAST,
-             COUNT(DISTINCT DISTb.src_Party_ID) DESC NULLS LAST, TERRb.Territory_External_ID ASC NULLS FIRST) AS rn
-        FROM ASSOCIATED_CODES_DIM CD
-        JOIN SELLING_CODE_DIM SELL ON CD.Selling_Code_ID = SELL.Selling_Code_ID
-        JOIN SELLING_CODE_DIM SELLb ON SELL.Selling_Code = SELLb.Selling_Code AND SELLb.Active_Record_Ind = {y}
-        LEFT JOIN ASSET_DAILY_FACT ASSET ON CD.Associated_Codes_ID = ASSET.Original_Associated_Codes_ID
-        JOIN DISTRIBUTOR_DIM DIST ON SELLb.Distributor_ID = DIST.Distributor_ID
-        JOIN DISTRIBUTOR_DIM DISTb ON DIST.src_Party_ID = DISTb.src_Party_ID AND DISTb.Active_Record_Ind = {y}
-        {self.chain_tail()}
-        JOIN DISTRIBUTOR_ADDRESS_DIM aADDR ON DISTb.src_Party_ID = aADDR.src_Party_ID AND aADDR.Active_Record_Ind = {y}
-        {where}
-        GROUP BY {key}, TERRb.Territory_External_ID"""
-
-    def cte2(self, replace_blanks: bool, by_policy: bool) -> str:
-        c = self.c
-        postal = "replace(cADDR.Postal_Code, ' ', '-')" if replace_blanks else "cADDR.Postal_Code"
-        key = f"left(POL.Host_Distributor_Num, 4) || '-' || {postal}"
-        y = _lit(c.active_flag)
-        asset = ("LEFT JOIN ASSET_DAILY_FACT ASSET ON POL.Policy_ID = ASSET.Policy_ID" if by_policy else
-                 "JOIN ASSET_DAILY_FACT ASSET ON PolSell.Selling_Code_ID = ASSET.Reporting_Selling_Code_ID")
-        return f"""SELECT {key} AS cBranch, TERRb.Territory_External_ID AS Territory,
-          SUM(ASSET.Asset_Value_Amt) AS Assets,
-          ROW_NUMBER() OVER (PARTITION BY {key} ORDER BY SUM(ASSET.Asset_Value_Amt) DESC NULLS LAST,
-             TERRb.Territory_External_ID ASC NULLS FIRST) AS rn
-        FROM CUSTOMER_ADDRESS_DIM cADDR
-        JOIN POLICY_CUSTOMER_FACT PC ON cADDR.Customer_ID = PC.Customer_ID
-        JOIN POLICY_DIM POL ON PC.Policy_ID = POL.Policy_ID
-        JOIN SELLING_CODE_POLICY_FACT PolSell ON POL.Policy_ID = PolSell.Policy_ID AND PolSell.Active_Record_Ind = {y}
-        {asset}
-        JOIN SELLING_CODE_DIM SELL ON PolSell.Selling_Code_ID = SELL.Selling_Code_ID
-        JOIN SELLING_CODE_DIM SELLb ON SELL.Selling_Code = SELLb.Selling_Code AND SELLb.Active_Record_Ind = {y}
-        JOIN DISTRIBUTOR_DIM DIST ON SELLb.Distributor_ID = DIST.Distributor_ID
-        JOIN DISTRIBUTOR_DIM DISTb ON DIST.src_Party_ID = DISTb.src_Party_ID AND DISTb.Active_Record_Ind = {y}
-        {self.chain_tail()}
-        WHERE PC.Customer_Role = {_lit(c.owner_role)} AND POL.Product_Name = {_lit(c.product_line)}
-        GROUP BY {key}, TERRb.Territory_External_ID"""
-
-    # -- vendor rollups -----------------------------------------------------
-    @staticmethod
-    def abr(postal: str) -> str:
-        return ("COALESCE(CAST(DEALER.MLI_Dealer_Code AS STRING), CAST(FIRM.Firm_ID AS STRING)) || '-' || "
-                + postal)
-
-    @staticmethod
-    def dealer_type() -> str:
-        return "CASE WHEN DEALER.MLI_Dealer_Code IS NULL THEN 'INSTITUTIONAL' ELSE 'RETAIL' END"
+        self.cfg = cfg
+        self.on = f"= {_lit(cfg.active_flag)}"
+
+    # -- who owns what now ------------------------------------------------------
+
+    def territories(self) -> dict[str, str]:
+        """Distributor, party and selling code (any version) with their territories of today."""
+        return {
+            "now_territory": f"""SELECT old.Sales_Territory_ID, cur.Territory_External_ID AS terr, cur.Territory_Name AS terr_name
+                FROM SALES_TERRITORY_DIM cur JOIN SALES_TERRITORY_DIM old USING (src_ID) WHERE cur.Active_Record_Ind {self.on}""",
+            "dist_territory": f"""SELECT Distributor_ID, terr, terr_name FROM DISTRIBUTOR_SALES_TERRITORY_FACT
+                JOIN now_territory USING (Sales_Territory_ID)
+                WHERE Active_Record_Ind {self.on} AND Territory_Type_ID = {self.cfg.territory_type_id}""",
+            "party_territory": f"""SELECT src_Party_ID AS party, terr, terr_name FROM DISTRIBUTOR_DIM
+                JOIN dist_territory USING (Distributor_ID) WHERE Active_Record_Ind {self.on}""",
+            "code_territory": f"""SELECT any_version.Selling_Code_ID, d.src_Party_ID AS party, p.terr, p.terr_name
+                FROM party_territory p JOIN DISTRIBUTOR_DIM d ON d.src_Party_ID = p.party
+                JOIN SELLING_CODE_DIM today ON today.Distributor_ID = d.Distributor_ID AND today.Active_Record_Ind {self.on}
+                JOIN SELLING_CODE_DIM any_version ON any_version.Selling_Code = today.Selling_Code""",
+        }
 
     @staticmethod
-    def dlr_rep() -> str:
-        return ("CAST(DEALER.MLI_Dealer_Code AS STRING) || "
-                "right(BR.Dealer_Branch_CD, greatest(length(rtrim(BR.Dealer_Branch_CD)) - 4, 0))")
+    def _dashed(column: str, dashed: bool) -> str:
+        return f"replace({column}, ' ', '-')" if dashed else column
+
+    def advisors(self, dashed: bool, listed_only: bool) -> str:
+        """Assets and parties of each branch key and territory, by the advisor's own address."""
+        keep = f"WHERE terr_name NOT IN {_list(self.cfg.territory_blacklist)}" if listed_only else ""
+        return f"""SELECT rtrim(codes.Dealer_Code || '-' || {self._dashed('a.Postal_Code', dashed)}) AS branch, t.terr,
+              sum(amount) AS assets, count(DISTINCT t.party) AS parties
+            FROM code_territory t JOIN ASSOCIATED_CODES_DIM codes USING (Selling_Code_ID)
+            JOIN DISTRIBUTOR_ADDRESS_DIM a ON a.src_Party_ID = t.party AND a.Active_Record_Ind {self.on}
+            LEFT JOIN (SELECT Original_Associated_Codes_ID AS id, sum(Asset_Value_Amt) AS amount FROM ASSET_DAILY_FACT
+                       GROUP BY Original_Associated_Codes_ID) f ON f.id = codes.Associated_Codes_ID
+            {keep} GROUP BY ALL"""
+
+    def clients(self, dashed: bool, by_policy: bool) -> str:
+        """Assets of each branch key and territory, by the policy owner's address."""
+        column, join, on = (("Policy_ID", "LEFT JOIN", "pol.Policy_ID") if by_policy else
+                            ("Reporting_Selling_Code_ID", "JOIN", "link.Selling_Code_ID"))
+        return f"""SELECT rtrim(left(pol.Host_Distributor_Num, 4) || '-' || {self._dashed('home.Postal_Code', dashed)}) AS branch,
+              t.terr, sum(amount) AS assets
+            FROM POLICY_DIM pol JOIN POLICY_CUSTOMER_FACT who ON who.Policy_ID = pol.Policy_ID
+            JOIN CUSTOMER_ADDRESS_DIM home ON home.Customer_ID = who.Customer_ID
+            JOIN SELLING_CODE_POLICY_FACT link ON link.Policy_ID = pol.Policy_ID AND link.Active_Record_Ind {self.on}
+            JOIN code_territory t ON t.Selling_Code_ID = link.Selling_Code_ID
+            {join} (SELECT {column} AS id, sum(Asset_Value_Amt) AS amount FROM ASSET_DAILY_FACT GROUP BY {column}) f ON f.id = {on}
+            WHERE pol.Product_Name = {_lit(self.cfg.product_line)} AND who.Customer_Role = {_lit(self.cfg.owner_role)}
+            GROUP BY ALL"""
 
     @staticmethod
-    def latest() -> str:
-        return ("CAST(ASSET.Reporting_Date AS DATE) = "
-                "(SELECT MAX(CAST(Reporting_Date AS DATE)) FROM ETF_MARKET_SHARE_FACT)")
-
-    def firm_filter(self) -> str:
-        c = self.c
-        parts = [f"FIRM.Firm_Name <> {_lit(f)}" for f in c.excluded_firms]
-        parts.append(f"NOT (FIRM.Firm_Name = {_lit(c.partial_firm)} AND BR.Dealer_Branch_CD NOT IN "
-                     f"{_list(c.market_share_exception_branches)})")
-        return "(" + " AND ".join(parts) + ")"
-
-    def etf_daily(self, latest: bool) -> str:
-        abr = self.abr("BR.Office_Postal_CD")
-        snap = f"AND {self.latest()}" if latest else ""
-        return f"""SELECT ASSET.Reporting_Date, FIRM.Firm_Name, {abr} AS aBR, BR.Dealer_Branch_CD, BR.Office_Type,
-          {self.dealer_type()} AS Dealer_Type, ASSET.Rank_Group AS PeerGroup,
-          SUM(ASSET.Industry_Shares_Amount) AS Asset_Position_Shares,
-          SUM(ASSET.Industry_Asset_Amount) AS Asset_Position_Balance, T_REF.MLI_Territory_Name, DEALER.MLI_Dealer_Code
-        FROM ETF_MARKET_SHARE_FACT ASSET
-        JOIN ETF_DEALER_BRANCH_FACT BR ON ASSET.Dealer_Branch_ID = BR.Dealer_Branch_ID
-        JOIN ETF_FIRM_FACT FIRM ON BR.Office_ID = FIRM.Firm_ID
-        JOIN ETF_ref_DEALER_FACT DEALER ON FIRM.Firm_ID = DEALER.ETF_Dealer_Code
-        LEFT JOIN ETF_ref_TERRITORY_FACT T_REF ON BR.Dealer_Branch_CD = T_REF.ETF_Branch_Name
-          AND (T_REF.Effective_Date <= ASSET.Reporting_Date AND T_REF.End_Date >= ASSET.Reporting_Date)
-        WHERE {self.firm_filter()} {snap}
-        GROUP BY ASSET.Reporting_Date, FIRM.Firm_Name, {abr}, {self.dealer_type()}, DEALER.MLI_Dealer_Code,
-          ASSET.Rank_Group, BR.Office_Type, BR.Dealer_Branch_CD, T_REF.MLI_Territory_Name"""
-
-    def etf_rep_daily(self, latest: bool) -> str:
-        c = self.c
-        snap = f"{self.latest()} AND" if latest else ""
-        return f"""SELECT FIRM.Firm_Name, {self.dealer_type()} AS Dealer_Type, {self.dlr_rep()} AS aBR, BR.Office_Type,
-          CAST(ASSET.Reporting_Date AS DATE) AS Reporting_Date, ASSET.Rank_Group AS PEER_GROUP,
-          SUM(ASSET.Industry_Shares_Amount) AS Asset_Position_Shares,
-          SUM(ASSET.Industry_Asset_Amount) AS Asset_Position_Balance
-        FROM ETF_MARKET_SHARE_FACT ASSET
-        JOIN ETF_DEALER_BRANCH_FACT BR ON ASSET.Dealer_Branch_ID = BR.Dealer_Branch_ID
-        JOIN ETF_FIRM_FACT FIRM ON BR.Office_ID = FIRM.Firm_ID
-        LEFT JOIN ETF_ref_DEALER_FACT DEALER ON FIRM.Firm_ID = DEALER.ETF_Dealer_Code
-        WHERE {snap} (DEALER.MLI_Dealer_Code IN {_list(c.rep_level_dealers)}
-          OR (DEALER.MLI_Dealer_Code = {_lit(c.partial_dealer)}
-              AND BR.Dealer_Branch_CD NOT IN {_list(c.market_share_exception_branches)}))
-        GROUP BY ASSET.Reporting_Date, FIRM.Firm_Name, {self.dlr_rep()}, {self.dealer_type()}, ASSET.Rank_Group,
-          BR.Office_Type, BR.Dealer_Branch_CD"""
-
-    def correlated_class(self) -> str:
-        c = self.c
-        n = len(c.default_branch_suffix)
-        return (f"(BR.Office_Type = {_lit(c.correlated_office_type)} OR BR.Dealer_Branch_CD IN "
-                f"{_list(c.sales_exception_branches)} OR right(BR.Dealer_Branch_CD, {n}) = "
-                f"{_lit(c.default_branch_suffix)})")
-
-    def actual_filter(self) -> str:
-        c = self.c
-        return (f"NOT {self.correlated_class()} AND DEALER.MLI_Dealer_Code NOT IN "
-                f"{_list((*c.rep_level_dealers, c.partial_dealer))}")
-
-    def correlated_filter(self) -> str:
-        c = self.c
-        return (f"{self.correlated_class()} AND DEALER.MLI_Dealer_Code NOT IN "
-                f"{_list((*c.source_dealers, *c.rep_level_dealers))} AND NOT (DEALER.MLI_Dealer_Code = "
-                f"{_lit(c.partial_dealer)} AND BR.Dealer_Branch_CD NOT IN {_list(c.sales_exception_branches)})")
-
-    def rep_monthly_filter(self) -> str:
-        c = self.c
-        n = len(c.default_branch_suffix)
-        return (f"DEALER.MLI_Dealer_Code IN {_list((*c.rep_level_dealers, c.partial_dealer))} "
-                f"AND BR.Dealer_Branch_CD NOT IN {_list(c.sales_exception_branches)} "
-                f"AND right(BR.Dealer_Branch_CD, {n}) <> {_lit(c.default_branch_suffix)}")
-
-    @staticmethod
-    def sales_from(override: bool) -> str:
-        ref = """LEFT JOIN ETF_ref_TERRITORY_FACT T_REF ON BR.Dealer_Branch_CD = T_REF.ETF_Branch_Name
-          AND (T_REF.Effective_Date <= ASSET.Asset_Position_Reporting_Date
-               AND T_REF.End_Date >= ASSET.Asset_Position_Reporting_Date)""" if override else ""
-        return f"""FROM ETF_ACCOUNT_FACT acct
-        JOIN ETF_HOLDINGS_DIM hold ON acct.Account_ID = hold.Account_ID
-        JOIN ETF_ASSET_POSITION_FACT ASSET ON hold.Holdings_ID = ASSET.Asset_Position_Holding_ID
-        JOIN ETF_DEALER_BRANCH_FACT BR ON hold.Dealer_Branch_ID = BR.Dealer_Branch_ID
-        JOIN ETF_FIRM_FACT FIRM ON BR.Office_ID = FIRM.Firm_ID
-        LEFT JOIN ETF_ref_DEALER_FACT DEALER ON FIRM.Firm_ID = DEALER.ETF_Dealer_Code
-        JOIN ETF_PRODUCT_FACT PROD ON hold.Product_ID = PROD.Product_ID
-        {ref}"""
-
-    def etf_monthly(self, where: str) -> str:
-        abr, cbr = self.abr("BR.Office_Postal_CD"), self.abr("acct.Account_Postal_CD")
-        return f"""SELECT last_day(ASSET.Asset_Position_Reporting_Date) AS Asset_Position_Reporting_Date, FIRM.Firm_Name,
-          {abr} AS aBR, {cbr} AS cBR, BR.Dealer_Branch_CD, BR.Office_Type, {self.dealer_type()} AS Dealer_Type,
-          acct.Account_Type_TA_CD AS Account_Type, PROD.Product_CUSIP AS CUSIP,
-          SUM(ASSET.Asset_Position_Shares) AS Asset_Position_Shares,
-          SUM(ASSET.Asset_Position_Net_New_Assets) AS Asset_Position_Net_New_Assets,
-          SUM(ASSET.Asset_Position_Balance) AS Asset_Position_Balance, T_REF.MLI_Territory_Name
-        {self.sales_from(True)}
-        WHERE {where}
-        GROUP BY last_day(ASSET.Asset_Position_Reporting_Date), FIRM.Firm_Name, {abr}, {cbr}, {self.dealer_type()},
-          PROD.Product_CUSIP, BR.Office_Type, BR.Dealer_Branch_CD, acct.Account_Type_TA_CD, T_REF.MLI_Territory_Name"""
-
-    def etf_rep_monthly(self) -> str:
-        cbr = self.abr("acct.Account_Postal_CD")
-        return f"""SELECT FIRM.Firm_Name, {self.dealer_type()} AS Dealer_Type, {self.dlr_rep()} AS aBR, BR.Office_Type,
-          CAST(last_day(ASSET.Asset_Position_Reporting_Date) AS DATE) AS Reporting_Date, {cbr} AS cBR,
-          acct.Account_Type_TA_CD AS Account_Type, PROD.Product_CUSIP AS CUSIP,
-          SUM(ASSET.Asset_Position_Shares) AS Asset_Position_Shares,
-          SUM(ASSET.Asset_Position_Net_New_Assets) AS Asset_Position_Net_New_Assets,
-          SUM(ASSET.Asset_Position_Balance) AS Asset_Position_Balance
-        {self.sales_from(False)}
-        WHERE {self.rep_monthly_filter()}
-        GROUP BY CAST(last_day(ASSET.Asset_Position_Reporting_Date) AS DATE), FIRM.Firm_Name, {self.dlr_rep()},
-          {cbr}, {self.dealer_type()}, PROD.Product_CUSIP, BR.Office_Type, acct.Account_Type_TA_CD"""
-
-    # -- dealer-rep bridge --------------------------------------------------
-    def ass_sc(self) -> str:
-        k = "CAST(CODE.Dealer_Code AS STRING) || CAST(CODE.Rep_Code AS STRING)"
-        return f"""SELECT {k} || SC.Selling_Code AS ASS_SC_ID, {k} AS DlrRep, SC.Selling_Code,
-          CAST(MIN(SC.Rec_Created_Date) AS DATE) AS Start_Date, CAST(MAX(SC.Rec_Term_Date) AS DATE) AS End_Date
-        FROM ASSOCIATED_CODES_DIM CODE JOIN SELLING_CODE_DIM SC ON CODE.Selling_Code_ID = SC.Selling_Code_ID
-        WHERE CODE.Dealer_Code IS NOT NULL
-        GROUP BY {k} || SC.Selling_Code, {k}, SC.Selling_Code"""
-
-    def sc_party(self) -> str:
-        c = self.c
-        y = _lit(c.active_flag)
-        k = "CAST(SC.Selling_Code AS STRING) || CAST(DIST.src_Party_ID AS STRING)"
-        return f"""SELECT {k} AS SC_Party_ID, SC.Selling_Code, DIST.src_Party_ID, TERR_c.Territory_External_ID,
-          CAST(MIN(SC.Rec_Created_Date) AS DATE) AS Start_Date, CAST(MAX(SC.Rec_Term_Date) AS DATE) AS End_Date
-        FROM SELLING_CODE_DIM SC
-        JOIN DISTRIBUTOR_DIM DIST ON SC.Distributor_ID = DIST.Distributor_ID
-        JOIN DISTRIBUTOR_DIM DIST_c ON DIST.src_Party_ID = DIST_c.src_Party_ID AND DIST_c.Active_Record_Ind = {y}
-        JOIN DISTRIBUTOR_SALES_TERRITORY_FACT DT ON DIST_c.Distributor_ID = DT.Distributor_ID
-          AND DT.Territory_Type_ID = {c.territory_type_id} AND DT.Active_Record_Ind = {y}
-        JOIN SALES_TERRITORY_DIM TERR ON DT.Sales_Territory_ID = TERR.Sales_Territory_ID
-        JOIN SALES_TERRITORY_DIM TERR_c ON TERR.src_ID = TERR_c.src_ID AND TERR_c.Active_Record_Ind = {y}
-        GROUP BY {k}, SC.Selling_Code, DIST.src_Party_ID, TERR_c.Territory_External_ID"""
-
-    def bridge(self) -> str:
-        return f"""SELECT ASS_SC.DlrRep, ASS_SC.Selling_Code, SC_PARTY.src_Party_ID, SC_PARTY.Territory_External_ID,
-          CASE WHEN ASS_SC.Start_Date <= SC_PARTY.Start_Date THEN SC_PARTY.Start_Date ELSE ASS_SC.Start_Date END
-            AS THE_START,
-          CASE WHEN ASS_SC.End_Date <= SC_PARTY.End_Date THEN ASS_SC.End_Date ELSE SC_PARTY.End_Date END AS THE_END
-        FROM ({self.ass_sc()}) ASS_SC
-        JOIN ({self.sc_party()}) SC_PARTY ON ASS_SC.Selling_Code = SC_PARTY.Selling_Code
-          AND CAST(SC_PARTY.Start_Date AS DATE) <= CAST(ASS_SC.End_Date AS DATE)
-          AND CAST(ASS_SC.Start_Date AS DATE) <= CAST(SC_PARTY.End_Date AS DATE)"""
-
-    # -- stages -------------------------------------------------------------
-    def ms_branch_stage(self, cte: str, key: str, latest: bool) -> str:
-        c = self.c
-        return f"""SELECT ETF.Firm_Name AS FirmName,
-          CASE WHEN ETF.MLI_Territory_Name IS NOT NULL THEN ETF.MLI_Territory_Name
-               WHEN ETF.Dealer_Branch_CD IN {_list(c.house_accounts)} THEN {_lit(c.institutional_territory)}
-               ELSE {cte}.Territory END AS Comp_Territory,
-          ETF.Dealer_Type, ETF.aBR AS Branch, ETF.Office_Type, ETF.Reporting_Date, ETF.PeerGroup AS PEER_GROUP,
-          ETF.Asset_Position_Shares, ETF.Asset_Position_Balance AS Asset_Balance
-        FROM {cte} RIGHT JOIN ({self.etf_daily(latest)}) ETF ON {cte}.{key} = ETF.aBR
-        WHERE ({cte}.rn = 1 OR {cte}.rn IS NULL)"""
-
-    def ms_rep_stage(self, latest: bool) -> str:
-        return f"""SELECT ETF_ACTUAL.Firm_Name AS FirmName, BRIDGE.Territory_External_ID AS Comp_Territory,
-          ETF_ACTUAL.Dealer_Type, COALESCE(BRIDGE.Selling_Code, ETF_ACTUAL.aBR) AS Branch, ETF_ACTUAL.Office_Type,
-          ETF_ACTUAL.Reporting_Date, ETF_ACTUAL.PEER_GROUP, ETF_ACTUAL.Asset_Position_Shares,
-          ETF_ACTUAL.Asset_Position_Balance AS Asset_Balance
-        FROM ({self.etf_rep_daily(latest)}) ETF_ACTUAL
-        LEFT JOIN ({self.bridge()}) BRIDGE ON ETF_ACTUAL.aBR = BRIDGE.DlrRep
-          AND (BRIDGE.THE_START <= ETF_ACTUAL.Reporting_Date AND BRIDGE.THE_END >= ETF_ACTUAL.Reporting_Date)"""
-
-    def in_house_tail(self) -> str:
-        c = self.c
-        y = _lit(c.active_flag)
-        return f"""JOIN DATE_DIM D ON HOLD.Reporting_Date_ID = D.Date_ID
-        JOIN SELLING_CODE_DIM SCD1 ON HOLD.Original_Selling_Code_ID = SCD1.Selling_Code_ID
-        JOIN SELLING_CODE_DIM SCD2 ON SCD1.Selling_Code = SCD2.Selling_Code
-          AND (CAST(SCD2.Rec_Created_Date AS DATE) <= CAST(D.Calendar_Date AS DATE)
-               AND CAST(SCD2.Rec_Term_Date AS DATE) >= CAST(D.Calendar_Date AS DATE))
-        JOIN DISTRIBUTOR_DIM DD1 ON SCD2.Distributor_ID = DD1.Distributor_ID
-        JOIN DISTRIBUTOR_DIM DD2 ON DD2.src_Party_ID = DD1.src_Party_ID AND COALESCE(DD2.Branch_Code, 1) = 1
-          AND (CAST(DD2.Rec_Created_Date AS DATE) <= CAST(D.Calendar_Date AS DATE)
-               AND CAST(DD2.Rec_Term_Date AS DATE) >= CAST(D.Calendar_Date AS DATE))
-        JOIN DISTRIBUTOR_DIM DD3 ON DD2.src_Party_ID = DD3.src_Party_ID AND DD3.Active_Record_Ind = {y}"""
-
-    def territory_tail(self, dist: str) -> str:
-        c = self.c
-        y = _lit(c.active_flag)
-        return f"""JOIN DISTRIBUTOR_SALES_TERRITORY_FACT DT ON {dist}.Distributor_ID = DT.Distributor_ID
-          AND DT.Territory_Type_ID = {c.territory_type_id} AND DT.Active_Record_Ind = {y}
-        JOIN SALES_TERRITORY_DIM TERR ON DT.Sales_Territory_ID = TERR.Sales_Territory_ID
-        JOIN SALES_TERRITORY_DIM TERR_c ON TERR.src_ID = TERR_c.src_ID AND TERR_c.Active_Record_Ind = {y}"""
-
-    def ms_in_house_stage(self) -> str:
-        c = self.c
-        return f"""SELECT {_lit(c.in_house_firm)} AS FirmName, TERR_c.Territory_External_ID AS Comp_Territory,
-          'RETAIL' AS Dealer_Type, SCD2.Selling_Code AS Branch, 'SOURCE' AS Office_Type,
-          D.Calendar_Date AS Reporting_Date, HOLD.PEER_GROUP, SUM(HOLD.Units) AS Asset_Position_Shares,
-          SUM(HOLD.Assets) AS Asset_Balance
-        FROM (SELECT HOLD.Reporting_Date_ID, 'H' AS Gross_Redemption_Type, PEER.PEER_GROUP,
-                HOLD.Original_Selling_Code_ID, HOLD.Asset_Value_Amt AS Assets, HOLD.Number_Of_Units AS Units
-              FROM ASSET_DAILY_FACT HOLD
-              JOIN DATE_DIM D ON HOLD.Reporting_Date_ID = D.Date_ID
-              JOIN PRODUCT_DIM PROD ON HOLD.inv_Product_ID = PROD.Product_ID
-              JOIN PEER_LIST PEER ON PROD.Product_Name = PEER.CUSIP) HOLD
-        {self.in_house_tail()}
-        {self.territory_tail('DD3')}
-        GROUP BY TERR_c.Territory_External_ID, D.Calendar_Date, SCD2.Selling_Code, HOLD.PEER_GROUP"""
-
-    def flows_and_holdings(self) -> str:
-        c = self.c
-        etf = f"(SELECT Product_CUSIP FROM ETF_PRODUCT_FACT WHERE Product_Type = {_lit(c.etf_product_type)})"
-        return f"""SELECT NBV.Reporting_Date_ID, NBV.Gross_Redemption_Type, NBV.Product_ID AS inv_Product_ID,
-          NBV.Original_Selling_Code_ID, NBV.Txn_Amt, CAST(NULL AS DECIMAL(18,6)) AS Units
-        FROM NBV_MONTHEND_FACT NBV
-        JOIN DATE_DIM D ON NBV.Reporting_Date_ID = D.Date_ID
-        JOIN PRODUCT_DIM PROD ON NBV.Product_ID = PROD.Product_ID
-        WHERE PROD.Product_Name IN {etf} AND NBV.Gross_Redemption_Type IN ('G', 'R')
-        UNION
-        SELECT HOLD.Reporting_Date_ID, 'H', HOLD.inv_Product_ID, HOLD.Original_Selling_Code_ID,
-          HOLD.Asset_Value_Amt, HOLD.Number_Of_Units
-        FROM ASSET_MONTHEND_FACT HOLD
-        JOIN DATE_DIM D ON HOLD.Reporting_Date_ID = D.Date_ID
-        JOIN PRODUCT_DIM PROD ON HOLD.inv_Product_ID = PROD.Product_ID
-        WHERE PROD.Product_Name IN {etf}"""
-
-    def sa_in_house_stage(self) -> str:
-        c = self.c
-        y = _lit(c.active_flag)
-        return f"""SELECT {_lit(c.in_house_firm)} AS FirmName, TERR_c.Territory_External_ID AS Comp_Territory,
-          'RETAIL' AS Dealer_Type, SCD2.Selling_Code AS Branch, 'SOURCE' AS Office_Type, '1' AS Account_Type,
-          CAST(NULL AS STRING) AS C_BR, last_day(D.Calendar_Date) AS Reporting_Date, PROD.Product_Name AS CUSIP,
-          SUM(HOLD.Units) AS Asset_Position_Shares,
-          SUM(CASE WHEN HOLD.Gross_Redemption_Type = 'H' THEN HOLD.Txn_Amt ELSE 0 END) AS Asset_Balance,
-          SUM(CASE WHEN HOLD.Gross_Redemption_Type = 'G' THEN HOLD.Txn_Amt ELSE 0 END)
-            + SUM(CASE WHEN HOLD.Gross_Redemption_Type = 'R' THEN HOLD.Txn_Amt ELSE 0 END) AS Net_New_Assets
-        FROM ({self.flows_and_holdings()}) HOLD
-        {self.in_house_tail()}
-        JOIN PRODUCT_DIM PROD ON HOLD.inv_Product_ID = PROD.Product_ID
-        {self.territory_tail('DD3')}
-        WHERE PROD.Active_Record_Ind = {y}
-        GROUP BY TERR_c.Territory_External_ID, last_day(D.Calendar_Date), SCD2.Selling_Code, PROD.Product_Name"""
-
-    def direct_rows(self) -> str:
-        c = self.c
-        y = _lit(c.active_flag)
-        return f"""FROM ETF_DIRECT_SOURCE Source
-        JOIN SELLING_CODE_DIM SC1 ON Source.Selling_Code = SC1.Selling_Code AND SC1.Active_Record_Ind = {y}
-        JOIN DISTRIBUTOR_DIM DD1 ON SC1.Distributor_ID = DD1.Distributor_ID
-        JOIN DISTRIBUTOR_DIM DD2 ON DD2.src_Party_ID = DD1.src_Party_ID AND DD2.Active_Record_Ind = {y}
-          AND COALESCE(DD2.Branch_Code, 1) = 1
-        LEFT JOIN DISTRIBUTOR_SALES_TERRITORY_FACT DSTF1 ON DD2.Distributor_ID = DSTF1.Distributor_ID
-          AND DSTF1.Active_Record_Ind = {y} AND DSTF1.Territory_Type_ID = {c.territory_type_id}
-        {self.territory_tail('DD2')}"""
-
-    def sa_direct_stage(self) -> str:
-        c = self.c
-        return f"""SELECT {_lit(c.direct_source_firm)} AS FirmName, TERR_c.Territory_External_ID AS Comp_Territory,
-          'RETAIL' AS Dealer_Type, Source.Selling_Code AS Branch, 'SOURCE' AS Office_Type, '1' AS Account_Type,
-          CAST(NULL AS STRING) AS C_BR, last_day(Source.Reporting_Date) AS Reporting_Date, Source.CUSIP,
-          SUM(Source.Units) AS Asset_Position_Shares, SUM(Source.Assets) AS Asset_Balance,
-          SUM(Source.Net_Sales) AS Net_New_Assets
-        {self.direct_rows()}
-        GROUP BY TERR_c.Territory_External_ID, Source.Selling_Code, last_day(Source.Reporting_Date), Source.CUSIP"""
-
-    def sa_branch_stage(self, cte: str, key: str, pos_key: str, where: str, office: str) -> str:
-        return f"""SELECT ETF.Firm_Name AS FirmName,
-          CASE WHEN ETF.MLI_Territory_Name IS NOT NULL THEN ETF.MLI_Territory_Name ELSE {cte}.Territory END
-            AS Comp_Territory,
-          ETF.Dealer_Type, ETF.aBR AS Branch, '{office}' AS Office_Type, ETF.Account_Type, ETF.cBR AS C_BR,
-          ETF.Asset_Position_Reporting_Date AS Reporting_Date, ETF.CUSIP, ETF.Asset_Position_Shares,
-          ETF.Asset_Position_Balance AS Asset_Balance, ETF.Asset_Position_Net_New_Assets AS Net_New_Assets
-        FROM {cte} RIGHT JOIN ({self.etf_monthly(where)}) ETF ON {cte}.{key} = ETF.{pos_key}
-        WHERE ({cte}.rn = 1 OR {cte}.rn IS NULL)"""
-
-    def sa_rep_stage(self) -> str:
-        return f"""SELECT ETF_ACTUAL.Firm_Name AS FirmName, BRIDGE.Territory_External_ID AS Comp_Territory,
-          ETF_ACTUAL.Dealer_Type, COALESCE(BRIDGE.Selling_Code, ETF_ACTUAL.aBR) AS Branch, ETF_ACTUAL.Office_Type,
-          ETF_ACTUAL.Account_Type, ETF_ACTUAL.cBR AS C_BR, ETF_ACTUAL.Reporting_Date, ETF_ACTUAL.CUSIP,
-          ETF_ACTUAL.Asset_Position_Shares, ETF_ACTUAL.Asset_Position_Balance AS Asset_Balance,
-          ETF_ACTUAL.Asset_Position_Net_New_Assets AS Net_New_Assets
-        FROM ({self.etf_rep_monthly()}) ETF_ACTUAL
-        LEFT JOIN ({self.bridge()}) BRIDGE ON ETF_ACTUAL.aBR = BRIDGE.DlrRep
-          AND (BRIDGE.THE_START <= ETF_ACTUAL.Reporting_Date AND BRIDGE.THE_END >= ETF_ACTUAL.Reporting_Date)"""
-
-
-MS_CONFORM = """CAST(FirmName AS STRING) AS FirmName, CAST(Comp_Territory AS STRING) AS Comp_Territory,
-  CAST(Dealer_Type AS STRING) AS Dealer_Type, CAST(Branch AS STRING) AS Branch,
-  CAST(Office_Type AS STRING) AS Office_Type, CAST(Reporting_Date AS TIMESTAMP) AS Reporting_Date,
-  CAST(PEER_GROUP AS STRING) AS PEER_GROUP, CAST(Asset_Position_Shares AS DECIMAL(15,2)) AS Asset_Position_Shares,
-  CAST(Asset_Balance AS DECIMAL(15,2)) AS Asset_Balance"""
-
-SA_CONFORM = """CAST(FirmName AS STRING) AS FirmName, CAST(Comp_Territory AS STRING) AS Comp_Territory,
-  CAST(Dealer_Type AS STRING) AS Dealer_Type, CAST(Branch AS STRING) AS Branch,
-  CAST(Office_Type AS STRING) AS Office_Type, CAST(Account_Type AS STRING) AS Account_Type,
-  CAST(C_BR AS STRING) AS C_BR, CAST(Reporting_Date AS TIMESTAMP) AS Reporting_Date, CAST(CUSIP AS STRING) AS CUSIP,
-  CAST(Asset_Position_Shares AS DECIMAL(15,6)) AS Asset_Position_Shares,
-  CAST(Asset_Balance AS DECIMAL(15,2)) AS Asset_Balance, CAST(Net_New_Assets AS DECIMAL(15,2)) AS Net_New_Assets"""
-
-
-def _conf(cols: str, body: str) -> str:
-    return f"SELECT {cols} FROM ({body}) x"
+    def ranked(candidates: str, parties: bool) -> str:
+        order = "assets DESC NULLS LAST, " + ("parties DESC, " if parties else "") + "terr NULLS FIRST"
+        return f"SELECT *, row_number() OVER (PARTITION BY branch ORDER BY {order}) AS place FROM ({candidates}) c"
+
+    def owners(self, dashed: bool, listed_only: bool, by_policy: bool) -> dict[str, str]:
+        """The winner of each branch key."""
+        return {
+            "advisor_owner": f"SELECT branch, terr FROM ({self.ranked(self.advisors(dashed, listed_only), True)}) r WHERE place = 1",
+            "client_owner": f"SELECT branch, terr FROM ({self.ranked(self.clients(dashed, by_policy), False)}) r WHERE place = 1",
+        }
+
+    # -- vendor side ----------------------------------------------------------------
+
+    def offices(self) -> dict[str, str]:
+        """Every office with its firm, dealer code, keys and the classes that filters ask for."""
+        c = self.cfg
+        default = f"right(cd, {len(c.default_branch_suffix)}) = {_lit(c.default_branch_suffix)}"
+        rep_or_partial = _list((*c.rep_level_dealers, c.partial_dealer))
+        excluded = " AND ".join(f"Firm_Name <> {_lit(f)}" for f in c.excluded_firms)
+        return {
+            "office_of": """SELECT b.Dealer_Branch_ID, b.Dealer_Branch_CD AS cd, b.Office_Type, b.Office_Postal_CD, f.Firm_ID, f.Firm_Name,
+                d.MLI_Dealer_Code AS code, d.ETF_Dealer_Code IS NOT NULL AS listed,
+                coalesce(left(d.MLI_Dealer_Code, 30), CAST(f.Firm_ID AS STRING)) AS maker,
+                CASE WHEN d.MLI_Dealer_Code IS NULL THEN 'INSTITUTIONAL' ELSE 'RETAIL' END AS kind
+                FROM ETF_DEALER_BRANCH_FACT b JOIN ETF_FIRM_FACT f ON f.Firm_ID = b.Office_ID
+                LEFT JOIN ETF_ref_DEALER_FACT d ON d.ETF_Dealer_Code = b.Office_ID""",
+            "office_class": f"""SELECT *, rtrim(maker || '-' || Office_Postal_CD) AS office_key,
+                left(code, 30) || CASE WHEN length(rtrim(cd)) > 4 THEN right(cd, length(rtrim(cd)) - 4) ELSE '' END AS rep_key,
+                (Office_Type = {_lit(c.correlated_office_type)} OR cd IN {_list(c.sales_exception_branches)} OR {default}) AS correlated,
+                {excluded} AND NOT (Firm_Name = {_lit(c.partial_firm)} AND cd NOT IN {_list(c.market_share_exception_branches)}) AS firm_kept,
+                code IN {_list(c.rep_level_dealers)} OR (code = {_lit(c.partial_dealer)}
+                  AND cd NOT IN {_list(c.market_share_exception_branches)}) AS rep_daily,
+                code IN {rep_or_partial} AND cd NOT IN {_list(c.sales_exception_branches)} AND NOT ({default}) AS rep_monthly,
+                code NOT IN {rep_or_partial} AS not_rep,
+                code NOT IN {_list((*c.source_dealers, *c.rep_level_dealers))} AND NOT (code = {_lit(c.partial_dealer)}
+                  AND cd NOT IN {_list(c.sales_exception_branches)}) AS not_source
+                FROM office_of""",
+            "office": "SELECT *, NOT correlated AND not_rep AS is_actual, correlated AND not_source AS is_correlated FROM office_class",
+        }
+
+    def daily(self, as_of: str | dt.date | None) -> dict[str, str]:
+        """Vendor lines with their office, and the two daily rollups over them."""
+        when = ""
+        if as_of == "latest":
+            when = "WHERE CAST(Reporting_Date AS DATE) = (SELECT CAST(max(Reporting_Date) AS DATE) FROM ETF_MARKET_SHARE_FACT)"
+        elif as_of is not None:
+            when = f"WHERE CAST(Reporting_Date AS DATE) = DATE '{as_of}'"
+        sums = "sum(Industry_Shares_Amount) AS shares, sum(Industry_Asset_Amount) AS balance"
+        return {
+            "daily_line": f"SELECT * FROM ETF_MARKET_SHARE_FACT JOIN office USING (Dealer_Branch_ID) {when}",
+            "office_day": f"""SELECT Reporting_Date, Firm_Name, office_key, kind, code, Rank_Group, Office_Type, cd,
+                MLI_Territory_Name AS override, {sums}
+                FROM daily_line LEFT JOIN ETF_ref_TERRITORY_FACT ON ETF_Branch_Name = cd AND Reporting_Date BETWEEN Effective_Date AND End_Date
+                WHERE listed AND firm_kept GROUP BY ALL""",
+            "rep_time": f"""SELECT Reporting_Date AS moment, Firm_Name, rep_key, kind, Rank_Group, Office_Type, cd, {sums}
+                FROM daily_line WHERE rep_daily GROUP BY ALL""",
+            "rep_day": "SELECT *, CAST(moment AS DATE) AS day FROM rep_time",
+        }
+
+    def monthly(self) -> dict[str, str]:
+        """Vendor positions with their holding, and the month-end rollups over them."""
+        sums = """sum(Asset_Position_Shares) AS shares, sum(Asset_Position_Net_New_Assets) AS net_new, sum(Asset_Position_Balance) AS balance"""
+        return {
+            "position_line": """SELECT office.*, rtrim(maker || '-' || Account_Postal_CD) AS account_key, Account_Type_TA_CD AS account_type,
+                Product_CUSIP AS cusip, Asset_Position_Reporting_Date AS moment, last_day(Asset_Position_Reporting_Date) AS month,
+                Asset_Position_Shares, Asset_Position_Net_New_Assets, Asset_Position_Balance
+                FROM ETF_ASSET_POSITION_FACT JOIN ETF_HOLDINGS_DIM h ON h.Holdings_ID = Asset_Position_Holding_ID
+                JOIN office ON office.Dealer_Branch_ID = h.Dealer_Branch_ID JOIN ETF_ACCOUNT_FACT acct ON acct.Account_ID = h.Account_ID
+                JOIN ETF_PRODUCT_FACT prod ON prod.Product_ID = h.Product_ID""",
+            "office_month": f"""SELECT is_actual, month, Firm_Name, office_key, account_key, kind, cusip, Office_Type, cd, account_type,
+                MLI_Territory_Name AS override, {sums}
+                FROM position_line LEFT JOIN ETF_ref_TERRITORY_FACT ON ETF_Branch_Name = cd AND moment BETWEEN Effective_Date AND End_Date
+                WHERE is_actual OR is_correlated GROUP BY ALL""",
+            "rep_month": f"""SELECT month, Firm_Name, rep_key, account_key, kind, cusip, Office_Type, account_type, {sums}
+                FROM position_line WHERE rep_monthly GROUP BY ALL""",
+        }
+
+    # -- dealer reps and in-house books --------------------------------------------------
+
+    def bridge(self) -> dict[str, str]:
+        """Which selling code and territory a dealer-rep key had, and when."""
+        hull = "CAST(min(Rec_Created_Date) AS DATE) AS since, CAST(max(Rec_Term_Date) AS DATE) AS until"
+        return {
+            "rep_code": f"""SELECT left(Dealer_Code, 30) || left(Rep_Code, 30) AS rep, Selling_Code, {hull}
+                FROM SELLING_CODE_DIM JOIN ASSOCIATED_CODES_DIM USING (Selling_Code_ID) WHERE Dealer_Code IS NOT NULL GROUP BY ALL""",
+            "party_code": f"""SELECT Selling_Code, party, terr, {hull} FROM (
+                SELECT s.Selling_Code, s.Rec_Created_Date, s.Rec_Term_Date, p.party, p.terr FROM SELLING_CODE_DIM s
+                JOIN DISTRIBUTOR_DIM d ON d.Distributor_ID = s.Distributor_ID JOIN party_territory p ON p.party = d.src_Party_ID) v GROUP BY ALL""",
+            "rep_bridge": """SELECT r.rep, r.Selling_Code, p.party, p.terr, greatest(r.since, p.since) AS since, least(r.until, p.until) AS until
+                FROM rep_code r JOIN party_code p ON p.Selling_Code = r.Selling_Code
+                WHERE greatest(r.since, p.since) <= least(r.until, p.until)""",
+        }
+
+    def house(self, lines: str) -> str:
+        """Rows (id, day, ...) of ``lines`` with the selling code in force that
+        day and the territories of its party, where a main distributor was in force."""
+        on_day = "BETWEEN CAST({0}.Rec_Created_Date AS DATE) AND CAST({0}.Rec_Term_Date AS DATE)"
+        return f"""SELECT l.*, v.Selling_Code AS code_then, p.terr FROM ({lines}) l
+            JOIN SELLING_CODE_DIM named ON named.Selling_Code_ID = l.id
+            JOIN SELLING_CODE_DIM v ON v.Selling_Code = named.Selling_Code AND l.day {on_day.format('v')}
+            JOIN DISTRIBUTOR_DIM seller ON seller.Distributor_ID = v.Distributor_ID
+            JOIN DISTRIBUTOR_DIM main ON main.src_Party_ID = seller.src_Party_ID AND l.day {on_day.format('main')}
+              AND coalesce(main.Branch_Code, 1) = 1
+            JOIN party_territory p ON p.party = main.src_Party_ID"""
+
+    def etf_books(self) -> str:
+        """Flows and holdings of ETF products; equal rows count once."""
+        etf = f"Product_Name IN (SELECT Product_CUSIP FROM ETF_PRODUCT_FACT WHERE Product_Type = {_lit(self.cfg.etf_product_type)})"
+        rest = "JOIN PRODUCT_DIM prod ON prod.Product_ID = x.inv_Product_ID JOIN DATE_DIM cal ON cal.Date_ID = x.Reporting_Date_ID WHERE " + etf
+        return f"""SELECT x.* FROM (SELECT Reporting_Date_ID, 'H' AS Gross_Redemption_Type, inv_Product_ID, Original_Selling_Code_ID,
+                Asset_Value_Amt AS Txn_Amt, Number_Of_Units AS Units FROM ASSET_MONTHEND_FACT) x {rest}
+            UNION SELECT x.* FROM (SELECT Reporting_Date_ID, Gross_Redemption_Type, Product_ID AS inv_Product_ID, Original_Selling_Code_ID,
+                Txn_Amt, CAST(NULL AS DECIMAL(18,6)) AS Units FROM NBV_MONTHEND_FACT WHERE Gross_Redemption_Type IN ('R', 'G')) x {rest}"""
+
+    # -- results --------------------------------------------------------------------------
+
+    def share_rows(self, firm, terr, kind, branch, office, date, group, shares, balance, source) -> str:
+        return f"""SELECT {firm} AS FirmName, CAST({terr} AS STRING) AS Comp_Territory, {kind} AS Dealer_Type, CAST({branch} AS STRING) AS Branch,
+            CAST({office} AS STRING) AS Office_Type, CAST({date} AS TIMESTAMP) AS Reporting_Date, CAST({group} AS STRING) AS PEER_GROUP,
+            CAST({shares} AS DECIMAL(15,2)) AS Asset_Position_Shares, CAST({balance} AS DECIMAL(15,2)) AS Asset_Balance FROM {source}"""
+
+    def sales_rows(self, firm, terr, kind, branch, office, account, client, date, cusip, shares, balance, net_new, source) -> str:
+        return f"""SELECT {firm} AS FirmName, CAST({terr} AS STRING) AS Comp_Territory, {kind} AS Dealer_Type, CAST({branch} AS STRING) AS Branch,
+            CAST({office} AS STRING) AS Office_Type, CAST({account} AS STRING) AS Account_Type, CAST({client} AS STRING) AS C_BR,
+            CAST({date} AS TIMESTAMP) AS Reporting_Date, CAST({cusip} AS STRING) AS CUSIP,
+            CAST({shares} AS DECIMAL(15,6)) AS Asset_Position_Shares, CAST({balance} AS DECIMAL(15,2)) AS Asset_Balance,
+            CAST({net_new} AS DECIMAL(15,2)) AS Net_New_Assets FROM {source}"""
+
+    def decided(self, owner: str) -> str:
+        house = f"CASE WHEN cd IN {_list(self.cfg.house_accounts)} THEN {_lit(self.cfg.institutional_territory)} ELSE {owner}.terr END"
+        return f"coalesce(override, {house})"
+
+    def share_office(self, owner: str) -> str:
+        return self.share_rows("Firm_Name", self.decided(owner), "kind", "office_key", "Office_Type", "Reporting_Date", "Rank_Group",
+                               "shares", "balance", f"office_day LEFT JOIN {owner} ON {owner}.branch = office_key")
+
+    def share_reps(self) -> str:
+        return self.share_rows("Firm_Name", "b.terr", "kind", "coalesce(b.Selling_Code, rep_key)", "Office_Type", "day", "Rank_Group",
+                               "shares", "balance", "rep_day LEFT JOIN rep_bridge b ON b.rep = rep_key AND day BETWEEN b.since AND b.until")
+
+    def share_house(self, names: str = "PRODUCT_DIM", same: str = "prod.Product_Name = peer.CUSIP") -> str:
+        lines = f"""SELECT cal.Calendar_Date AS moment, CAST(cal.Calendar_Date AS DATE) AS day, Original_Selling_Code_ID AS id, peer.PEER_GROUP,
+              Asset_Value_Amt, Number_Of_Units
+            FROM ASSET_DAILY_FACT JOIN DATE_DIM cal ON cal.Date_ID = Reporting_Date_ID JOIN {names} prod ON prod.Product_ID = inv_Product_ID
+            JOIN PEER_LIST peer ON {same}"""
+        total = f"""(SELECT terr, moment, code_then, PEER_GROUP AS grp, sum(Number_Of_Units) AS units, sum(Asset_Value_Amt) AS assets
+            FROM ({self.house(lines)}) h GROUP BY ALL) t"""
+        return self.share_rows(_lit(self.cfg.in_house_firm), "terr", "'RETAIL'", "code_then", "'SOURCE'", "moment", "grp", "units", "assets", total)
+
+    def sales_office(self, actual: bool) -> str:
+        owner, key, office = ("advisor_owner", "office_key", "'ACTUAL'") if actual else ("client_owner", "account_key", "'CORRELATED'")
+        return self.sales_rows("Firm_Name", f"coalesce(override, {owner}.terr)", "kind", "office_key", office, "account_type", "account_key",
+                               "month", "cusip", "shares", "balance", "net_new",
+                               f"(SELECT * FROM office_month WHERE is_actual = {str(actual).lower()}) o LEFT JOIN {owner} ON {owner}.branch = {key}")
+
+    def sales_reps(self) -> str:
+        return self.sales_rows("Firm_Name", "b.terr", "kind", "coalesce(b.Selling_Code, rep_key)", "Office_Type", "account_type", "account_key",
+                               "month", "cusip", "shares", "balance", "net_new",
+                               "rep_month LEFT JOIN rep_bridge b ON b.rep = rep_key AND month BETWEEN b.since AND b.until")
+
+    def sales_house(self) -> str:
+        lines = f"""SELECT cal.Calendar_Date AS moment, CAST(cal.Calendar_Date AS DATE) AS day, book.Original_Selling_Code_ID AS id, prod.Product_Name, book.*
+            FROM ({self.etf_books()}) book JOIN DATE_DIM cal ON cal.Date_ID = book.Reporting_Date_ID
+            JOIN PRODUCT_DIM prod ON prod.Product_ID = book.inv_Product_ID AND prod.Active_Record_Ind {self.on}"""
+        amount = lambda types: f"sum(CASE WHEN Gross_Redemption_Type IN ({types}) THEN Txn_Amt ELSE 0 END)"
+        total = f"""(SELECT terr, last_day(moment) AS month, code_then, Product_Name AS name, sum(Units) AS units, {amount("'H'")} AS held,
+            {amount("'G', 'R'")} AS moved FROM ({self.house(lines)}) h GROUP BY ALL) t"""
+        return self.sales_rows(_lit(self.cfg.in_house_firm), "terr", "'RETAIL'", "code_then", "'SOURCE'", "'1'", "NULL", "month", "name",
+                               "units", "held", "moved", total)
+
+    def file_territory(self) -> dict[str, str]:
+        """Selling code to territory for dealer files, with how often each of
+        its rows repeats: once per typed link of the distributor (Q-07)."""
+        return {"file_territory": f"""SELECT today.Selling_Code AS sold_by, t.terr,
+            (SELECT count(*) FROM dist_territory again WHERE again.Distributor_ID = main.Distributor_ID) AS times
+            FROM SELLING_CODE_DIM today JOIN DISTRIBUTOR_DIM seller ON seller.Distributor_ID = today.Distributor_ID
+            JOIN DISTRIBUTOR_DIM main ON main.src_Party_ID = seller.src_Party_ID AND main.Active_Record_Ind {self.on}
+              AND coalesce(main.Branch_Code, 1) = 1
+            JOIN dist_territory t ON t.Distributor_ID = main.Distributor_ID WHERE today.Active_Record_Ind {self.on}"""}
+
+    def sales_files(self) -> str:
+        total = """(SELECT terr, sold_by, last_day(Reporting_Date) AS month, CUSIP AS name, sum(Units * times) AS units,
+            sum(Assets * times) AS held, sum(Net_Sales * times) AS moved
+            FROM ETF_DIRECT_SOURCE JOIN file_territory ON sold_by = Selling_Code GROUP BY ALL) t"""
+        return self.sales_rows(_lit(self.cfg.direct_source_firm), "terr", "'RETAIL'", "sold_by", "'SOURCE'", "'1'", "NULL", "month", "name",
+                               "units", "held", "moved", total)
+
+    def market_share(self, as_of) -> tuple[dict[str, str], str]:
+        views = self.territories() | self.owners(False, False, False) | self.offices() | self.daily(as_of) | self.bridge()
+        parts = [self.share_office("advisor_owner"), self.share_office("client_owner"), self.share_reps(), self.share_house()]
+        return views, " UNION ".join(parts)
+
+    def sales_assets(self) -> tuple[dict[str, str], str]:
+        views = self.territories() | self.owners(True, True, True) | self.offices() | self.monthly() | self.bridge() | self.file_territory()
+        parts = [self.sales_office(True), self.sales_office(False), self.sales_reps(), self.sales_house(), self.sales_files()]
+        return views, " UNION ".join(parts)
+
+
+def _money(column: str, name: str, scale: int = 2) -> str:
+    return f"CAST({column} AS DECIMAL(38,{scale})) AS {name}"
 
 
 def build(cfg: AttributionConfig | None = None) -> dict[str, str]:
     cfg = cfg or testdata_config()
-    s = Script(cfg)
+    v = Views(cfg)
     q: dict[str, str] = {}
-    A = with_adapter
-
-    q["branch_key_concat"] = A(f"""SELECT BR.Dealer_Branch_ID, {s.abr('BR.Office_Postal_CD')} AS aBR,
-        DEALER.MLI_Dealer_Code || '-' || BR.Office_Postal_CD AS dealer_postal_key
-      FROM ETF_DEALER_BRANCH_FACT BR JOIN ETF_FIRM_FACT FIRM ON BR.Office_ID = FIRM.Firm_ID
-      LEFT JOIN ETF_ref_DEALER_FACT DEALER ON FIRM.Firm_ID = DEALER.ETF_Dealer_Code""")
-    q["postal_key_replace"] = A("""SELECT p_partkey, p_brand || '-' || p_name AS key_raw,
-        p_brand || '-' || replace(p_name, ' ', '-') AS key_dash FROM part""")
-    q["client_key_left4"] = A("""SELECT cADDR.Customer_ID,
-        left(POL.Host_Distributor_Num, 4) || '-' || cADDR.Postal_Code AS cBranch_raw,
-        left(POL.Host_Distributor_Num, 4) || '-' || replace(cADDR.Postal_Code, ' ', '-') AS cBranch_dash
-      FROM CUSTOMER_ADDRESS_DIM cADDR JOIN POLICY_DIM POL ON POL.Policy_ID = cADDR.Customer_ID""")
-    q["dealer_rep_key_drop4"] = A(f"""SELECT BR.Dealer_Branch_ID, {s.dlr_rep()} AS DlrRep
-      FROM ETF_DEALER_BRANCH_FACT BR JOIN ETF_FIRM_FACT FIRM ON BR.Office_ID = FIRM.Firm_ID
-      LEFT JOIN ETF_ref_DEALER_FACT DEALER ON FIRM.Firm_ID = DEALER.ETF_Dealer_Code""")
-    q["dealer_type_case"] = A(f"""SELECT FIRM.Firm_ID, DEALER.MLI_Dealer_Code, {s.dealer_type()} AS Dealer_Type
-      FROM ETF_FIRM_FACT FIRM LEFT JOIN ETF_ref_DEALER_FACT DEALER ON FIRM.Firm_ID = DEALER.ETF_Dealer_Code""")
-    q["month_end_bucket"] = A("""SELECT last_day(Asset_Position_Reporting_Date) AS Month_End, COUNT(*) AS n,
-        CAST(SUM(Asset_Position_Shares) AS DECIMAL(38,6)) AS shares,
-        CAST(SUM(Asset_Position_Net_New_Assets) AS DECIMAL(38,2)) AS net_new,
-        CAST(SUM(Asset_Position_Balance) AS DECIMAL(38,2)) AS balance
-      FROM ETF_ASSET_POSITION_FACT GROUP BY last_day(Asset_Position_Reporting_Date)""")
-    q["latest_snapshot"] = A("""SELECT ASSET.Dealer_Branch_ID, ASSET.Rank_Group, COUNT(*) AS n,
-        CAST(SUM(ASSET.Industry_Shares_Amount) AS DECIMAL(38,2)) AS shares,
-        CAST(SUM(ASSET.Industry_Asset_Amount) AS DECIMAL(38,2)) AS assets
-      FROM ETF_MARKET_SHARE_FACT ASSET
-      WHERE CAST(ASSET.Reporting_Date AS DATE) = (SELECT MAX(CAST(Reporting_Date AS DATE)) FROM ETF_MARKET_SHARE_FACT)
-      GROUP BY ASSET.Dealer_Branch_ID, ASSET.Rank_Group""")
-    q["firm_exclusion_3vl"] = A(f"""SELECT BR.Dealer_Branch_ID, FIRM.Firm_Name, BR.Dealer_Branch_CD
-      FROM ETF_DEALER_BRANCH_FACT BR JOIN ETF_FIRM_FACT FIRM ON BR.Office_ID = FIRM.Firm_ID
-      WHERE {s.firm_filter()}""")
-    branch_from = """FROM ETF_DEALER_BRANCH_FACT BR JOIN ETF_FIRM_FACT FIRM ON BR.Office_ID = FIRM.Firm_ID
-      LEFT JOIN ETF_ref_DEALER_FACT DEALER ON FIRM.Firm_ID = DEALER.ETF_Dealer_Code"""
-    q["branch_class_filter"] = A(f"""
-      SELECT BR.Dealer_Branch_ID, 'actual' AS route {branch_from} WHERE {s.actual_filter()}
-      UNION ALL SELECT BR.Dealer_Branch_ID, 'correlated' {branch_from} WHERE {s.correlated_filter()}
-      UNION ALL SELECT BR.Dealer_Branch_ID, 'rep' {branch_from} WHERE {s.rep_monthly_filter()}
-      UNION ALL SELECT BR.Dealer_Branch_ID, 'dropped' {branch_from}
-        WHERE NOT (COALESCE({s.actual_filter()}, FALSE) OR COALESCE({s.correlated_filter()}, FALSE)
-                   OR COALESCE({s.rep_monthly_filter()}, FALSE))""")
-    y = _lit(cfg.active_flag)
-    q["hop_current"] = A(f"""SELECT SELLb.Selling_Code_ID AS Current_Selling_Code_ID,
-        SELLb.Distributor_ID AS Current_Distributor_ID, COUNT(*) AS n,
-        CAST(SUM(ASSET.Asset_Value_Amt) AS DECIMAL(38,2)) AS assets
-      FROM ASSET_DAILY_FACT ASSET
-      JOIN SELLING_CODE_DIM SELL ON ASSET.Original_Selling_Code_ID = SELL.Selling_Code_ID
-      JOIN SELLING_CODE_DIM SELLb ON SELL.Selling_Code = SELLb.Selling_Code AND SELLb.Active_Record_Ind = {y}
-      GROUP BY SELLb.Selling_Code_ID, SELLb.Distributor_ID""")
-    q["hop_as_of"] = A("""SELECT SCD2.Selling_Code_ID AS Version_ID, COUNT(*) AS n,
-        CAST(SUM(HOLD.Asset_Value_Amt) AS DECIMAL(38,2)) AS assets
-      FROM ASSET_DAILY_FACT HOLD
-      JOIN DATE_DIM D ON HOLD.Reporting_Date_ID = D.Date_ID
-      JOIN SELLING_CODE_DIM SCD1 ON HOLD.Original_Selling_Code_ID = SCD1.Selling_Code_ID
-      JOIN SELLING_CODE_DIM SCD2 ON SCD1.Selling_Code = SCD2.Selling_Code
-        AND (CAST(SCD2.Rec_Created_Date AS DATE) <= CAST(D.Calendar_Date AS DATE)
-             AND CAST(SCD2.Rec_Term_Date AS DATE) >= CAST(D.Calendar_Date AS DATE))
-      GROUP BY SCD2.Selling_Code_ID""")
-    q["default_branch_or_null"] = A("""SELECT Distributor_ID, src_Party_ID, Branch_Code FROM DISTRIBUTOR_DIM
-      WHERE COALESCE(Branch_Code, 1) = 1""")
-    q["typed_territory_link"] = A(f"""SELECT sTERR.Distributor_ID, TERRb.Territory_External_ID, TERRb.Territory_Name
-      FROM DISTRIBUTOR_SALES_TERRITORY_FACT sTERR
-      JOIN SALES_TERRITORY_DIM TERR ON sTERR.Sales_Territory_ID = TERR.Sales_Territory_ID
-      JOIN SALES_TERRITORY_DIM TERRb ON TERR.src_ID = TERRb.src_ID AND TERRb.Active_Record_Ind = {y}
-      WHERE sTERR.Territory_Type_ID = {cfg.territory_type_id} AND sTERR.Active_Record_Ind = {y}""")
-    q["effective_dated_override"] = A("""SELECT BR.Dealer_Branch_CD, T_REF.MLI_Territory_Name, COUNT(*) AS n,
-        CAST(SUM(ASSET.Industry_Asset_Amount) AS DECIMAL(38,2)) AS assets
-      FROM ETF_MARKET_SHARE_FACT ASSET
-      JOIN ETF_DEALER_BRANCH_FACT BR ON ASSET.Dealer_Branch_ID = BR.Dealer_Branch_ID
-      LEFT JOIN ETF_ref_TERRITORY_FACT T_REF ON BR.Dealer_Branch_CD = T_REF.ETF_Branch_Name
-        AND (T_REF.Effective_Date <= ASSET.Reporting_Date AND T_REF.End_Date >= ASSET.Reporting_Date)
-      GROUP BY BR.Dealer_Branch_CD, T_REF.MLI_Territory_Name""")
-    q["rank_owner_advisor"] = A(f"""SELECT BR, Territory, CAST(Assets AS DECIMAL(38,2)) AS Assets, Parties, rn
-      FROM ({s.cte1(False, False)}) c""")
-    q["rank_owner_client"] = A(f"""SELECT cBranch AS BR, Territory, CAST(Assets AS DECIMAL(38,2)) AS Assets, rn
-      FROM ({s.cte2(False, False)}) c""")
-    etf_cols = """ETF.Reporting_Date, ETF.Firm_Name, ETF.aBR, ETF.Dealer_Type, ETF.MLI_Dealer_Code, ETF.PeerGroup,
-        ETF.Office_Type, ETF.Dealer_Branch_CD, ETF.MLI_Territory_Name,
-        CAST(ETF.Asset_Position_Shares AS DECIMAL(38,2)) AS Asset_Position_Shares,
-        CAST(ETF.Asset_Position_Balance AS DECIMAL(38,2)) AS Asset_Position_Balance"""
-    cte1a = [("cte1", s.cte1(False, False))]
-    q["preserve_left_attach"] = A(f"""SELECT {etf_cols}, cte1.Territory
-      FROM cte1 RIGHT JOIN ({s.etf_daily(False)}) ETF ON cte1.BR = ETF.aBR WHERE (cte1.rn = 1 OR cte1.rn IS NULL)""",
-                                  cte1a)
-    q["territory_waterfall"] = A(f"""SELECT CASE WHEN ETF.MLI_Territory_Name IS NOT NULL THEN 'override'
-          WHEN ETF.Dealer_Branch_CD IN {_list(cfg.house_accounts)} THEN 'house'
-          WHEN cte1.Territory IS NOT NULL THEN 'ranked' ELSE 'none' END AS outcome,
-        COUNT(*) AS n, CAST(SUM(ETF.Asset_Position_Balance) AS DECIMAL(38,2)) AS balance
-      FROM cte1 RIGHT JOIN ({s.etf_daily(False)}) ETF ON cte1.BR = ETF.aBR WHERE (cte1.rn = 1 OR cte1.rn IS NULL)
-      GROUP BY 1""", cte1a)
-    q["vendor_position_rollup"] = A(f"SELECT {etf_cols} FROM ({s.etf_daily(False)}) ETF")
-    q["vendor_position_rollup_monthly"] = A(f"""SELECT ETF.Asset_Position_Reporting_Date, ETF.Firm_Name, ETF.aBR,
-        ETF.cBR, ETF.Dealer_Type, ETF.CUSIP, ETF.Office_Type, ETF.Dealer_Branch_CD, ETF.Account_Type,
-        ETF.MLI_Territory_Name, CAST(ETF.Asset_Position_Shares AS DECIMAL(38,6)) AS Asset_Position_Shares,
-        CAST(ETF.Asset_Position_Net_New_Assets AS DECIMAL(38,2)) AS Asset_Position_Net_New_Assets,
-        CAST(ETF.Asset_Position_Balance AS DECIMAL(38,2)) AS Asset_Position_Balance
-      FROM ({s.etf_monthly(s.actual_filter())}) ETF""")
-    rep_cols = """E.Firm_Name, E.Dealer_Type, E.aBR, E.Office_Type, E.Reporting_Date, E.PEER_GROUP,
-        CAST(E.Asset_Position_Shares AS DECIMAL(38,2)) AS Asset_Position_Shares,
-        CAST(E.Asset_Position_Balance AS DECIMAL(38,2)) AS Asset_Position_Balance"""
-    q["dealer_rep_positions"] = A(f"SELECT {rep_cols} FROM ({s.etf_rep_daily(False)}) E")
-    q["dealer_rep_positions_monthly"] = A(f"""SELECT E.Firm_Name, E.Dealer_Type, E.aBR, E.Office_Type,
-        E.Reporting_Date, E.cBR, E.Account_Type, E.CUSIP,
-        CAST(E.Asset_Position_Shares AS DECIMAL(38,6)) AS Asset_Position_Shares,
-        CAST(E.Asset_Position_Net_New_Assets AS DECIMAL(38,2)) AS Asset_Position_Net_New_Assets,
-        CAST(E.Asset_Position_Balance AS DECIMAL(38,2)) AS Asset_Position_Balance
-      FROM ({s.etf_rep_monthly()}) E""")
-    q["collapse_versions"] = A(f"SELECT DlrRep, Selling_Code, Start_Date, End_Date FROM ({s.ass_sc()}) a")
-    q["interval_overlap_bridge"] = A(s.bridge())
-    q["point_in_interval_attach"] = A(f"""SELECT {rep_cols}, BRIDGE.Selling_Code, BRIDGE.Territory_External_ID
-      FROM ({s.etf_rep_daily(False)}) E
-      LEFT JOIN ({s.bridge()}) BRIDGE ON E.aBR = BRIDGE.DlrRep
-        AND (BRIDGE.THE_START <= E.Reporting_Date AND BRIDGE.THE_END >= E.Reporting_Date)""")
-    q["fallback_branch_coalesce"] = A(_conf(MS_CONFORM, s.ms_rep_stage(False)))
-    q["peer_values_join"] = A("""SELECT PEER.PEER_GROUP, COUNT(*) AS n,
-        CAST(SUM(HOLD.Asset_Value_Amt) AS DECIMAL(38,2)) AS assets,
-        CAST(SUM(HOLD.Number_Of_Units) AS DECIMAL(38,6)) AS units
-      FROM ASSET_DAILY_FACT HOLD JOIN PRODUCT_DIM PROD ON HOLD.inv_Product_ID = PROD.Product_ID
-      JOIN PEER_LIST PEER ON PROD.Product_Name = PEER.CUSIP GROUP BY PEER.PEER_GROUP""")
-    q["semi_product_filter"] = A(f"""SELECT PROD.Product_Name, COUNT(*) AS n,
-        CAST(SUM(NBV.Txn_Amt) AS DECIMAL(38,2)) AS amount
-      FROM NBV_MONTHEND_FACT NBV JOIN PRODUCT_DIM PROD ON NBV.Product_ID = PROD.Product_ID
-      WHERE PROD.Product_Name IN (SELECT Product_CUSIP FROM ETF_PRODUCT_FACT
-                                  WHERE Product_Type = {_lit(cfg.etf_product_type)})
-      GROUP BY PROD.Product_Name""")
-    q["union_distinct_txn_hold"] = A(s.flows_and_holdings())
-    q["conditional_net_new"] = A(_conf(SA_CONFORM, s.sa_in_house_stage()))
-    q["in_house_holdings"] = A(_conf(MS_CONFORM, s.ms_in_house_stage()))
-    q["direct_source_rollup"] = A(_conf(SA_CONFORM, s.sa_direct_stage()))
-    q["duplicate_link_fanout"] = A(f"""SELECT Source.Selling_Code, TERR_c.Territory_External_ID, COUNT(*) AS n,
-        CAST(SUM(Source.Assets) AS DECIMAL(38,2)) AS assets
-      {s.direct_rows()}
-      GROUP BY Source.Selling_Code, TERR_c.Territory_External_ID""")
-    q["conform_numeric"] = A("""SELECT Asset_Position_Holding_ID, Asset_Position_Reporting_Date,
+
+    def add(name: str, body: str, *views: dict[str, str]) -> None:
+        found: dict[str, str] = dict(ADAPTER)
+        for x in views:
+            found |= x
+        q[name] = f"WITH {_ctes(found)}\n{body}"
+
+    office, terr = v.offices(), v.territories()
+    owners, bridge, every_day = v.owners(False, False, False), v.bridge(), v.daily(None)
+    sums = f"{_money('shares', 'Asset_Position_Shares')}, {_money('balance', 'Asset_Position_Balance')}"
+    units = f"{_money('shares', 'Asset_Position_Shares', 6)}, {_money('net_new', 'Asset_Position_Net_New_Assets')}, {_money('balance', 'Asset_Position_Balance')}"
+
+    # keys
+    add("branch_key_concat", """SELECT Dealer_Branch_ID, office_key AS "aBR", rtrim(code || '-' || Office_Postal_CD) AS dealer_postal_key FROM office""", office)
+    add("postal_key_replace", """SELECT p_partkey, rtrim(p_brand || '-' || p_name) AS key_raw, rtrim(p_brand || '-' || replace(p_name, ' ', '-')) AS key_dash FROM part""")
+    add("client_key_left4", """SELECT Customer_ID, left(Host_Distributor_Num, 4) || '-' || Postal_Code AS "cBranch_raw",
+        left(Host_Distributor_Num, 4) || '-' || replace(Postal_Code, ' ', '-') AS "cBranch_dash"
+        FROM CUSTOMER_ADDRESS_DIM JOIN POLICY_CUSTOMER_FACT USING (Customer_ID) JOIN POLICY_DIM USING (Policy_ID)""")
+    add("dealer_rep_key_drop4", 'SELECT Dealer_Branch_ID, rep_key AS "DlrRep" FROM office', office)
+    add("dealer_type_case", """SELECT Firm_ID, MLI_Dealer_Code, CASE WHEN MLI_Dealer_Code IS NULL THEN 'INSTITUTIONAL' ELSE 'RETAIL' END AS Dealer_Type
+        FROM ETF_FIRM_FACT LEFT JOIN ETF_ref_DEALER_FACT ON ETF_Dealer_Code = Firm_ID""")
+    add("key_varchar30", """SELECT s_suppkey, left(code, 30) || '-P' AS vendor, rtrim(left(code, 30) || right(s_name || '   ', length(s_name) - 4)) AS rep,
+        left(code, 30) || left(code, 30) AS master, code || '-P' AS advisor, s_name AS branch
+        FROM (SELECT *, repeat('D', 24) || s_suppkey || '-0123456789' AS code FROM supplier) x""")
+    add("month_end_bucket", f"""SELECT last_day(Asset_Position_Reporting_Date) AS Month_End, count(*) AS n, {_money('sum(Asset_Position_Shares)', 'shares', 6)},
+        {_money('sum(Asset_Position_Net_New_Assets)', 'net_new')}, {_money('sum(Asset_Position_Balance)', 'balance')} FROM ETF_ASSET_POSITION_FACT GROUP BY 1""")
+    add("latest_snapshot", f"""SELECT Dealer_Branch_ID, Rank_Group, count(*) AS n, {_money('sum(Industry_Shares_Amount)', 'shares')},
+        {_money('sum(Industry_Asset_Amount)', 'assets')} FROM daily_line GROUP BY 1, 2""", office, v.daily("latest"))
+
+    # filters
+    add("firm_exclusion_3vl", "SELECT Dealer_Branch_ID, Firm_Name, cd AS Dealer_Branch_CD FROM office WHERE firm_kept", office)
+    add("branch_class_filter", """SELECT Dealer_Branch_ID, unnest(CASE WHEN len(routes) = 0 THEN ['dropped'] ELSE routes END) AS route FROM (
+        SELECT Dealer_Branch_ID, [x FOR x IN [CASE WHEN is_actual THEN 'actual' END, CASE WHEN is_correlated THEN 'correlated' END,
+          CASE WHEN rep_monthly THEN 'rep' END] IF x IS NOT NULL] AS routes FROM office) o""", office)
+    add("default_branch_or_null", "SELECT Distributor_ID, src_Party_ID, Branch_Code FROM DISTRIBUTOR_DIM WHERE Branch_Code IS NULL OR Branch_Code = 1")
+
+    # versions
+    add("hop_current", f"""SELECT today.Selling_Code_ID AS Current_Selling_Code_ID, today.Distributor_ID AS Current_Distributor_ID, count(*) AS n,
+        {_money('sum(Asset_Value_Amt)', 'assets')} FROM SELLING_CODE_DIM today JOIN SELLING_CODE_DIM other USING (Selling_Code)
+        JOIN ASSET_DAILY_FACT ON Original_Selling_Code_ID = other.Selling_Code_ID WHERE today.Active_Record_Ind {v.on} GROUP BY ALL""")
+    add("hop_as_of", f"""SELECT dated.Selling_Code_ID AS Version_ID, count(*) AS n, {_money('sum(Asset_Value_Amt)', 'assets')}
+        FROM SELLING_CODE_DIM dated JOIN SELLING_CODE_DIM other USING (Selling_Code) JOIN ASSET_DAILY_FACT ON Original_Selling_Code_ID = other.Selling_Code_ID
+        JOIN DATE_DIM ON Date_ID = Reporting_Date_ID
+        WHERE CAST(Calendar_Date AS DATE) BETWEEN CAST(dated.Rec_Created_Date AS DATE) AND CAST(dated.Rec_Term_Date AS DATE) GROUP BY ALL""")
+    add("typed_territory_link", "SELECT Distributor_ID, terr AS Territory_External_ID, terr_name AS Territory_Name FROM dist_territory", terr)
+    add("effective_dated_override", f"""SELECT Dealer_Branch_CD, MLI_Territory_Name, count(*) AS n, {_money('sum(Industry_Asset_Amount)', 'assets')}
+        FROM ETF_MARKET_SHARE_FACT JOIN ETF_DEALER_BRANCH_FACT USING (Dealer_Branch_ID)
+        LEFT JOIN ETF_ref_TERRITORY_FACT ON ETF_Branch_Name = Dealer_Branch_CD AND Reporting_Date BETWEEN Effective_Date AND End_Date GROUP BY 1, 2""")
+
+    # owners
+    for name, dashed in (("rank_owner_advisor", False), ("rank_owner_advisor_monthly", True)):
+        add(name, f"""SELECT branch AS "BR", terr AS "Territory", {_money('assets', '"Assets"')}, parties AS "Parties", place AS rn
+            FROM ({v.ranked(v.advisors(dashed, dashed), True)}) r""", terr)
+    for name, dashed in (("rank_owner_client", False), ("rank_owner_client_policy", True)):
+        add(name, f"""SELECT branch AS "BR", terr AS "Territory", {_money('assets', '"Assets"')}, place AS rn
+            FROM ({v.ranked(v.clients(dashed, dashed), False)}) r""", terr)
+    day = f"""Reporting_Date, Firm_Name, office_key AS "aBR", kind AS Dealer_Type, code AS MLI_Dealer_Code, Rank_Group AS "PeerGroup",
+        Office_Type, cd AS Dealer_Branch_CD, override AS MLI_Territory_Name, {sums}"""
+    owned = "office_day LEFT JOIN advisor_owner ON branch = office_key"
+    add("vendor_position_rollup", f"SELECT {day} FROM office_day", office, every_day)
+    add("preserve_left_attach", f"""SELECT {day}, terr AS "Territory" FROM {owned}""", terr, owners, office, every_day)
+    add("territory_waterfall", f"""SELECT outcome, count(*) AS n, {_money('sum(balance)', 'balance')} FROM (
+        SELECT CASE WHEN override IS NOT NULL THEN 'override' WHEN cd IN {_list(cfg.house_accounts)} THEN 'house'
+               WHEN terr IS NOT NULL THEN 'ranked' ELSE 'none' END AS outcome, balance FROM {owned}) o GROUP BY outcome""", terr, owners, office, every_day)
+
+    # rollups
+    month = f"""month AS Asset_Position_Reporting_Date, Firm_Name, office_key AS "aBR", account_key AS "cBR", kind AS Dealer_Type, cusip AS "CUSIP",
+        Office_Type, cd AS Dealer_Branch_CD, account_type AS Account_Type, override AS MLI_Territory_Name, {units}"""
+    add("vendor_position_rollup_monthly", f"SELECT {month} FROM office_month WHERE is_actual", office, v.monthly())
+    add("vendor_position_rollup_correlated", f"SELECT {month} FROM office_month WHERE NOT is_actual", office, v.monthly())
+    rep = f"""Firm_Name, kind AS Dealer_Type, rep_key AS "aBR", Office_Type, day AS Reporting_Date, Rank_Group AS "PEER_GROUP", {sums}"""
+    add("dealer_rep_positions", f"SELECT {rep} FROM rep_day", office, every_day)
+    add("dealer_rep_positions_monthly", f"""SELECT Firm_Name, kind AS Dealer_Type, rep_key AS "aBR", Office_Type, month AS Reporting_Date,
+        account_key AS "cBR", account_type AS Account_Type, cusip AS "CUSIP", {units} FROM rep_month""", office, v.monthly())
+
+    # bridge
+    add("collapse_versions", 'SELECT rep AS "DlrRep", Selling_Code, since AS Start_Date, until AS End_Date FROM rep_code', terr, bridge)
+    add("interval_overlap_bridge", """SELECT rep AS "DlrRep", Selling_Code, party AS "src_Party_ID", terr AS Territory_External_ID,
+        since AS "THE_START", until AS "THE_END" FROM rep_bridge""", terr, bridge)
+    add("point_in_interval_attach", f"""SELECT {rep}, Selling_Code, terr AS Territory_External_ID
+        FROM rep_day LEFT JOIN rep_bridge b ON b.rep = rep_key AND day BETWEEN b.since AND b.until""", terr, bridge, office, every_day)
+    add("fallback_branch_coalesce", v.share_reps(), terr, bridge, office, every_day)
+
+    # in-house books and files
+    add("peer_values_join", f"""SELECT PEER_GROUP, count(*) AS n, {_money('sum(Asset_Value_Amt)', 'assets')}, {_money('sum(Number_Of_Units)', 'units', 6)}
+        FROM PEER_LIST JOIN PRODUCT_DIM ON Product_Name = CUSIP JOIN ASSET_DAILY_FACT ON inv_Product_ID = Product_ID GROUP BY 1""")
+    literal = ", ".join(f"({_lit(c)}, {_lit(g)})" for c, g in PEER_LIST)
+    add("peer_list_literal", f"""SELECT peer.CUSIP, peer.PEER_GROUP, count(*) AS n, {_money('sum(Asset_Value_Amt)', 'assets')}
+        FROM (VALUES {literal}) peer(CUSIP, PEER_GROUP)
+        JOIN (SELECT cusip, row_number() OVER (ORDER BY cusip) - 1 AS place FROM (SELECT DISTINCT col0 AS cusip FROM (VALUES {literal}) l) d) named
+          ON named.cusip = peer.CUSIP
+        JOIN PRODUCT_DIM ON Product_ID % 130 = named.place JOIN ASSET_DAILY_FACT ON inv_Product_ID = Product_ID GROUP BY 1, 2""")
+    varied = """(SELECT Product_ID, CASE Product_ID % 5 WHEN 0 THEN lower(Product_Name) WHEN 1 THEN Product_Name || '  '
+        WHEN 2 THEN replace(Product_Name, 'U', chr(220)) ELSE Product_Name END AS Product_Name FROM PRODUCT_DIM)"""
+    add("peer_join_collation", v.share_house(varied, "lower(strip_accents(rtrim(prod.Product_Name))) = lower(strip_accents(rtrim(peer.CUSIP)))"), terr)
+    add("semi_product_filter", f"""SELECT Product_Name, count(*) AS n, {_money('sum(Txn_Amt)', 'amount')}
+        FROM NBV_MONTHEND_FACT JOIN PRODUCT_DIM USING (Product_ID)
+        WHERE EXISTS (SELECT 1 FROM ETF_PRODUCT_FACT e WHERE e.Product_CUSIP = Product_Name AND e.Product_Type = {_lit(cfg.etf_product_type)}) GROUP BY 1""")
+    add("union_distinct_txn_hold", v.etf_books())
+    add("conditional_net_new", v.sales_house(), terr)
+    add("in_house_holdings", v.share_house(), terr)
+    add("direct_source_rollup", v.sales_files(), terr, v.file_territory())
+    add("duplicate_link_fanout", f"""SELECT Selling_Code, terr AS Territory_External_ID, CAST(sum(times) AS BIGINT) AS n, {_money('sum(Assets * times)', 'assets')}
+        FROM ETF_DIRECT_SOURCE JOIN file_territory ON sold_by = Selling_Code GROUP BY 1, 2""", terr, v.file_territory())
+
+    # output
+    add("conform_numeric", """SELECT Asset_Position_Holding_ID, Asset_Position_Reporting_Date,
         CAST(Asset_Position_Balance * Asset_Position_Net_New_Assets AS DECIMAL(15,2)) AS amount_2,
-        CAST(Asset_Position_Shares * Asset_Position_Net_New_Assets AS DECIMAL(15,6)) AS shares_6
-      FROM ETF_ASSET_POSITION_FACT""")
-    cte2a = [("cte2", s.cte2(False, False))]
-    q["accumulate_distinct"] = A(f"""SELECT DISTINCT * FROM (
-        {_conf(MS_CONFORM, s.ms_branch_stage('cte1', 'BR', False))}
-        UNION ALL {_conf(MS_CONFORM, s.ms_branch_stage('cte2', 'cBranch', False))}) u""", cte1a + cte2a)
-    for name, (extra, body) in literal_scripts(cfg).items():
-        q[name] = A(body, extra)
+        CAST(Asset_Position_Shares * Asset_Position_Net_New_Assets AS DECIMAL(15,6)) AS shares_6 FROM ETF_ASSET_POSITION_FACT""")
+    add("accumulate_distinct", f"{v.share_office('advisor_owner')} UNION {v.share_office('client_owner')}", terr, owners, office, every_day)
+    for name, as_of in (("market_share_attribution", "latest"), ("market_share_attribution_all_days", None), ("market_share_as_of", "1997-06-30")):
+        views, body = v.market_share(as_of)
+        add(name, body, views)
+    views, body = v.sales_assets()
+    add("sales_assets_attribution", body, views)
     return q
 
 
-def _with(extra: list[tuple[str, str]], body: str) -> str:
-    return "WITH " + ",\n".join(f"{n} AS (\n{q}\n)" for n, q in extra) + "\n" + body
-
-
-def literal_scripts(cfg: AttributionConfig | None = None) -> dict[str, tuple[list[tuple[str, str]], str]]:
-    """The two scripts transcribed statement by statement: (CTEs, body)
-    over the logical table names only (no adapter)."""
+def plain_sql(name: str, cfg: AttributionConfig | None = None) -> str:
+    """One result as a single SQL statement over views named like the logical
+    tables (runs on DuckDB and Spark SQL): the bench's comparison."""
     cfg = cfg or testdata_config()
-    s = Script(cfg)
-    ms = f"""SELECT DISTINCT * FROM (
-        {_conf(MS_CONFORM, s.ms_branch_stage('cte1', 'BR', True))}
-        UNION ALL {_conf(MS_CONFORM, s.ms_branch_stage('cte2', 'cBranch', True))}
-        UNION ALL {_conf(MS_CONFORM, s.ms_rep_stage(True))}
-        UNION ALL {_conf(MS_CONFORM, s.ms_in_house_stage())}) u"""
-    sa = f"""SELECT DISTINCT * FROM (
-        {_conf(SA_CONFORM, s.sa_branch_stage('cte1', 'BR', 'aBR', s.actual_filter(), 'ACTUAL'))}
-        UNION ALL {_conf(SA_CONFORM, s.sa_branch_stage('cte2', 'cBranch', 'cBR', s.correlated_filter(), 'CORRELATED'))}
-        UNION ALL {_conf(SA_CONFORM, s.sa_rep_stage())}
-        UNION ALL {_conf(SA_CONFORM, s.sa_in_house_stage())}
-        UNION ALL {_conf(SA_CONFORM, s.sa_direct_stage())}) u"""
-    return {
-        "market_share_attribution": ([("cte1", s.cte1(False, False)), ("cte2", s.cte2(False, False))], ms),
-        "sales_assets_attribution": ([("cte1", s.cte1(True, True)), ("cte2", s.cte2(True, True))], sa),
-    }
-
-
-def literal_sql(name: str, cfg: AttributionConfig | None = None) -> str:
-    """Literal transcription of one script as a single SQL statement over
-    views named like the logical tables (runs on DuckDB and Spark SQL)."""
-    extra, body = literal_scripts(cfg)[name]
-    return _with(extra, body)
+    v = Views(cfg)
+    views, body = v.sales_assets() if name == "sales_assets_attribution" else v.market_share(cfg.as_of)
+    return f"WITH {_ctes(views)}\n{body}"

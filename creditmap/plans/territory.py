@@ -2,11 +2,8 @@
 
 The same chain is spelled out four times in each script.  Here it is
 built once, on the dimension side, and joined to facts after they are
-aggregated, so the large facts never travel through the chain.  Each
-composite chain carries its own size check: without cost-based statistics
-Spark estimates an inner join as the product of its inputs, so a composite
-dimension would never qualify for a broadcast on estimates alone; a bounded
-row count proves when it does, and beyond the bound it is shuffle-joined.
+aggregated, so the large facts never travel through the chain.  Every hop
+from a version to its current version goes through ``current_versions``.
 """
 
 from __future__ import annotations
@@ -16,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import AttributionConfig
 from ..functions.predicates import active
+from ..operators.versions import current_versions
 from ..sources import registry as R
 from ..sources.registry import Sources
 
@@ -30,16 +28,13 @@ def _distributor_territories(src: Sources, cfg: AttributionConfig, dist_col: str
     ``link(type, active) -> SALES_TERRITORY(version) -> SALES_TERRITORY(current,
     same src_ID)``.  Columns: ``dist_col, Territory_External_ID, Territory_Name``.
     """
-    link = src.small(R.DIST_TERRITORY).where(
+    link = src[R.DIST_TERRITORY].where(
         (F.col("Territory_Type_ID") == F.lit(cfg.territory_type_id)) & active("Active_Record_Ind", cfg)
     ).select(F.col("Distributor_ID").alias(dist_col), "Sales_Territory_ID")
-    terr = src.small(R.SALES_TERRITORY)
-    version = terr.select("Sales_Territory_ID", F.col("src_ID").alias("__src"))
-    current = terr.where(active("Active_Record_Ind", cfg)).select(
-        F.col("src_ID").alias("__src"), "Territory_External_ID", "Territory_Name"
-    )
-    out = link.join(version, "Sales_Territory_ID").join(current, "__src").drop("Sales_Territory_ID", "__src")
-    return src.bounded(f"distributor_territories:{dist_col}", out)
+    current = current_versions(src[R.SALES_TERRITORY], "Sales_Territory_ID", "src_ID",
+                               {"Territory_External_ID": "Territory_External_ID", "Territory_Name": "Territory_Name"},
+                               active_flag=cfg.active_flag)
+    return link.join(current, "Sales_Territory_ID").drop("Sales_Territory_ID")
 
 
 def party_current_territories(src: Sources, cfg: AttributionConfig) -> DataFrame:
@@ -54,8 +49,7 @@ def _party_current_territories(src: Sources, cfg: AttributionConfig) -> DataFram
     cur = src[R.DISTRIBUTOR].where(active("Active_Record_Ind", cfg)).select(
         "src_Party_ID", F.col("Distributor_ID").alias("__cur")
     )
-    out = cur.join(distributor_territories(src, cfg, "__cur"), "__cur").drop("__cur")
-    return src.bounded("party_current_territories", out)
+    return cur.join(distributor_territories(src, cfg, "__cur"), "__cur").drop("__cur")
 
 
 def selling_code_territories(src: Sources, cfg: AttributionConfig) -> DataFrame:
@@ -69,16 +63,8 @@ def _selling_code_territories(src: Sources, cfg: AttributionConfig) -> DataFrame
 
     Columns: ``Selling_Code_ID, src_Party_ID, Territory_External_ID, Territory_Name``.
     """
-    sell = src[R.SELLING_CODE]
-    version = sell.select("Selling_Code_ID", F.col("Selling_Code").alias("__code"))
-    current = sell.where(active("Active_Record_Ind", cfg)).select(
-        F.col("Selling_Code").alias("__code"), F.col("Distributor_ID").alias("__dist")
-    )
+    current = current_versions(src[R.SELLING_CODE], "Selling_Code_ID", "Selling_Code", {"Distributor_ID": "__dist"},
+                               active_flag=cfg.active_flag)
     party = src[R.DISTRIBUTOR].select(F.col("Distributor_ID").alias("__dist"), "src_Party_ID")
-    out = (
-        version.join(current, "__code")
-        .join(party, "__dist")
-        .join(party_current_territories(src, cfg), "src_Party_ID")
-        .drop("__code", "__dist")
-    )
-    return src.bounded("selling_code_territories", out)
+    return (current.join(party, "__dist").join(party_current_territories(src, cfg), "src_Party_ID")
+            .drop("__dist"))

@@ -3,16 +3,17 @@
 Each script reads its vendor fact in several stages that differ in their
 filters and group keys.  Here every fact row is routed once, on the
 dimension side, to the stages that want it (a row may go to several, each
-copy carries its route), the effective-dated override is joined only for
-the routes that read it, and ONE aggregation serves all stages: its group
+copy carries its route), and ONE aggregation serves all stages: its group
 keys are route-dependent expressions that equal, for each route, exactly
 the group keys of that stage.  A stage rollup is then a filter and a
 projection of the shared aggregate, and the end-to-end plans attach all
-routes with one join, so the fact is scanned and shuffled once per script.
+routes with one join, so the fact is scanned once per script.
 
-Dimension relations (branch x firm x dealer with routes, product,
-override) are broadcast when a bounded count proves they fit; the
-aggregation is partial (map-side) before its shuffle.
+The daily fact is summed per (branch, time, group) before it meets a
+dimension, so a branch with a third of the rows is reduced map-side (R-3).
+The position fact meets its holdings once; stored bucketed by holding id on
+both sides, that join needs no shuffle.  The branch dimension carries its
+override intervals, so resolving them needs no further join of the fact.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ from pyspark.sql import functions as F
 
 from ..config import AttributionConfig
 from ..functions import predicates as P
-from ..functions.keys import dealer_rep_key, dealer_type, month_end, vendor_key
-from ..operators.intervals import effective_dated_left
+from ..functions.keys import dealer_rep_key, dealer_type, month_end, same_text, vendor_key
+from ..operators.intervals import pick_interval, with_intervals
+from ..operators.owners import sum_per_key
 from ..operators.snapshot import snapshot
 from ..sources import registry as R
 from ..sources.registry import Sources
@@ -49,19 +51,17 @@ def _is(route: str) -> Column:
 
 
 def _branch_dims(src: Sources, dealer_how: str) -> DataFrame:
-    branch = src.small(R.DEALER_BRANCH).select(
+    branch = src[R.DEALER_BRANCH].select(
         "Dealer_Branch_ID", "Office_ID", "Dealer_Branch_CD", "Office_Type", "Office_Postal_CD"
     )
-    firm = src.small(R.FIRM).select(F.col("Firm_ID").alias("Office_ID"), "Firm_ID", "Firm_Name")
-    dealer = src.small(R.REF_DEALER).select(F.col("ETF_Dealer_Code").alias("Firm_ID"), "MLI_Dealer_Code")
+    firm = src[R.FIRM].select(F.col("Firm_ID").alias("Office_ID"), "Firm_ID", "Firm_Name")
+    dealer = src[R.REF_DEALER].select(F.col("ETF_Dealer_Code").alias("Firm_ID"), "MLI_Dealer_Code")
     return branch.join(firm, "Office_ID").join(dealer, "Firm_ID", dealer_how)
 
 
-def _override(rows: DataFrame, src: Sources, at: str, only_when: Column) -> DataFrame:
-    return effective_dated_left(
-        rows, src.small(R.REF_TERRITORY), "Dealer_Branch_CD", at, "ETF_Branch_Name", "Effective_Date",
-        "End_Date", {"MLI_Territory_Name": "MLI_Territory_Name"}, only_when=only_when,
-    )
+def with_overrides(branches: DataFrame, src: Sources) -> DataFrame:
+    return with_intervals(branches, src[R.REF_TERRITORY], "Dealer_Branch_CD", "ETF_Branch_Name", "Effective_Date",
+                          "End_Date", "MLI_Territory_Name")
 
 
 # ---------------------------------------------------------------------------
@@ -80,23 +80,21 @@ def _market_share_positions(src: Sources, cfg: AttributionConfig, as_of) -> Data
     Dealer_Type, MLI_Dealer_Code (``branch`` only), Rank_Group,
     Office_Type, Dealer_Branch_CD, MLI_Territory_Name (``branch`` only).
     """
-    dims = _branch_dims(src, "inner")
-    dims = src.bounded("market_share_branch_dims", dims.select(
+    dims = with_overrides(_branch_dims(src, "inner"), src).select(
         "*",
         F.explode(_routes([
             (MS_BRANCH, P.firm_kept("Firm_Name", "Dealer_Branch_CD", cfg)),
             (MS_REP, P.rep_level_daily("MLI_Dealer_Code", "Dealer_Branch_CD", cfg)),
         ])).alias(ROUTE),
-    ))
-    fact = snapshot(src[R.MARKET_SHARE], "Reporting_Date", as_of).select(
-        "Dealer_Branch_ID", "Reporting_Date", "Rank_Group", "Industry_Shares_Amount", "Industry_Asset_Amount"
     )
-    rows = _override(fact.join(dims, "Dealer_Branch_ID"), src, "Reporting_Date", _is(MS_BRANCH))
+    fact = sum_per_key(snapshot(src[R.MARKET_SHARE], "Reporting_Date", as_of),
+                       ["Dealer_Branch_ID", "Reporting_Date", "Rank_Group"], ["Industry_Shares_Amount", "Industry_Asset_Amount"])
+    rows = pick_interval(fact.join(dims, "Dealer_Branch_ID"), "Reporting_Date", "MLI_Territory_Name", _is(MS_BRANCH))
     rep = _is(MS_REP)
     return rows.groupBy(
         ROUTE, "Reporting_Date", "Firm_Name",
-        F.when(rep, dealer_rep_key("MLI_Dealer_Code", "Dealer_Branch_CD", cfg.strict_right))
-        .otherwise(vendor_key("MLI_Dealer_Code", "Firm_ID", "Office_Postal_CD")).alias("aBR"),
+        same_text(F.when(rep, dealer_rep_key("MLI_Dealer_Code", "Dealer_Branch_CD", cfg.strict_right))
+                  .otherwise(vendor_key("MLI_Dealer_Code", "Firm_ID", "Office_Postal_CD"))).alias("aBR"),
         dealer_type("MLI_Dealer_Code").alias("Dealer_Type"),
         F.when(~rep, F.col("MLI_Dealer_Code")).alias("MLI_Dealer_Code"),
         "Rank_Group", "Office_Type", "Dealer_Branch_CD", "MLI_Territory_Name",
@@ -133,12 +131,12 @@ def holdings_dims(src: Sources, cfg: AttributionConfig) -> DataFrame:
     """Holding id -> account, branch, firm, dealer, product and stage routes."""
     hold = src[R.HOLDINGS].select("Holdings_ID", "Account_ID", "Dealer_Branch_ID", "Product_ID")
     acct = src[R.ACCOUNT].select("Account_ID", "Account_Postal_CD", "Account_Type_TA_CD")
-    prod = src.small(R.ETF_PRODUCT).select("Product_ID", "Product_CUSIP")
-    branch = src.bounded("sales_branch_dims", _branch_dims(src, "left"))
+    prod = src[R.ETF_PRODUCT].select("Product_ID", "Product_CUSIP")
+    branch = with_overrides(_branch_dims(src, "left"), src)
     dims = hold.join(acct, "Account_ID").join(branch, "Dealer_Branch_ID").join(prod, "Product_ID")
     return dims.select(
         "Holdings_ID", "Firm_ID", "Firm_Name", "MLI_Dealer_Code", "Office_Postal_CD", "Account_Postal_CD",
-        "Office_Type", "Dealer_Branch_CD", "Account_Type_TA_CD", "Product_CUSIP",
+        "Office_Type", "Dealer_Branch_CD", "Account_Type_TA_CD", "Product_CUSIP", "__intervals",
         F.explode(_routes([
             (SA_ACTUAL, P.actual_branches("Office_Type", "Dealer_Branch_CD", "MLI_Dealer_Code", cfg)),
             (SA_CORRELATED, P.correlated_branches("Office_Type", "Dealer_Branch_CD", "MLI_Dealer_Code", cfg)),
@@ -164,13 +162,13 @@ def _sales_positions(src: Sources, cfg: AttributionConfig) -> DataFrame:
         "Asset_Position_Shares", "Asset_Position_Net_New_Assets", "Asset_Position_Balance",
     )
     rep = _is(SA_REP)
-    dims = src.bounded("sales_holdings_dims", holdings_dims(src, cfg))
-    rows = _override(fact.join(dims, "Holdings_ID"), src, "Asset_Position_Reporting_Date", ~rep)
+    rows = pick_interval(fact.join(holdings_dims(src, cfg), "Holdings_ID"), "Asset_Position_Reporting_Date",
+                         "MLI_Territory_Name", ~rep)
     return rows.groupBy(
         ROUTE, month_end("Asset_Position_Reporting_Date").alias("Reporting_Date"), "Firm_Name",
-        F.when(rep, dealer_rep_key("MLI_Dealer_Code", "Dealer_Branch_CD", cfg.strict_right))
-        .otherwise(vendor_key("MLI_Dealer_Code", "Firm_ID", "Office_Postal_CD")).alias("aBR"),
-        vendor_key("MLI_Dealer_Code", "Firm_ID", "Account_Postal_CD").alias("cBR"),
+        same_text(F.when(rep, dealer_rep_key("MLI_Dealer_Code", "Dealer_Branch_CD", cfg.strict_right))
+                  .otherwise(vendor_key("MLI_Dealer_Code", "Firm_ID", "Office_Postal_CD"))).alias("aBR"),
+        same_text(vendor_key("MLI_Dealer_Code", "Firm_ID", "Account_Postal_CD")).alias("cBR"),
         dealer_type("MLI_Dealer_Code").alias("Dealer_Type"),
         F.col("Product_CUSIP").alias("CUSIP"), "Office_Type",
         F.when(~rep, F.col("Dealer_Branch_CD")).alias("Dealer_Branch_CD"),

@@ -8,14 +8,10 @@ name, so plans never hard-code a location.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import functions as F
-
-from ..operators.broadcast import broadcast_if_bounded, row_count_at_most
-
 # Vendor (ETF intelligence) tables
 MARKET_SHARE = "ETF_MARKET_SHARE_FACT"
 DEALER_BRANCH = "ETF_DEALER_BRANCH_FACT"
@@ -46,12 +42,6 @@ ASSET_MONTHEND = "ASSET_MONTHEND_FACT"
 # The peer list the market-share script declares inline.
 PEERS = "PEER_LIST"
 
-# Reference tables whose size is bounded by the business (firms, dealers,
-# branches, products, calendar, territories); they are broadcast after a
-# bounded row count proves it.
-REFERENCE_TABLES = (DEALER_BRANCH, FIRM, REF_DEALER, REF_TERRITORY, ETF_PRODUCT, DATE_DIM, PRODUCT_DIM,
-                    DIST_TERRITORY, SALES_TERRITORY, PEERS)
-
 ALL_TABLES = (
     MARKET_SHARE, DEALER_BRANCH, FIRM, REF_DEALER, REF_TERRITORY, ACCOUNT, HOLDINGS,
     ASSET_POSITION, ETF_PRODUCT, DIRECT_SOURCE, ASSOCIATED_CODES, SELLING_CODE, ASSET_DAILY,
@@ -62,22 +52,26 @@ ALL_TABLES = (
 
 
 class Sources:
-    """Named logical tables plus a cache of broadcast decisions."""
+    """Named logical tables and the relations built over them.
+
+    Nothing here runs a Spark job or looks at sizes: every plan is the same at
+    every size, and Spark picks broadcast or shuffle joins from file sizes and,
+    at run time, from measured shuffle sizes (AQE)."""
 
-    def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame], broadcast_max_rows: int):
+    def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame | Callable[[], DataFrame]]):
         self.spark = spark
         self._tables = dict(tables)
-        self._small: dict[str, DataFrame] = {}
-        self._fits: dict[str, bool] = {}
         self._memo: dict = {}
-        self.broadcast_max_rows = broadcast_max_rows
         self.sf_dir: str | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         try:
-            return self._tables[name]
+            table = self._tables[name]
         except KeyError:
             raise KeyError(f"source table {name!r} is not registered") from None
+        if not isinstance(table, DataFrame):  # opened at first use
+            table = self._tables[name] = table()
+        return table
 
     def __contains__(self, name: str) -> bool:
         return name in self._tables
@@ -85,78 +79,28 @@ class Sources:
     def names(self) -> list[str]:
         return list(self._tables)
 
-    def small(self, name: str) -> DataFrame:
-        """The table with a broadcast hint when it provably fits (checked once)."""
-        if name not in self._small:
-            self._small[name] = broadcast_if_bounded(self[name], self.broadcast_max_rows)
-        return self._small[name]
-
-    def check_reference_tables(self, names=REFERENCE_TABLES) -> "Sources":
-        """Run the size checks of the registered reference tables up front,
-        once per registry (like collecting table statistics at load)."""
-        for n in names:
-            if n in self:
-                self.small(n)
-        return self
-
     def memo(self, key, build):
         """The DataFrame ``build()`` returns, built once per ``key``.
 
         Plans are immutable, so a relation used by several stages (a
         territory chain, the owner tables, the bridge) is one plan instance:
         fewer round-trips while building, and Spark can reuse its exchange
-        or broadcast wherever it appears in one query."""
+        or broadcast wherever it appears in one query.  The key names the
+        relation and the configuration it depends on."""
         if key not in self._memo:
             self._memo[key] = build()
         return self._memo[key]
 
-    def fits(self, name: str, df: DataFrame) -> bool:
-        """Whether ``df`` provably has at most ``broadcast_max_rows`` rows.
-
-        The check is a bounded count (it stops after the bound) and runs
-        once per ``name`` and registry."""
-        if name not in self._fits:
-            self._fits[name] = row_count_at_most(df, self.broadcast_max_rows)
-        return self._fits[name]
-
-    def bounded(self, name: str, df: DataFrame) -> DataFrame:
-        """``df`` with a broadcast hint when it provably fits."""
-        return F.broadcast(df) if self.fits(name, df) else df
-
-    def per_key(self, name: str, rows: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
-        """Measures ready to join by ``keys``: the raw rows, broadcast, when
-        they provably fit (joined map-side and summed once after the join),
-        else summed per key first with a map-side partial aggregate, so a
-        large fact meets the dimension chains once per key instead of once
-        per row (R-2).  Both give the same sums, because SUM is linear in the
-        join fan-out."""
-        if self.fits(name, rows):
-            return F.broadcast(rows)
-        return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
-
-    def reduced(self, name: str, rows: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
-        """Fact rows about to walk the dimension chains: as they are when they
-        provably fit (the chain joins are then map-side and one aggregation
-        follows), else summed per ``keys`` first with a map-side partial
-        aggregate so the large fact is shuffled once, already reduced."""
-        if self.fits(name, rows):
-            return rows
-        return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
-
     def with_table(self, name: str, df: DataFrame) -> "Sources":
-        out = Sources(self.spark, {**self._tables, name: df}, self.broadcast_max_rows)
+        out = Sources(self.spark, {**self._tables, name: df})
         out.sf_dir = self.sf_dir
         return out
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, root: str, broadcast_max_rows: int = 1_000_000,
-                     names=ALL_TABLES) -> "Sources":
+    def from_parquet(cls, spark: SparkSession, root: str, names=ALL_TABLES) -> "Sources":
         """One parquet dataset per logical table under ``root``."""
-        tables = {n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names}
-        return cls(spark, tables, broadcast_max_rows)
+        return cls(spark, {n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names})
 
     @classmethod
-    def from_catalog(cls, spark: SparkSession, database: str, broadcast_max_rows: int = 1_000_000,
-                     names=ALL_TABLES) -> "Sources":
-        tables = {n: spark.table(f"{database}.{n}") for n in names}
-        return cls(spark, tables, broadcast_max_rows)
+    def from_catalog(cls, spark: SparkSession, database: str, names=ALL_TABLES) -> "Sources":
+        return cls(spark, {n: spark.table(f"{database}.{n}") for n in names})

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -61,7 +62,7 @@ def _vendor_postal(k: Column) -> Column:
 
 
 def _holding_id(cust: Column, supp: Column, part: Column) -> Column:
-    return (cust * 1000 + supp) * 100000 + part
+    return (cust * 100_000 + supp) * 10_000_000 + part
 
 
 def build(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -285,31 +286,23 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def materialize(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    """Write every logical table once as parquet and read it back.
-
-    Production reads stored tables; writing the analog once gives the
-    plans the same shape (one scan per source, with pushdown and pruning)
-    instead of re-deriving each table inside every plan that uses it.
-    """
-    out = {}
-    for name, df in tables.items():
-        path = f"{root}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        out[name] = spark.read.parquet(path)
-    return out
-
-
-def testdata_sources(spark: SparkSession, sf_dir: str, broadcast_max_rows: int = 1_000_000,
-                     stored: bool = True) -> Sources:
+def testdata_sources(spark: SparkSession, sf_dir: str, stored: bool = True) -> Sources:
     """The logical tables over the driver tables at ``sf_dir``.
 
-    ``stored=True`` writes them once under the checkpoint folder (see
-    ``materialize``); ``stored=False`` keeps them as lazy derivations.
+    ``stored=True`` writes a table under the checkpoint folder when a query
+    first asks for it and reads it from there: production reads stored tables,
+    and this gives the plans the same shape (one scan per source, with pushdown
+    and pruning).  ``stored=False`` keeps them as lazy derivations.
     """
     tables = build(spark, sf_dir)
-    if stored:
-        tag = "-".join(p for p in sf_dir.rstrip("/").split("/")[-2:] if p)
-        root = f"{scratch_root(spark)}/creditmap-sources/{tag}-{uuid.uuid4().hex[:8]}"
-        tables = materialize(spark, tables, root)
-    return Sources(spark, tables, broadcast_max_rows).check_reference_tables()
+    if not stored:
+        return Sources(spark, tables)
+    tag = "-".join(p for p in sf_dir.rstrip("/").split("/")[-2:] if p)
+    root = f"{scratch_root(spark)}/creditmap-sources/{tag}-{uuid.uuid4().hex[:8]}"
+
+    def opened(name: str) -> DataFrame:
+        tables[name].write.mode("overwrite").parquet(f"{root}/{name}")
+        return spark.read.schema(tables[name].schema).parquet(f"{root}/{name}")
+
+    given = {name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet") for name in ("part", "supplier")}
+    return Sources(spark, given | {name: partial(opened, name) for name in tables})

@@ -24,8 +24,8 @@ def frame(spark, schema: str, rows):
     return spark.createDataFrame(list(rows), schema)
 
 
-def sources(spark, tables: dict, max_rows: int = 1000) -> Sources:
-    return Sources(spark, tables, max_rows)
+def sources(spark, tables: dict) -> Sources:
+    return Sources(spark, tables)
 
 
 def rows(df, *cols):

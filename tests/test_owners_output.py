@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditmap.operators.output import accumulate, conform
-from creditmap.operators.owners import attach_owner, rank_owner, top_owner, waterfall
+from creditmap.operators.owners import rank_owner, top_owner, waterfall, waterfall_step
+from creditmap.plans import lookup as L
 from helpers import D, frame, rows
 
 CANDS = "BR string, Territory string, Assets decimal(18,2), Parties long"
@@ -43,8 +44,9 @@ def test_attach_equals_literal_right_join_filter(spark):
     ranked = rank_owner(cands(spark), "BR", ["Assets", "Parties"], "Territory")
     literal = ranked.join(positions, ranked.BR == positions.aBR, "right") \
         .where((F.col("rn") == 1) | F.col("rn").isNull()).select("id", "aBR", F.col("Territory").alias("owner"))
-    rewritten = attach_owner(positions, top_owner(cands(spark), "BR", ["Assets", "Parties"], "Territory"),
-                             "aBR", "BR", "Territory", "owner")
+    owners = L.owner_lookup(top_owner(cands(spark), "BR", ["Assets", "Parties"], "Territory"), "advisor")
+    rewritten = L.attach(positions, [owners], F.lit("advisor"), F.col("aBR"), F.current_date(), "rep").select(
+        "id", "aBR", F.col(L.TERRITORY).alias("owner"))
     assert literal.exceptAll(rewritten).count() == 0
     assert rewritten.exceptAll(literal).count() == 0
     assert rewritten.count() == positions.count()
@@ -57,6 +59,8 @@ def test_waterfall_outcomes(spark):
     out = df.select(waterfall("ovr", "owner", "code", ("C01:DEFAULT",), "Institutional").alias("t"),
                     waterfall("ovr", "owner").alias("b"))
     assert [tuple(r) for r in out.collect()] == [("O", "O"), ("Institutional", "W"), ("W", "W"), (None, None)]
+    steps = df.select(waterfall_step("ovr", "owner", "code", ("C01:DEFAULT",), "Institutional")).collect()
+    assert [r[0] for r in steps] == ["override", "house", "ranked", "none"]
 
 
 COLS = (("name", T.StringType(), 5), ("v", T.DecimalType(15, 2), None), ("u", T.DecimalType(15, 6), None))

@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def src(spark):
-    return catalog.sources_for(spark, SF, analog())
+    return catalog.sources_for(spark, SF)
 
 
 def executed(df) -> str:
@@ -55,25 +55,33 @@ def test_literal_as_of_is_pushed_to_the_scan(spark, src):
     assert re.search(r"PushedFilters: \[[^\]]*LessThan\(Reporting_Date", plan)
 
 
-def test_dimension_sides_are_broadcast(spark, src):
+def test_small_dimensions_are_broadcast_by_file_size(spark, src):
     plan = executed(V.market_share_positions(src, analog(), None))
     assert "BroadcastHashJoin" in plan
 
 
-def _owner_plan(spark, max_rows):
+def test_daily_fact_is_summed_before_any_join(spark, src):
+    """The raw rows meet a partial aggregate first, so at most the reduced rows are shuffled."""
+    plan = V.market_share_positions(src, analog(), None)._jdf.queryExecution().executedPlan().toString()
+    raw = plan[: plan.index("FileScan parquet [Dealer_Branch_ID")] if "FileScan parquet [Dealer_Branch_ID" in plan else plan
+    last = [x for x in re.findall(r"(HashAggregate|Exchange|BroadcastHashJoin|SortMergeJoin|FileScan)", raw)][-1]
+    assert last == "HashAggregate"
+
+
+def test_owner_fact_is_pre_aggregated_per_key(spark, src):
     from creditmap.plans import owners as OW
-    src = catalog.sources_for(spark, SF, analog(broadcast_max_rows=max_rows))
-    df = OW.advisor_candidates(src, analog(broadcast_max_rows=max_rows), False, False)
-    return df._jdf.queryExecution().executedPlan().toString()
 
+    plan = OW.advisor_candidates(src, analog(), False, False)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"HashAggregate\(keys=\[Associated_Codes_ID#\w+\], functions=\[partial_sum", plan)
 
-def test_small_fact_is_broadcast_raw(spark):
-    plan = _owner_plan(spark, 1_000_000)
-    # no per-code pre-aggregation: the only partial_sum is on the owner group keys
-    assert not re.search(r"HashAggregate\(keys=\[Associated_Codes_ID#", plan)
-    assert "BroadcastExchange" in plan
 
+def test_null_keys_spread_over_all_partitions(spark):
+    from creditmap.plans import lookup as L
+    from pyspark.sql import functions as F
 
-def test_large_fact_is_pre_aggregated_per_key(spark):
-    plan = _owner_plan(spark, 10)
-    assert re.search(r"HashAggregate\(keys=\[Associated_Codes_ID#\w+\], functions=\[partial_sum", plan)
+    rows = spark.range(5000).select(F.col("id"), F.when(F.col("id") % 10 == 0, "a").alias("k"), F.lit("x").alias("kind"), F.current_date().alias("d"))
+    lookup = spark.createDataFrame([("x", "a", "T", None, None, None)],
+                                   "__kind string, __key string, __territory string, __selling_code string, __start date, __end date")
+    x = L.attach(rows, [lookup], F.col("kind"), F.col("k"), F.col("d"), "none")
+    assert x.count() == 5000 and x.where("__territory = 'T'").count() == 500
+    assert "pmod(xxhash64(id#" in x._jdf.queryExecution().optimizedPlan().toString()
