@@ -8,7 +8,8 @@ a word's likelihood in a language is the product over its symbols of
 A document is a mixture: expectation-maximisation estimates the proportions of
 its languages from its words' likelihoods.  The set of languages is selected by
 penalised likelihood: the 1, 2, ... ``most`` languages of greatest proportion
-compete, each further language costing ``penalty`` * log(words).  The prediction
+compete (a further one if it has ``least`` of the words), each further language
+costing ``penalty`` * log(words).  The prediction
 is the language of greatest proportion in the selected set, the score that
 proportion.
 
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditmap.llm.common import crc_remainder, text_blocks
-from creditmap.llm.grams import sums_by, word_grams
+from creditmap.llm.grams import word_grams
 
 _A_LETTER = regex.compile(r"\p{L}")
 
@@ -43,8 +44,9 @@ class Languages:
     order: int = 4
     slots: int = 131_071  # a prime
     beta: float = 2.0
-    rounds: int = 8  # of expectation-maximisation
+    rounds: int = 6  # of expectation-maximisation
     most: int = 3  # languages of a document
+    least: float = 0.01  # share of all languages' fit from which a language competes
     penalty: float = 2.0
     modulus: int = 4  # crc32 remainders of doc_ids; the held-out one teaches nothing
     held_out: int = 2
@@ -76,33 +78,49 @@ def _count(how: Languages, names: list[str]):
     return run
 
 
+def _fit(p: np.ndarray, starts: np.ndarray, words: np.ndarray, share: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """(proportions, log-likelihood) after some rounds, for rows of ``words``
+    words that begin at ``starts``; a language of share 0 stays out."""
+    for k in range(rounds + 1):
+        joint = p * np.repeat(share, words, axis=0)
+        total = np.maximum(joint.sum(1, keepdims=True), 1e-37)
+        if k == rounds:
+            return share, np.add.reduceat(np.log(total[:, 0], dtype=np.float64), starts)
+        joint /= total
+        share = np.add.reduceat(joint, starts, axis=0) / words[:, None].astype(np.float32)
+
+
 def mixture(likelihood: np.ndarray, row: np.ndarray, rows: int, how: Languages) -> tuple[np.ndarray, np.ndarray]:
-    """(proportions, selected set) of each row from its words' log-likelihoods."""
-    n, languages = likelihood.shape
+    """(proportions, selected set) of each row from its words' log-likelihoods;
+    ``row``: ascending row of each word."""
+    languages = likelihood.shape[1]
     top = likelihood.max(1, keepdims=True)
-    p = np.exp(likelihood - top)
-    words = np.bincount(row, minlength=rows)
-
-    def fit(allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        share = allowed / allowed.sum(1, keepdims=True)
-        for k in range(how.rounds + 1):
-            joint = p * share[row]
-            total = joint.sum(1)
-            if k == how.rounds:
-                return share, sums_by(row, np.log(np.maximum(total, 1e-300)), rows)
-            joint /= np.maximum(total, 1e-300)[:, None]
-            share = np.column_stack([sums_by(row, joint[:, c], rows) for c in range(languages)]) / np.maximum(words, 1)[:, None]
-
-    full, _ = fit(np.ones((rows, languages)))
+    p = np.exp(likelihood - top).astype(np.float32)
+    count = np.bincount(row, minlength=rows)
+    some = np.flatnonzero(count)  # rows that have words
+    words = count[some]
+    starts = np.cumsum(words) - words
+    full, _ = _fit(p, starts, words, np.full((len(some), languages), 1 / languages, np.float32), how.rounds)
     rank = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1)
-    best, chosen, shares = np.full(rows, -np.inf), np.zeros((rows, languages), bool), full
-    for k in range(1, min(how.most, languages) + 1):
-        allowed = rank < k
-        share, fitted = fit(allowed.astype(float))
-        value = fitted - (k - 1) * how.penalty * np.log(np.maximum(words, 2))
-        better = value > best
-        best, chosen, shares = np.where(better, value, best), np.where(better[:, None], allowed, chosen), np.where(better[:, None], share, shares)
-    return shares, chosen
+    chosen, shares = rank == 0, (rank == 0).astype(np.float32)
+    best = np.add.reduceat(np.log(np.maximum((p * np.repeat(shares, words, axis=0)).sum(1), 1e-37), dtype=np.float64), starts)
+    for k in range(2, min(how.most, languages) + 1):
+        rivals = np.flatnonzero(np.where(rank == k - 1, full, 0).max(1) >= how.least)  # of the others, one language is selected by now
+        if not len(rivals):
+            break
+        inside = np.zeros(len(some), bool)
+        inside[rivals] = True
+        n, allowed = words[rivals], rank[rivals] < k
+        start = np.where(allowed, full[rivals], 0)
+        share, fitted = _fit(p[np.repeat(inside, words)], np.cumsum(n) - n, n, start / start.sum(1, keepdims=True), how.rounds)
+        value = fitted - (k - 1) * how.penalty * np.log(np.maximum(n, 2))
+        better = value > best[rivals]
+        best[rivals] = np.where(better, value, best[rivals])
+        chosen[rivals] = np.where(better[:, None], allowed, chosen[rivals])
+        shares[rivals] = np.where(better[:, None], share, shares[rivals])
+    out, sets = np.full((rows, languages), 1 / languages), np.zeros((rows, languages), bool)
+    out[some], sets[some] = shares, chosen
+    return out, sets
 
 
 def _lettered(batch: pa.RecordBatch, row: int, end: int, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -141,7 +159,7 @@ def identify(docs: DataFrame, how: Languages = Languages()) -> DataFrame:
                     gram, context = _slots(grams, how)
                     symbols = grams_of[gram] - contexts_of[context]
                     words = np.add.reduceat(symbols, np.searchsorted(word, np.arange(len(of))), axis=0)
-                    share, chosen = mixture(words.astype(np.float64), of, rows, how)
+                    share, chosen = mixture(words, of, rows, how)
                 best = share.argmax(1)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, rows), pa.array([names[b] if k else "und" for b, k in zip(best, known)], pa.string()),
