@@ -48,7 +48,7 @@ def byte_characters() -> list[str]:
 class TrieEncoder:
     """Encodes texts for one tokenizer file."""
 
-    def __init__(self, path: str, max_nodes: int = 1_200_000):
+    def __init__(self, path: str, max_nodes: int = 400_000):
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
         model = file["model"]
