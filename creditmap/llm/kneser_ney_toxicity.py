@@ -16,7 +16,8 @@ strongest word, and what its strong words add up to.  A logistic function of
 these, fitted on at most ``sample`` labelled texts of either class whose words
 were counted apart (fold b scored by the model of fold a), gives the score.
 
-All labelled training texts are counted, in Spark; the model that reaches the
+All labelled training texts are counted, in Spark (they meet their labels in a
+merge join at every size; only that moves texts); the model that reaches the
 tasks is an array of ``slots`` log-likelihood ratios, whatever the input (n-grams
 that share a slot share their mean, weighted by count).
 
@@ -155,7 +156,7 @@ def score(docs: DataFrame, labels: DataFrame, how: Toxicity = Toxicity()) -> Dat
     crc = crc_remainder(F.col("doc_id"), how.modulus)
     labels = (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
               .where(F.col("toxic").isin(0, 1) & (crc != how.held_out)))
-    train = docs.where(crc != how.held_out).join(labels, "doc_id").withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int"))
+    train = docs.where(crc != how.held_out).join(labels.hint("merge"), "doc_id").withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int"))
     train = stored(train, "labelled")
     counts = train.select("text", "toxic", "fold").mapInArrow(_count(how), "gram long, toxic int, fold int, n long")
     slots = (ratios(counts, how).groupBy(F.expr(f"gram % {how.slots}").alias("slot"))
