@@ -93,7 +93,7 @@ class TrieEncoder:
                 if len(text) > 2:
                     own.setdefault(text[-3:], set()).add(len(text))
             self.lengths[ends] = {k: [*sorted(v, reverse=True), *_SHORT] for k, v in own.items()}
-        self._clear()
+        self.clear()
 
     def _merge_across(self, a: int, b: int, limit: float) -> bool:
         """Whether a merge of rank under ``limit`` joins pieces of a and of b.
@@ -107,7 +107,7 @@ class TrieEncoder:
                     return True
         return False
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self.children: dict[int, int] = {}  # 256 * node + byte: node
         self.last = array("i", [-1])  # of each node, the last token of its prefix
         self.codes = [b""]  # of each node, the ids of its prefix
@@ -185,7 +185,7 @@ class TrieEncoder:
     def encode_batch(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         if len(self.last) > self.max_nodes or len(self.chunks) > self.max_nodes:
-            self._clear()
+            self.clear()
         parts: list[list[list[str] | bytes]] = []
         needed: dict[bool, list[list[str]]] = {True: [], False: []}
         for text in texts:
@@ -231,6 +231,7 @@ def encoded_rows(batches: Iterator[pa.RecordBatch], path: str, column: str = "te
         for lo in range(0, batch.num_rows, rows):
             part = batch.slice(lo, rows)
             yield part, list(trie.encode_batch(part.column(at).to_pylist()))
+    trie.clear()  # the worker may serve other stages next
 
 
 def encode_decode(docs: DataFrame, path: str) -> DataFrame:
