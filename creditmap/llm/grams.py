@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 
 from creditmap.llm.common import lower_ascii
@@ -39,3 +41,34 @@ def word_grams(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.nd
 
 def sums_by(index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(index, values, n)
+
+
+def tallied(parts: Iterable[tuple[np.ndarray, np.ndarray]], most: int = 2_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(keys, counts) of all ``parts``; a key comes once, or again whenever
+    more than ``most`` distinct ones were held."""
+    held, size = [], 0
+
+    def merged():
+        keys, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+        return keys, np.bincount(at, np.concatenate([n for _, n in held]), len(keys)).astype(np.int64)
+
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size > 2 * most:
+            held = [merged()]
+            size = len(held[0][0])
+            if size > most:
+                yield held.pop()
+                size = 0
+    if held:
+        yield merged()
+
+
+def found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places in ``wanted``, places in the ascending ``keys``) of equal values."""
+    if not len(keys):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    here = np.flatnonzero(keys[at] == wanted)
+    return here, at[here]

@@ -13,9 +13,10 @@ costing ``penalty`` * log(words).  The prediction
 is the language of greatest proportion in the selected set, the score that
 proportion.
 
-The model that reaches the tasks has ``slots`` rows of two numbers per learned
-language, whatever the input (n-grams of one slot are counted together); the
-number of languages is that of distinct labels.
+The model that reaches the tasks holds the exact count of every (n-gram,
+language) and (context, language) of the training texts, about 16 bytes each:
+it grows with the distinct n-grams of the input and nothing in it is merged or
+left out.  The number of languages is that of distinct labels.
 
 NULL text, or text without a letter, is ``und`` with score 0.  NULL languages
 teach nothing; without any learned language every row is ``und``.  Rows
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditmap.llm.common import crc_remainder, text_blocks
-from creditmap.llm.grams import word_grams
+from creditmap.llm.grams import found, tallied, word_grams
 
 _A_LETTER = regex.compile(r"\p{L}")
 
@@ -42,7 +43,6 @@ _A_LETTER = regex.compile(r"\p{L}")
 @dataclass(frozen=True)
 class Languages:
     order: int = 4
-    slots: int = 131_071  # a prime
     beta: float = 2.0
     rounds: int = 6  # of expectation-maximisation
     most: int = 3  # languages of a document
@@ -52,32 +52,71 @@ class Languages:
     held_out: int = 2
 
 
-def _slots(grams: np.ndarray, how: Languages) -> tuple[np.ndarray, np.ndarray]:
-    return tuple((g % np.uint64(how.slots)).astype(np.int64) for g in (grams, grams >> np.uint64(8)))
-
-
 def _count(how: Languages, names: list[str]):
-    """(kind, slot, language, count) of a task; kind 0: n-grams, 1: contexts."""
+    """(gram, language, count) of a task."""
     def run(batches):
         number = {name: k for k, name in enumerate(names)}
-        cells = np.zeros((2, how.slots * len(names)), np.int64)
-        for batch in batches:
-            of_row = np.array([number[x] for x in batch.column(1).to_pylist()], np.int64)
-            for row, end, data, offsets in text_blocks(batch, "text"):
-                grams, word, of = word_grams(data, offsets, how.order)
-                if len(of):
-                    language = of_row[row:end][of][word]
-                    for kind, slot in enumerate(_slots(grams, how)):
-                        cells[kind] += np.bincount(slot * len(names) + language, minlength=cells.shape[1])
-        for kind in (0, 1):
-            full = np.flatnonzero(cells[kind])
-            for lo in range(0, len(full), 10_000):
-                at = full[lo : lo + 10_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, np.int32)), pa.array((at // len(names)).astype(np.int32)),
-                                                  pa.array((at % len(names)).astype(np.int32)), pa.array(cells[kind][at])], names=["kind", "slot", "language", "n"])
+
+        def parts():
+            for batch in batches:
+                of_row = np.array([number[x] for x in batch.column(1).to_pylist()], np.uint64)
+                for row, end, data, offsets in text_blocks(batch, "text"):
+                    grams, word, of = word_grams(data, offsets, how.order)
+                    if len(of):
+                        yield np.unique(grams * np.uint64(len(names)) + of_row[row:end][of][word], return_counts=True)
+
+        for keys, n in tallied(parts()):
+            for lo in range(0, len(keys), 10_000):
+                at = keys[lo : lo + 10_000]
+                yield pa.RecordBatch.from_arrays([pa.array((at // np.uint64(len(names))).astype(np.int64)), pa.array((at % np.uint64(len(names))).astype(np.int32)),
+                                                  pa.array(n[lo : lo + 10_000])], names=["gram", "language", "n"])
     return run
 
 
+@dataclass(frozen=True)
+class Counts:
+    """Logarithms of smoothed counts by (key, language): those of ``keys[i]``
+    are at ``starts[i]`` to ``starts[i + 1]``, others are ``unseen``."""
+
+    keys: np.ndarray
+    starts: np.ndarray
+    language: np.ndarray
+    value: np.ndarray
+    unseen: float
+
+    @classmethod
+    def of(cls, key: np.ndarray, language: np.ndarray, n: np.ndarray, more: float) -> Counts:
+        """Of distinct pairs in ascending order."""
+        keys, starts = np.unique(key, return_index=True)
+        return cls(keys, np.append(starts, len(key)), language, np.log(n + more).astype(np.float32), float(np.log(more)))
+
+    def rows(self, wanted: np.ndarray, languages: int) -> np.ndarray:
+        out = np.full((len(wanted), languages), self.unseen, np.float32)
+        here, at = found(self.keys, wanted)
+        n = self.starts[at + 1] - self.starts[at]
+        pair = np.repeat(self.starts[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        out[np.repeat(here, n), self.language[pair]] = self.value[pair]
+        return out
+
+
+def learned(train: DataFrame, names: list[str], how: Languages) -> tuple[Counts, Counts]:
+    """Counts of every n-gram and every context in ``train`` (text, lang)."""
+    counted = train.mapInArrow(_count(how, names), "gram long, language int, n long").groupBy("gram", "language").agg(F.sum("n").alias("n")).toArrow()
+    gram, language, n = (counted.column(c).to_numpy() for c in ("gram", "language", "n"))
+    order = np.lexsort((language, gram))
+    gram, language, n = gram[order].astype(np.uint64), language[order], n[order]
+    pairs, at = np.unique((gram >> np.uint64(8)) * np.uint64(len(names)) + language.astype(np.uint64), return_inverse=True)
+    contexts = pairs // np.uint64(len(names)), (pairs % np.uint64(len(names))).astype(np.int32), np.bincount(at, n, len(pairs))
+    return Counts.of(gram, language, n, how.beta / 256), Counts.of(*contexts, how.beta)
+
+
+def symbol_likelihoods(grams: np.ndarray, model: tuple[Counts, Counts], languages: int) -> np.ndarray:
+    """log p(w | h) of each symbol in each language."""
+    distinct, at = np.unique(grams, return_inverse=True)
+    context, of = np.unique(distinct >> np.uint64(8), return_inverse=True)
+    return (model[0].rows(distinct, languages) - model[1].rows(context, languages)[of])[at]
+
+
 def _fit(p: np.ndarray, starts: np.ndarray, words: np.ndarray, share: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
     """(proportions, log-likelihood) after some rounds, for rows of ``words``
     words that begin at ``starts``; a language of share 0 stays out."""
@@ -140,15 +179,10 @@ def identify(docs: DataFrame, how: Languages = Languages()) -> DataFrame:
     crc = crc_remainder(F.col("doc_id"), how.modulus)
     train = docs.where((crc != how.held_out) & F.col("lang").isNotNull()).select("text", "lang")
     names = sorted(x[0] for x in train.select("lang").distinct().toLocalIterator())
-    tables = np.zeros((2, how.slots, max(1, len(names))), np.float32)
-    if names:
-        counted = train.mapInArrow(_count(how, names), "kind int, slot int, language int, n long").groupBy("kind", "slot", "language").agg(F.sum("n").alias("n")).toArrow()  # at most 2 * slots * languages rows
-        tables[tuple(counted.column(c).to_numpy() for c in ("kind", "slot", "language"))] = counted.column("n").to_numpy()
-    tables[0], tables[1] = np.log(tables[0] + how.beta / 256), np.log(tables[1] + how.beta)
-    model = spark.sparkContext.broadcast(tables)
+    model = spark.sparkContext.broadcast(learned(train, names, how) if names else None)
 
     def predicted(batches) -> Iterator[pa.RecordBatch]:
-        grams_of, contexts_of = model.value
+        counts = model.value
         for batch in batches:
             for row, end, data, offsets in text_blocks(batch, "text"):
                 rows = end - row
@@ -156,8 +190,7 @@ def identify(docs: DataFrame, how: Languages = Languages()) -> DataFrame:
                 known = _lettered(batch, row, end, data, offsets) if names else np.zeros(rows, bool)
                 share, chosen = np.ones((rows, max(1, len(names)))), np.zeros((rows, max(1, len(names))), bool)
                 if names and len(of):
-                    gram, context = _slots(grams, how)
-                    symbols = grams_of[gram] - contexts_of[context]
+                    symbols = symbol_likelihoods(grams, counts, len(names))
                     words = np.add.reduceat(symbols, np.searchsorted(word, np.arange(len(of))), axis=0)
                     share, chosen = mixture(words, of, rows, how)
                 best = share.argmax(1)

@@ -136,3 +136,28 @@ def test_given_tables(spark):
     lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
     found = [r for r in language.identify(docs).collect() if r.held_out]
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in found]) > 0.97
+
+
+def test_language_ngrams_are_not_merged(spark, documents):
+    """Languages that differ only in which letters follow each other, with more n-grams than a table of folded bytes keeps apart."""
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = {lang: ["".join(rng.choice(letters) for _ in range(9)) for _ in range(3000)] for lang in ("aa", "bb")}
+    rows = [(k * 1000 + i, " ".join(words[lang][i * 30 : i * 30 + 30]), lang) for k, lang in enumerate(words) for i in range(100)]
+    docs = documents(rows)
+    train = docs.select("text", "lang")
+    grams, contexts = language.learned(train, ["aa", "bb"], language.Languages())
+    exact = {}
+    for _, text, lang in rows:
+        for word in text.split():
+            symbols = bytes([1]) + word.encode() + bytes([2])
+            for i in range(1, len(symbols)):
+                at = int.from_bytes(symbols[max(0, i - 3) : i + 1], "big")
+                exact[at, lang] = exact.get((at, lang), 0) + 1
+    got = {(int(g), ["aa", "bb"][grams.language[k]]): round(float(np.exp(grams.value[k])) - 2 / 256) for i, g in enumerate(grams.keys) for k in range(grams.starts[i], grams.starts[i + 1])}
+    assert got == exact and len(contexts.keys) == len({g >> 8 for g, _ in exact})
+    singles = [(10_000 + k * 10_000 + i, words[lang][i], None) for k, lang in enumerate(words) for i in range(0, 3000, 10)]
+    found = {r.doc_id: r.lang_pred for r in language.identify(documents(rows + singles)).collect()}
+    # a quarter of the rows is held out; a word that was learned is told from one that was not
+    known = [(i, ("aa", "bb")[i >= 20_000]) for i, _, _ in singles if remainder((i % 10_000) // 30 + 1000 * (i >= 20_000), 4) != 2]
+    assert len(known) > 300 and np.mean([found[i] == lang for i, lang in known]) > 0.99
