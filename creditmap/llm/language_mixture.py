@@ -6,12 +6,13 @@ a word's likelihood in a language is the product over its symbols of
     p(w | h) = (c(h w) + beta / 256) / (c(h) + beta)
 
 A document is a mixture: expectation-maximisation estimates the proportions of
-its languages from its words' likelihoods.  The set of languages is selected by
-penalised likelihood: the 1, 2, ... ``most`` languages of greatest proportion
-compete (a further one if it has ``least`` of the words), each further language
-costing ``penalty`` * log(words).  The prediction
-is the language of greatest proportion in the selected set, the score that
-proportion.
+its languages from its words' likelihoods, until the log-likelihood is within
+``tolerance`` of its maximum.  The set of languages is selected by penalised
+likelihood: the likeliest language alone and the 2, 3, ... languages of greatest
+proportion, up to all learned ones, compete, each further language costing
+``penalty`` * log(words).  A set is left out, or its fit ended, only where a
+bound of its likelihood shows that it cannot win.  The prediction is the
+language of greatest proportion in the selected set, the score that proportion.
 
 The model that reaches the tasks holds the exact count of every (n-gram,
 language) and (context, language) of the training texts, about 16 bytes each:
@@ -44,9 +45,7 @@ _A_LETTER = regex.compile(r"\p{L}")
 class Languages:
     order: int = 4
     beta: float = 2.0
-    rounds: int = 6  # of expectation-maximisation
-    most: int = 3  # languages of a document
-    least: float = 0.01  # share of all languages' fit from which a language competes
+    tolerance: float = 0.01  # of a document's log-likelihood, where expectation-maximisation ends
     penalty: float = 2.0
     modulus: int = 4  # crc32 remainders of doc_ids; the held-out one teaches nothing
     held_out: int = 2
@@ -117,44 +116,67 @@ def symbol_likelihoods(grams: np.ndarray, model: tuple[Counts, Counts], language
     return (model[0].rows(distinct, languages) - model[1].rows(context, languages)[of])[at]
 
 
-def _fit(p: np.ndarray, starts: np.ndarray, words: np.ndarray, share: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """(proportions, log-likelihood) after some rounds, for rows of ``words``
-    words that begin at ``starts``; a language of share 0 stays out."""
-    for k in range(rounds + 1):
-        joint = p * np.repeat(share, words, axis=0)
-        total = np.maximum(joint.sum(1, keepdims=True), 1e-37)
-        if k == rounds:
-            return share, np.add.reduceat(np.log(total[:, 0], dtype=np.float64), starts)
-        joint /= total
-        share = np.add.reduceat(joint, starts, axis=0) / words[:, None].astype(np.float32)
+def _fit(p: np.ndarray, starts: np.ndarray, words: np.ndarray, share: np.ndarray, least: np.ndarray, tolerance: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(proportions, log-likelihood, bound) for rows of ``words`` words that
+    begin at ``starts``; a language of share 0 stays out.
+
+    The log-likelihood is concave in the proportions, so its maximum is at most
+    words * log(greatest slope) above the present value; that is the bound.  A
+    row is done when the bound is within ``tolerance``, or not above ``least``."""
+    shares, value, bound = share.copy(), np.empty(len(words)), np.empty(len(words))
+    live = np.arange(len(words))
+    while len(live):
+        total = np.einsum("ij,ij->i", p, np.repeat(share, words, axis=0))
+        slope = np.add.reduceat(p / total[:, None], starts, axis=0) / words[:, None]
+        fitted = np.add.reduceat(np.log(total), starts)
+        gap = words * np.log(np.maximum(np.where(share > 0, slope, 0).max(1), 1))
+        shares[live], value[live], bound[live] = share, fitted, fitted + gap
+        go = (gap > tolerance) & (fitted + gap > least)
+        share = np.where(share > 0, np.maximum(share * slope, 1e-30), 0)
+        if not go.all():
+            p, live, share, words, least = p[np.repeat(go, words)], live[go], share[go], words[go], least[go]
+            starts = np.cumsum(words) - words
+    return shares, value, bound
 
 
 def mixture(likelihood: np.ndarray, row: np.ndarray, rows: int, how: Languages) -> tuple[np.ndarray, np.ndarray]:
     """(proportions, selected set) of each row from its words' log-likelihoods;
     ``row``: ascending row of each word."""
+    likelihood = likelihood.astype(np.float64)
     languages = likelihood.shape[1]
-    top = likelihood.max(1, keepdims=True)
-    p = np.exp(likelihood - top).astype(np.float32)
     count = np.bincount(row, minlength=rows)
     some = np.flatnonzero(count)  # rows that have words
     words = count[some]
     starts = np.cumsum(words) - words
-    full, _ = _fit(p, starts, words, np.full((len(some), languages), 1 / languages, np.float32), how.rounds)
+    cost = how.penalty * np.log(np.maximum(words, 2))
+
+    def fit(at, allowed, share, least):
+        """``_fit`` of the rows ``at`` with the languages ``allowed``."""
+        inside = np.zeros(len(some), bool)
+        inside[at] = True
+        n, x = words[at], likelihood[np.repeat(inside, words)]
+        if not allowed.all():
+            x = np.where(np.repeat(allowed, n, axis=0), x, -np.inf)
+        top, start = x.max(1), np.cumsum(n) - n
+        base = np.add.reduceat(top, start)
+        shares, value, bound = _fit(np.exp(x - top[:, None]), start, n, share, least - base, how.tolerance)
+        return shares, value + base, bound + base
+
+    alone = np.add.reduceat(likelihood, starts, axis=0)
+    chosen = np.arange(languages) == alone.argmax(1)[:, None]
+    shares, best = chosen.astype(np.float64), alone.max(1)
+    full, _, bound = fit(np.arange(len(some)), np.ones((len(some), languages), bool), np.full((len(some), languages), 1 / languages), best + cost)
     rank = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1)
-    chosen, shares = rank == 0, (rank == 0).astype(np.float32)
-    best = np.add.reduceat(np.log(np.maximum((p * np.repeat(shares, words, axis=0)).sum(1), 1e-37), dtype=np.float64), starts)
-    for k in range(2, min(how.most, languages) + 1):
-        rivals = np.flatnonzero(np.where(rank == k - 1, full, 0).max(1) >= how.least)  # of the others, one language is selected by now
+    rivals = np.arange(len(some))
+    for k in range(2, languages + 1):
+        rivals = rivals[bound[rivals] > best[rivals] + (k - 1) * cost[rivals]]  # no larger set of the others can win
         if not len(rivals):
             break
-        inside = np.zeros(len(some), bool)
-        inside[rivals] = True
-        n, allowed = words[rivals], rank[rivals] < k
-        start = np.where(allowed, full[rivals], 0)
-        share, fitted = _fit(p[np.repeat(inside, words)], np.cumsum(n) - n, n, start / start.sum(1, keepdims=True), how.rounds)
-        value = fitted - (k - 1) * how.penalty * np.log(np.maximum(n, 2))
-        better = value > best[rivals]
-        best[rivals] = np.where(better, value, best[rivals])
+        allowed, least = rank[rivals] < k, best[rivals] + (k - 1) * cost[rivals]
+        start = np.where(allowed, full[rivals] + 1e-3, 0)
+        share, value, _ = fit(rivals, allowed, start / start.sum(1, keepdims=True), least)
+        better = value > least
+        best[rivals] = np.where(better, value - (k - 1) * cost[rivals], best[rivals])
         chosen[rivals] = np.where(better[:, None], allowed, chosen[rivals])
         shares[rivals] = np.where(better[:, None], share, shares[rivals])
     out, sets = np.full((rows, languages), 1 / languages), np.zeros((rows, languages), bool)

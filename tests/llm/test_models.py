@@ -161,3 +161,49 @@ def test_language_ngrams_are_not_merged(spark, documents):
     # a quarter of the rows is held out; a word that was learned is told from one that was not
     known = [(i, ("aa", "bb")[i >= 20_000]) for i, _, _ in singles if remainder((i % 10_000) // 30 + 1000 * (i >= 20_000), 4) != 2]
     assert len(known) > 300 and np.mean([found[i] == lang for i, lang in known]) > 0.99
+
+
+def _parts(counts, ahead, seed=6):
+    """Log-likelihoods of words of one document, ``counts`` of each language."""
+    rng = np.random.default_rng(seed)
+    ll = rng.normal(-8, 1, (sum(counts), len(counts)))
+    ll[np.arange(len(ll)), np.repeat(np.arange(len(counts)), counts)] += ahead
+    return ll
+
+
+def test_mixture_takes_as_many_languages_as_there_are():
+    ll = _parts([300, 200, 150, 0, 100, 50], 5)
+    share, chosen = language.mixture(ll, np.zeros(800, int), 1, language.Languages())
+    assert chosen.tolist() == [[True, True, True, False, True, True]]
+    assert share[0] == pytest.approx(np.array([300, 200, 150, 0, 100, 50]) / 800, abs=0.03) and share[0].sum() == pytest.approx(1)
+
+
+def test_mixture_keeps_a_small_share_of_a_long_text():
+    ll = _parts([19_900, 100, 0], 7)  # half of one percent
+    share, chosen = language.mixture(ll, np.zeros(20_000, int), 1, language.Languages())
+    assert chosen.tolist() == [[True, True, False]] and share[0, 1] == pytest.approx(0.005, abs=0.002)
+
+
+def test_mixture_is_fitted_to_its_maximum():
+    how = language.Languages()
+    rng = np.random.default_rng(8)
+    rows, row = 40, np.repeat(np.arange(40), rng.integers(1, 400, 40))
+    ll = rng.normal(-8, 1, (len(row), 4))
+    ll[np.arange(len(row)), (rng.random(len(row)) ** (1 + row % 3) * 4).astype(int)] += 1 + row % 4
+    share, chosen = language.mixture(ll, row, rows, how)
+    for r in range(rows):
+        words = ll[row == r]
+
+        def best(allowed):
+            pi = np.where(allowed, 1 / sum(allowed), 0)
+            for _ in range(3000):
+                joint = np.exp(words) * pi
+                pi = (joint / joint.sum(1, keepdims=True)).mean(0)
+            return np.log((np.exp(words) * pi).sum(1)).sum(), pi
+
+        cost = how.penalty * np.log(max(len(words), 2))
+        full = best([True] * 4)[1]
+        sets = [np.arange(4) == words.sum(0).argmax()] + [np.argsort(np.argsort(-full)) < k for k in (2, 3, 4)]
+        values = [best(s)[0] - (s.sum() - 1) * cost for s in sets]
+        got = np.log((np.exp(words) * share[r]).sum(1)).sum() - (chosen[r].sum() - 1) * cost
+        assert got == pytest.approx(max(values), abs=2 * how.tolerance)
