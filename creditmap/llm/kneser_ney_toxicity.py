@@ -18,8 +18,8 @@ were counted apart (fold b scored by the model of fold a), gives the score.
 
 All labelled training texts are counted, in Spark (they meet their labels in a
 merge join at every size; only that moves texts); the model that reaches the
-tasks is an array of ``slots`` log-likelihood ratios, whatever the input (n-grams
-that share a slot share their mean, weighted by count).
+tasks holds the exact ratio of every counted n-gram, so it grows with the
+distinct n-grams of the labelled texts.
 
 NULL or empty text has the score of a text without words.  Rows repeating a
 doc_id are scored each for itself; labels that repeat or contradict count each;
@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditmap.llm.common import crc_remainder, stored, text_blocks
-from creditmap.llm.grams import sums_by, word_grams
+from creditmap.llm.grams import found, sums_by, word_grams
 
 _DISCOUNT = 0.75
 _FEATURES = 6
@@ -46,7 +46,6 @@ _FEATURES = 6
 @dataclass(frozen=True)
 class Toxicity:
     order: int = 5
-    slots: int = 4_194_301  # a prime
     sample: int = 3_000  # texts of a class that the logistic function is fitted on
     strong: tuple[float, ...] = (1.0, 4.0)  # log-likelihood ratios from which words add up
     modulus: int = 3  # crc32 remainders of doc_ids; the held-out one teaches nothing
@@ -98,8 +97,9 @@ def _shared(grams: DataFrame, order: int) -> DataFrame:
 
 
 def ratios(counts: DataFrame, how: Toxicity) -> DataFrame:
-    """(gram, n, r_a, r): log p(toxic model) - log p(ordinary model) of each
-    counted n-gram, by fold 0 only and by both folds."""
+    """(gram, n, r_a, r, k_a, k_b): log p(toxic model) - log p(ordinary model) of
+    each counted n-gram, by fold 0 only and by both folds; k_: the same of a
+    symbol that neither class has after the n-gram's context."""
     wide = counts.groupBy("gram").agg(F.sum("n").alias("n"), *(
         F.sum(F.when((F.col("toxic") == c) & F.col("fold").isin(f), F.col("n")).otherwise(0)).alias(f"{name}{c}")
         for name, f in (("a", [0]), ("b", [0, 1])) for c in (0, 1)))
@@ -107,23 +107,47 @@ def ratios(counts: DataFrame, how: Toxicity) -> DataFrame:
     shared = _shared(wide.select("gram"), how.order - 1).withColumnRenamed("gram", "short")
     context = Window.partitionBy(F.shiftrightunsigned("gram", 8))
 
-    def p(c: str) -> Column:
+    def p(c: str) -> tuple[Column, Column]:
+        """Of the symbol; what the context leaves to the shared model."""
         total = F.sum(c).over(context)
         kinds = F.sum((F.col(c) > 0).cast("int")).over(context)
-        return F.when(total > 0, (F.greatest(F.col(c) - _DISCOUNT, F.lit(0.0)) + _DISCOUNT * kinds * F.col("shared")) / total).otherwise(F.col("shared"))
+        left = F.when(total > 0, _DISCOUNT * kinds / total).otherwise(F.lit(1.0))
+        return F.when(total > 0, F.greatest(F.col(c) - _DISCOUNT, F.lit(0.0)) / total).otherwise(F.lit(0.0)) + left * F.col("shared"), left
 
     joined = wide.withColumn("short", _shorter(F.col("gram"))).join(shared, "short")
-    return joined.select("gram", "n", *(F.when(F.col(f"{m}0") + F.col(f"{m}1") > 0, F.log(p(f"{m}1")) - F.log(p(f"{m}0"))).otherwise(0.0).alias(f"r_{m}") for m in "ab"))
+    return joined.select("gram", "n", *(F.when(F.col(f"{m}0") + F.col(f"{m}1") > 0, F.log(p(f"{m}1")[0]) - F.log(p(f"{m}0")[0])).otherwise(0.0).alias(f"r_{m}") for m in "ab"),
+                         *((F.log(p(f"{m}1")[1]) - F.log(p(f"{m}0")[1])).alias(f"k_{m}") for m in "ab"))
 
 
-def describe(batch: pa.RecordBatch, table: np.ndarray, how: Toxicity) -> Iterator[tuple[int, int, np.ndarray]]:
+@dataclass(frozen=True)
+class Ratios:
+    """Log-likelihood ratios of the counted n-grams and, for others, of their
+    contexts; keys ascend."""
+
+    grams: np.ndarray
+    seen: np.ndarray
+    contexts: np.ndarray
+    unseen: np.ndarray
+
+    def of(self, grams: np.ndarray) -> np.ndarray:
+        """An n-gram that was not counted backs off to the shared model, which
+        both classes have; what differs is what its context leaves to it."""
+        distinct, at = np.unique(grams, return_inverse=True)
+        out = np.zeros(len(distinct), np.float32)
+        for keys, values, wanted in ((self.grams, self.seen, distinct),):
+            here, place = found(keys, wanted)
+            out[here] = values[place]
+        return out[at]
+
+
+def describe(batch: pa.RecordBatch, model: Ratios, how: Toxicity) -> Iterator[tuple[int, int, np.ndarray]]:
     """(first row, end row, features of each row)."""
     for row, end, data, offsets in text_blocks(batch, "text"):
         rows = end - row
         out = np.zeros((rows, _FEATURES))
         grams, word, of = word_grams(data, offsets, how.order)
         if len(of):
-            ratio = table[(grams % np.uint64(how.slots)).astype(np.int64)]
+            ratio = model.of(grams)
             by_word, symbols = sums_by(word, ratio, len(of)), np.bincount(word, minlength=len(of))
             words, length = np.bincount(of, minlength=rows), np.maximum(sums_by(of, symbols, rows), 1)
             some = np.flatnonzero(words)
@@ -159,14 +183,13 @@ def score(docs: DataFrame, labels: DataFrame, how: Toxicity = Toxicity()) -> Dat
     train = docs.where(crc != how.held_out).join(labels.hint("merge"), "doc_id").withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int"))
     train = stored(train, "labelled")
     counts = train.select("text", "toxic", "fold").mapInArrow(_count(how), "gram long, toxic int, fold int, n long")
-    slots = (ratios(counts, how).groupBy(F.expr(f"gram % {how.slots}").alias("slot"))
-             .agg(*((F.sum(F.col("n") * F.col(r)) / F.sum("n")).alias(r) for r in ("r_a", "r_b")))).toArrow()  # at most how.slots rows
-    tables = []
-    for name in ("r_a", "r_b"):
-        table = np.zeros(how.slots, np.float32)
-        table[slots.column("slot").to_numpy()] = slots.column(name).to_numpy()
-        tables.append(spark.sparkContext.broadcast(table))
-    apart, whole = tables
+    learned = ratios(counts, how).withColumns({c: F.col(c).cast("float") for c in ("r_a", "r_b", "k_a", "k_b")}).drop("n").toArrow()
+    grams = learned.column("gram").to_numpy()
+    order = np.argsort(grams)
+    grams = grams[order].astype(np.uint64)
+    contexts, first = np.unique(grams >> np.uint64(8), return_index=True)
+    apart, whole = (spark.sparkContext.broadcast(Ratios(grams, learned.column(f"r_{m}").to_numpy()[order], contexts, learned.column(f"k_{m}").to_numpy()[order][first])) for m in "ab")
+    del learned
 
     order = F.xxhash64("doc_id", F.lit(1))
     apart_rows = train.where("fold = 1")

@@ -207,3 +207,17 @@ def test_mixture_is_fitted_to_its_maximum():
         values = [best(s)[0] - (s.sum() - 1) * cost for s in sets]
         got = np.log((np.exp(words) * share[r]).sum(1)).sum() - (chosen[r].sum() - 1) * cost
         assert got == pytest.approx(max(values), abs=2 * how.tolerance)
+
+
+def test_toxicity_ratios_are_not_merged():
+    """As many n-grams as a table of 2 ** 22 folded slots can't keep apart."""
+    letters = np.arange(97, 123, dtype=np.uint64)
+    grams = np.zeros(1, np.uint64)
+    for _ in range(4):
+        grams = (grams[:, None] << np.uint64(8) | letters).ravel()
+    grams = np.sort(np.concatenate([grams | np.uint64(k) << np.uint64(32) for k in (105, 106)]))
+    seen = np.arange(len(grams)).astype(np.float32)
+    model = toxicity.Ratios(grams, seen, np.empty(0, np.uint64), np.empty(0, np.float32))
+    some = np.random.default_rng(1).integers(0, len(grams), 50_000)
+    assert np.array_equal(model.of(grams[some]), seen[some])
+    assert not model.of(np.array([5, 1 << 50], np.uint64)).any()
