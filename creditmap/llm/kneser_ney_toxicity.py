@@ -8,7 +8,12 @@ a model of order ``order`` predicts a symbol from those before it in the word:
 ``c`` counts the class's labelled texts, ``n(h)`` its distinct continuations,
 and ``shared`` is one Kneser-Ney model of continuation counts of both classes
 together, so a rare expression gets much the same probability in both.  An
-n-gram that neither class has says nothing.
+n-gram that neither class has is backed off while scoring: ``shared`` is the
+same in both, so its ratio is that of what the context leaves, D n(h) / c(h) of
+each class (1 where the class lacks the context).
+
+An expression lies inside one word of letters: no n-gram crosses a blank or a
+digit, so ordinary words that are toxic only in sequence give no evidence.
 
 A word's toxic and ordinary log-likelihoods are compared, in sum and per
 symbol; a document is described by the comparison of all its symbols, its
@@ -115,7 +120,7 @@ def ratios(counts: DataFrame, how: Toxicity) -> DataFrame:
         return F.when(total > 0, F.greatest(F.col(c) - _DISCOUNT, F.lit(0.0)) / total).otherwise(F.lit(0.0)) + left * F.col("shared"), left
 
     joined = wide.withColumn("short", _shorter(F.col("gram"))).join(shared, "short")
-    return joined.select("gram", "n", *(F.when(F.col(f"{m}0") + F.col(f"{m}1") > 0, F.log(p(f"{m}1")[0]) - F.log(p(f"{m}0")[0])).otherwise(0.0).alias(f"r_{m}") for m in "ab"),
+    return joined.select("gram", "n", *((F.log(p(f"{m}1")[0]) - F.log(p(f"{m}0")[0])).alias(f"r_{m}") for m in "ab"),
                          *((F.log(p(f"{m}1")[1]) - F.log(p(f"{m}0")[1])).alias(f"k_{m}") for m in "ab"))
 
 
@@ -134,7 +139,7 @@ class Ratios:
         both classes have; what differs is what its context leaves to it."""
         distinct, at = np.unique(grams, return_inverse=True)
         out = np.zeros(len(distinct), np.float32)
-        for keys, values, wanted in ((self.grams, self.seen, distinct),):
+        for keys, values, wanted in ((self.contexts, self.unseen, distinct >> np.uint64(8)), (self.grams, self.seen, distinct)):
             here, place = found(keys, wanted)
             out[here] = values[place]
         return out[at]

@@ -221,3 +221,29 @@ def test_toxicity_ratios_are_not_merged():
     some = np.random.default_rng(1).integers(0, len(grams), 50_000)
     assert np.array_equal(model.of(grams[some]), seen[some])
     assert not model.of(np.array([5, 1 << 50], np.uint64)).any()
+
+
+def test_unseen_spellings_back_off(spark):
+    how = toxicity.Toxicity(order=2)
+    a, b, c, start = 97, 98, 99, 1
+    gram = lambda h, w: h << 8 | w
+    counts = spark.createDataFrame([(gram(start, a), 1, 0, 4), (gram(start, b), 1, 1, 1), (gram(start, a), 0, 0, 1), (gram(start, b), 0, 1, 3), (gram(a, b), 0, 1, 2)],
+                                   "gram long, toxic int, fold int, n long")
+    rows = {r.gram: r for r in toxicity.ratios(counts, how).collect()}
+    left = lambda kinds, total: 0.75 * kinds / total
+    assert rows[gram(start, a)].k_b == rows[gram(start, b)].k_b == pytest.approx(np.log(left(2, 5) / left(2, 4)))
+    assert rows[gram(start, b)].k_a == pytest.approx(np.log(left(1, 4) / left(1, 1)))
+    assert rows[gram(start, b)].r_a == pytest.approx(np.log(left(1, 4) / left(1, 1)))  # only fold 1 has it
+    assert rows[gram(a, b)].k_b == pytest.approx(np.log(1 / left(1, 2)))
+    model = toxicity.Ratios(np.array([gram(start, a)], np.uint64), np.array([2.0]), np.array([start], np.uint64), np.array([0.5]))
+    assert model.of(np.array([gram(start, a), gram(start, c), gram(b, c)], np.uint64)).tolist() == [2.0, 0.5, 0.0]
+
+
+def test_given_tables_toxicity(spark):
+    """Held-out labels; expressions inside words are all that the model sees."""
+    docs, labels = table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels")
+    truth = {r.doc_id: r.toxic for r in labels.collect() if r.toxic is not None}
+    found = [r for r in toxicity.score(docs, labels).collect() if r.held_out and r.doc_id in truth]
+    score, toxic = np.array([r.score for r in found]), np.array([truth[r.doc_id] for r in found]) == 1
+    assert np.mean([(score[toxic][:, None] > score[~toxic]).mean()]) > 0.93
+    assert (score[~toxic] >= 0.7).mean() < 0.02 and (score[toxic] >= 0.7).mean() > 0.5
