@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditmap.llm.bpe_trie import encoded_rows
+from creditmap.llm.batch_bpe import encoded_blocks
 from creditmap.llm.common import stored
 
 _PIECE = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("offset", pa.int64())])
@@ -48,11 +48,11 @@ def pieces(docs: DataFrame, path: str, how: Packing = Packing()) -> DataFrame:
     step = 4 * how.capacity
 
     def run(batches):
-        for part, ids in encoded_rows(batches, path):
+        for part, ids in encoded_blocks(batches, path):
             doc_ids = part.column(part.schema.get_field_index("doc_id")).to_pylist()
             rows = []
             for doc_id, own in zip(doc_ids, ids):
-                own += end
+                own = own.astype("<u4").tobytes() + end
                 rows += [(doc_id, k, len(x) // 4, zlib.crc32(x)) for k in range(-(-len(own) // step)) for x in (own[k * step : (k + 1) * step],)]
             columns = list(zip(*rows))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64()))],
