@@ -16,23 +16,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from tokenizers import Tokenizer
 
-from creditmap.llm.bpe_trie import _SIMPLE, byte_characters
+from creditmap.llm.word_split import byte_characters, gathered, simple, split
 
 #: Bytes of text worked on at once (a longer text is a block of its own), and of a word that is merged here.
 _BLOCK, _LONG = 1 << 22, 128
 _NONE = np.int64(1) << 40
-_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
-
-
-def _classes() -> np.ndarray:
-    """The class of each character up to U+024F (the covered texts hold no other)."""
-    out = np.full(0x250, _OTHER, np.uint8)
-    for kind, pattern in ((_LETTER, r"\p{L}"), (_DIGIT, r"\p{N}"), (_SPACE, r"\s")):
-        out[[c for c in range(0x250) if regex.fullmatch(pattern, chr(c))]] = kind
-    return out
 
 
 class BatchEncoder:
@@ -67,7 +57,6 @@ class BatchEncoder:
         self._library = Tokenizer.from_file(path)
         self._library.no_truncation()
         self._library.no_padding()
-        self._class = _classes()
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self._bits)).astype(np.int64)
@@ -144,42 +133,11 @@ class BatchEncoder:
         return ids[order].astype(np.uint32), np.append(0, np.cumsum(np.bincount(of, minlength=n)))
 
     def _simple(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of covered texts."""
-        joined = "\n".join(texts) + "\n"
-        lower = joined.lower()
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1  # lower() keeps the length of these characters
-        chars = np.frombuffer(lower.encode("utf-32-le"), np.uint32)
-        kind = self._class[chars]
-        before = np.append(np.uint8(_SPACE), kind[:-1])
-        start = (kind != _SPACE) & ((kind != before) | (kind == _DIGIT))
-        tick = np.flatnonzero((chars == 39) & (before != _OTHER))
-        if len(tick):
-            after = np.append(chars, np.zeros(2, np.uint32))
-            a, b = after[tick + 1], after[tick + 2]
-            one = np.isin(a, [ord(c) for c in "stmd"])
-            two = ((a == ord("r")) | (a == ord("v"))) & (b == ord("e")) | (a == ord("l")) & (b == ord("l"))
-            start[tick[one | two] + 1] = False
-            for some, size in ((one, 2), (two, 3)):
-                end = tick[some] + size
-                start[end[kind[end] == _LETTER]] = True  # the text ends with a blank
-        inside = kind != _SPACE
-        utf8 = np.frombuffer(lower.encode(), np.uint8)
-        width = 1 + (chars > 0x7F)
-        words = np.flatnonzero(start)
-        byte_at = np.append(0, np.cumsum(np.where(inside, width, 0)))
-        offsets = np.append(byte_at[words], byte_at[-1]).astype(np.int64)
-        data = utf8[np.repeat(inside, width)]
-        spans = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
-        coded = spans.dictionary_encode()
-        own = coded.dictionary
-        distinct = np.frombuffer(own.buffers()[1], np.int64)[: len(own) + 1]
-        ids, at = self.words(np.frombuffer(own.buffers()[2], np.uint8)[: distinct[-1]] if len(own) else np.empty(0, np.uint8), distinct if len(own) else np.zeros(1, np.int64))
-        index = coded.indices.to_numpy()
-        counts = np.diff(at)[index]
-        first = np.append(0, np.cumsum(counts))
-        flat = ids[np.arange(first[-1]) + np.repeat(at[index] - first[:-1], counts)]
-        ends = first[np.searchsorted(words, np.cumsum(sizes), "left")]
-        return np.split(flat, ends[:-1])
+        """The ids of texts that ``split`` covers."""
+        own, index, ends = split(texts)
+        distinct = np.frombuffer(own.buffers()[1], np.int64)[: len(own) + 1] if len(own) else np.zeros(1, np.int64)
+        data = np.frombuffer(own.buffers()[2], np.uint8)[: distinct[-1]] if len(own) else np.empty(0, np.uint8)
+        return gathered(*self.words(data, distinct), index, ends)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text as unsigned 32-bit numbers; NULL is empty."""
@@ -193,7 +151,7 @@ class BatchEncoder:
         for k, text in enumerate(texts):
             if not text:
                 continue
-            if "<|" in text or not _SIMPLE.fullmatch(text):
+            if not simple(text):
                 out[k] = np.array(self._library.encode(text, add_special_tokens=False).ids, np.uint32)
                 continue
             held.append(k)

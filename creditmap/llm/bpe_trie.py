@@ -4,11 +4,13 @@ The symbols of a word are its bytes, the last one marked as word end.  The
 encoding of a prefix is the encoding of a shorter prefix plus one last token,
 and a token may follow another exactly if the two alone encode to themselves.
 So a trie of the distinct words holds, per node, the last token of that prefix
-and its ids; a depth-first walk computes each shared prefix once, from the node
-before its last token.
+and the node before that token; a depth-first walk computes each shared prefix
+once, and a word's ids are read off by walking back from its end.
 
 A task keeps one trie and one table of finished words for all its texts and
-drops both when ``max_nodes`` is passed, so memory is bounded and nothing is
+drops both when ``max_nodes`` is passed; the part of a word after ``_DEEP``
+bytes is a path of its own that goes with the word, so memory is bounded by
+``max_nodes`` and, at a few bytes a letter, the longest word.  Nothing is
 shuffled.  Encoding equals the tokenizers library for a model of this kind
 (NFC, lower case, the split pattern below, byte symbols, word-end suffix, no
 ids added); decoding joins the tokens by blanks, as that library does for a
@@ -20,7 +22,6 @@ from __future__ import annotations
 import gc
 import json
 import math
-import re
 import struct
 from array import array
 from collections.abc import Iterator
@@ -31,24 +32,19 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Regex, Tokenizer, pre_tokenizers
 
-# Fixed value of the tokenizer file's pre-tokenizer.
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: Text of which Python's lower(), split() and the pattern above give what the library gives; other text goes through the library's normalizer and splitter.
-_SIMPLE = re.compile(r"[\t-\r\x20-\x7e\xa0-\u012f\u0131-\u024f]*")
-_SHORT = (2, 1)
-
+from creditmap.llm.word_split import PIECES, byte_characters, gathered, simple, split
 
-def byte_characters() -> list[str]:
-    """The printable character that stands for each byte in a byte-level vocabulary."""
-    kept = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = iter(range(256, 512))
-    return [chr(b) if b in kept else chr(next(others)) for b in range(256)]
+_SHORT = (2, 1)
+#: Bytes of a word that share the trie with other words.
+_DEEP = 256
+#: Bytes of text that are split into words at once.
+_BLOCK = 1 << 22
 
 
 class TrieEncoder:
     """Encodes texts for one tokenizer file."""
 
-    def __init__(self, path: str, max_nodes: int = 400_000):
+    def __init__(self, path: str, max_nodes: int = 800_000):
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
         model = file["model"]
@@ -59,7 +55,7 @@ class TrieEncoder:
         self._specials = f"({'|'.join(map(regex.escape, self.special))})"
         self.tokens = {i: t for t, i in (vocabulary | self.special).items()}
         self._library = Tokenizer.from_file(path)
-        self._split = pre_tokenizers.Split(Regex(_PIECES.pattern), "removed", invert=True)
+        self._split = pre_tokenizers.Split(Regex(PIECES.pattern), "removed", invert=True)
         marks = byte_characters()
         #: of each token its bytes, by whether it ends a word
         self.inside = {bytes([b]): vocabulary[c] for b, c in enumerate(marks)}
@@ -84,7 +80,6 @@ class TrieEncoder:
             text, table = raw[whole]
             if table.get(text) is None and not self._merge_across(a, b, rank):
                 table[text] = whole
-        self.own = [struct.pack("<I", i) for i in range(max(self.tokens) + 1)]
         #: by the last three bytes of a token: the lengths that such tokens have, longest first
         self.lengths: dict[bool, dict[bytes, list[int]]] = {}
         for ends, table in ((False, self.inside), (True, self.ending)):
@@ -110,23 +105,23 @@ class TrieEncoder:
     def clear(self) -> None:
         self.children: dict[int, int] = {}  # 256 * node + byte: node
         self.last = array("i", [-1])  # of each node, the last token of its prefix
-        self.codes = [b""]  # of each node, the ids of its prefix
+        self.prior = array("i", [0])  # and the node before that token
         self.follows: dict[int, bool] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}  # the ids of finished words
 
-    def encode_words(self, words: set[str]) -> None:
+    def encode_words(self, words: set[bytes]) -> None:
         """Insert the words into the trie, walking its new part depth-first."""
-        children, last, codes, follows, chunks = self.children, self.last, self.codes, self.follows, self.chunks
-        across, own = self._merge_across, self.own
-
-        def resolve(prefix: bytes, table: dict[bytes, int], lengths: dict[bytes, list[int]]) -> tuple[int, int]:
-            """(last token, node before it); ``path``: nodes of the prefix's own prefixes."""
-            n = len(prefix)
-            for length in lengths.get(prefix[-3:], _SHORT):
-                if length <= n:
-                    token = table.get(prefix[n - length :])
+        children, last, prior, follows, known = self.children, self.last, self.prior, self.follows, self.known
+        across = self._merge_across
+        inside, inside_lengths, ending, ending_lengths = self.inside, self.lengths[False], self.ending, self.lengths[True]
+
+        def resolve(word: bytes, end: int, table: dict[bytes, int], lengths: dict[bytes, list[int]]) -> tuple[int, int]:
+            """(last token of the word's first ``end`` bytes, node before it); ``path``: nodes of its prefixes."""
+            for length in lengths.get(word[end - 3 : end] if end > 2 else b"", _SHORT):
+                if length <= end:
+                    token = table.get(word[end - length : end])
                     if token is not None:
-                        node = path[n - length]
+                        node = path[end - length]
                         previous = last[node]
                         if previous < 0:
                             return token, node
@@ -136,78 +131,89 @@ class TrieEncoder:
                             fits = follows[key] = not across(previous, token, math.inf)
                         if fits:
                             return token, node
-            raise ValueError(f"no token ends {prefix!r}")
+            raise ValueError(f"no token ends {word[:end]!r}")
 
-        inside, inside_lengths, ending, ending_lengths = self.inside, self.lengths[False], self.ending, self.lengths[True]
-        path, walked = [0], b""
-        for text in sorted(words):  # visits the trie depth-first
-            word = text.encode()
+        path, walked = array("i", [0]), b""
+        for word in sorted(words):  # visits the trie depth-first
             shared, most = 0, min(len(walked), len(word) - 1)
             while shared < most and walked[shared] == word[shared]:
                 shared += 1
             del path[shared + 1 :]
-            node = path[-1]
-            for depth in range(shared, len(word) - 1):
+            node, deep = path[-1], min(len(word) - 1, _DEEP)
+            for depth in range(shared, deep):
                 key = node << 8 | word[depth]
                 node = children.get(key)
                 if node is None:
-                    token, prior = resolve(word[: depth + 1], inside, inside_lengths)
+                    token, before = resolve(word, depth + 1, inside, inside_lengths)
                     node = children[key] = len(last)
                     last.append(token)
-                    codes.append(codes[prior] + own[token])
+                    prior.append(before)
                 path.append(node)
-            walked = word[:-1]
-            token, prior = resolve(word, ending, ending_lengths)
-            chunks[text] = codes[prior] + own[token]
-
-    def _learn(self, fresh: set[str], simple: bool) -> None:
-        """Encode chunks (text between blanks) that are not known yet; a word is a chunk as well."""
-        chunks = self.chunks
-        words = {c for c in fresh if c.isalpha()} if simple else set()
-        pieces = {}
-        for chunk in fresh - words:
-            if simple and chunk[-1] in ".,!?;:" and chunk[:-1].isalpha():
-                pieces[chunk] = [chunk[:-1], chunk[-1]]
-            else:
-                pieces[chunk] = _PIECES.findall(chunk) if simple else [x[0] for x in self._split.pre_tokenize_str(chunk)]
-        words.update(*pieces.values())
-        self.encode_words(words - chunks.keys())
-        for chunk, ps in pieces.items():
-            if len(ps) != 1 or ps[0] != chunk:
-                chunks[chunk] = b"".join([chunks[p] for p in ps])
-
-    def _plain(self, text: str) -> tuple[list[str], bool]:
-        """The chunks of a text without special tokens; whether they are simple."""
-        if _SIMPLE.fullmatch(text):  # composed already
-            return text.lower().split(), True
-        return [c for c in self._library.normalizer.normalize_str(text).split(" ") if c], False
-
-    def encode_batch(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        if len(self.last) > self.max_nodes or len(self.chunks) > self.max_nodes:
+            nodes = len(last)
+            for depth in range(deep, len(word) - 1):  # a path of its own
+                token, before = resolve(word, depth + 1, inside, inside_lengths)
+                path.append(len(last))
+                last.append(token)
+                prior.append(before)
+            token, node = resolve(word, len(word), ending, ending_lengths)
+            ids = array("I", [token])
+            while node:
+                ids.append(last[node])
+                node = prior[node]
+            ids.reverse()
+            known[word] = ids.tobytes()
+            if len(word) - 1 > _DEEP:
+                del last[nodes:], prior[nodes:], path[deep + 1 :]
+            walked = word[: min(len(word) - 1, _DEEP)]
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """The ids of distinct words."""
+        if len(self.last) + len(self.known) + len(self.follows) > self.max_nodes:
             self.clear()
-        parts: list[list[list[str] | bytes]] = []
-        needed: dict[bool, list[list[str]]] = {True: [], False: []}
-        for text in texts:
-            own: list[list[str] | bytes] = []
-            for part in regex.split(self._specials, text) if text and "<|" in text else [text]:
-                if part in self.special:
-                    own.append(struct.pack("<I", self.special[part]))
-                elif part:
-                    chunks, simple = self._plain(part)
-                    needed[simple].append(chunks)
-                    own.append(chunks)
-            parts.append(own)
         gc.disable()  # no cycles are made here, and its passes would walk over all these objects
-        found: dict[str, bytes] = {}  # small, so that each occurrence is looked up nearby
-        for simple, lists in needed.items():
-            own = set().union(*lists)
-            self._learn(own - self.chunks.keys(), simple)
-            found.update(zip(own, map(self.chunks.__getitem__, own)))
+        self.encode_words({w for w in words if w not in self.known})
         gc.enable()
-        get = found.__getitem__
-        for own in parts:
-            yield b"".join([p if isinstance(p, bytes) else b"".join(map(get, p)) for p in own])
+        return [*map(self.known.__getitem__, words)]
+
+    def _simple(self, texts: list[str]) -> list[bytes]:
+        words, index, ends = split(texts)
+        ids = self._ids(words.to_pylist())
+        at = np.append(0, np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))) // 4
+        return [x.tobytes() for x in gathered(np.frombuffer(b"".join(ids), "<u4"), at, index, ends)]
+
+    def _other(self, text: str) -> bytes:
+        """Text that ``split`` does not cover: special tokens stand alone, words come from the library."""
+        out = []
+        for part in regex.split(self._specials, text) if "<|" in text else [text]:
+            if part in self.special:
+                out.append(struct.pack("<I", self.special[part]))
+            elif part:
+                chunks = self._library.normalizer.normalize_str(part).split(" ")
+                words = [x[0].encode() for c in chunks if c for x in self._split.pre_tokenize_str(c)]
+                held = [*dict.fromkeys(words)]
+                of = dict(zip(held, self._ids(held)))
+                out += map(of.__getitem__, words)
+        return b"".join(out)
+
+    def encode_batch(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        out: list[bytes] = [b""] * len(texts)
+        held: list[int] = []
+        size = 0
+        for k, text in enumerate(texts):
+            if text and not simple(text):
+                out[k] = self._other(text)
+            elif text:
+                held.append(k)
+                size += len(text)
+            if size >= _BLOCK:
+                for i, ids in zip(held, self._simple([texts[i] for i in held])):
+                    out[i] = ids
+                held, size = [], 0
+        if held:
+            for i, ids in zip(held, self._simple([texts[i] for i in held])):
+                out[i] = ids
+        yield from out
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(map(self.tokens.__getitem__, ids))
@@ -223,7 +229,7 @@ def encoder(path: str) -> TrieEncoder:
     return _ENCODERS[path]
 
 
-def encoded_rows(batches: Iterator[pa.RecordBatch], path: str, column: str = "text", rows: int = 256) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def encoded_rows(batches: Iterator[pa.RecordBatch], path: str, column: str = "text", rows: int = 1024) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches with the ids of each row."""
     trie = encoder(path)
     for batch in batches:

@@ -35,6 +35,22 @@ def test_encoder_equals_the_library_and_stays_bounded():
     assert all(trie.decode(x) == LIBRARY.decode(x, skip_special_tokens=False) for x in expected)
 
 
+def test_one_word_of_a_million_letters():
+    """Memory and time are linear in a word: its prefixes keep a token and a node each, not their ids."""
+    import tracemalloc
+
+    rng = random.Random(6)
+    word = "".join(rng.choice("abcdefgh") for _ in range(1_000_000))
+    trie = TrieEncoder(PATH)
+    list(trie.encode_batch([word[:1000]]))
+    tracemalloc.start()
+    found = next(trie.encode_batch([word]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.frombuffer(found, "<u4").tolist() == LIBRARY.encode(word, add_special_tokens=False).ids
+    assert peak < 150e6 and len(trie.last) < 10_000  # and the trie keeps the word's first letters only
+
+
 def test_operator_and_digests(documents):
     docs = documents(ODD)
     rows = encode_decode(docs, PATH).collect()
