@@ -99,7 +99,8 @@ def main() -> None:
             timed(spark, "warmup", lambda n=name: catalog.build(n, spark, warm))
     t0 = time.perf_counter()
     src = catalog.sources_for(spark, sf_dir)
-    for name in src.names():
+    tables = [name for name in src.names() if "/" not in name]  # others are second layouts
+    for name in tables:
         src[name]
     setup = time.perf_counter() - t0
 
@@ -107,7 +108,7 @@ def main() -> None:
                    for i in range(2)] for name in HEADLINE}
     times = {name: min(r) for name, r in runs.items()}
 
-    for name in src.names():
+    for name in tables:
         src[name].createOrReplaceTempView(name)
     plain = {}
     for name in COMPARED:

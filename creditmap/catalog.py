@@ -19,9 +19,10 @@ from .functions import predicates as P
 from .functions.keys import (
     branch_key, client_key, dealer_rep_key, dealer_type, master_dealer_rep_key, month_end, same_text, vendor_key,
 )
-from .operators.intervals import pick_interval
-from .operators.output import accumulate, conform
+from .operators.output import accumulate, append_days, conform, read_days
 from .operators.owners import rank_owner, waterfall_step
+from .operators.runtime_filter import keep_possible
+from .operators.skew import heavy_hitter_join
 from .operators.snapshot import snapshot
 from .operators.versions import hop_as_of, hop_to_current
 from .plans import lookup as L
@@ -31,14 +32,14 @@ from .plans import sales_assets as SA
 from .plans import vendor as V
 from .plans.bridge import dealer_rep_bridge, dealer_rep_codes
 from .plans.inhouse import (
-    direct_source, etf_flows_and_holdings, in_house_daily, in_house_monthly, source_territories,
+    direct_source, etf_flows_and_holdings, etf_products, in_house_daily, in_house_monthly, peer_products, source_territories,
 )
 from .plans.territory import distributor_territories
 from .schemas import MARKET_SHARE_COLUMNS, SALES_ASSETS_COLUMNS
 from .sources import registry as R
 from .sources.peers import peer_list
 from .sources.registry import Sources
-from .sources.testdata import testdata_sources
+from .sources.testdata import scratch_path, stored_bucketed, stored_by_day, testdata_sources
 
 Builder = Callable[[Sources, AttributionConfig], DataFrame]
 _REGISTRY: dict[str, Builder] = {}
@@ -128,6 +129,12 @@ def _q_latest(src, cfg):
     )
 
 
+@register("latest_snapshot_by_day")
+def _q_latest_by_day(src, cfg):
+    """The fact stored by day: one folder is read."""
+    return _q_latest(stored_by_day(src), cfg)
+
+
 # ---- filters ------------------------------------------------------------------
 
 @register("firm_exclusion_3vl")
@@ -199,8 +206,8 @@ def _q_typed_link(src, cfg):
 @register("effective_dated_override")
 def _q_override(src, cfg):
     rows = _by(src[R.MARKET_SHARE], ["Dealer_Branch_ID", "Reporting_Date"], "Industry_Asset_Amount").join(
-        V.with_overrides(src[R.DEALER_BRANCH].select("Dealer_Branch_ID", "Dealer_Branch_CD"), src), "Dealer_Branch_ID")
-    return pick_interval(rows, "Reporting_Date", "MLI_Territory_Name").groupBy("Dealer_Branch_CD", "MLI_Territory_Name").agg(
+        src[R.DEALER_BRANCH].select("Dealer_Branch_ID", "Dealer_Branch_CD"), "Dealer_Branch_ID")
+    return V.with_overrides(rows, src, "Reporting_Date").groupBy("Dealer_Branch_CD", "MLI_Territory_Name").agg(
         F.sum("__n").alias("n"), d2(F.sum("Industry_Asset_Amount")).alias("assets")
     )
 
@@ -233,7 +240,7 @@ def _q_rank_client_policy(src, cfg):
 
 
 def _daily_positions_all_days(src, cfg):
-    return V.branch_positions_daily(V.market_share_positions(src, cfg, None))
+    return V.branch_positions_daily(V.market_share_positions(src, cfg, None, (V.MS_BRANCH,)))
 
 
 _POS_COLS = ["Reporting_Date", "Firm_Name", "aBR", "Dealer_Type", "MLI_Dealer_Code", "PeerGroup", "Office_Type",
@@ -273,6 +280,12 @@ def _q_vendor_monthly(src, cfg):
     return _monthly(src, cfg, V.SA_ACTUAL)
 
 
+@register("bucketed_position_join")
+def _q_bucketed(src, cfg):
+    """Positions and holdings stored bucketed by holding id: their join moves no rows."""
+    return _monthly(stored_bucketed(src), cfg, V.SA_ACTUAL)
+
+
 @register("vendor_position_rollup_correlated")
 def _q_vendor_correlated(src, cfg):
     return _monthly(src, cfg, V.SA_CORRELATED)
@@ -292,7 +305,7 @@ _REP_COLS = ["Firm_Name", "Dealer_Type", "aBR", "Office_Type", "Reporting_Date",
 
 
 def _rep_daily_all_days(src, cfg):
-    return V.rep_positions_daily(V.market_share_positions(src, cfg, None))
+    return V.rep_positions_daily(V.market_share_positions(src, cfg, None, (V.MS_REP,)))
 
 
 @register("dealer_rep_positions")
@@ -336,6 +349,17 @@ def _q_point_in_interval(src, cfg):
     )
 
 
+@register("heavy_hitter_attach")
+def _q_heavy_hitter(src, cfg):
+    """The bridge attached with frequent dealer keys split over tasks."""
+    reps = _rep_daily_all_days(src, cfg).withColumnRenamed("aBR", "DlrRep")
+    bridge = dealer_rep_bridge(src, cfg).select("DlrRep", "Selling_Code", "Territory_External_ID", "THE_START", "THE_END")
+    inside = (F.col("THE_START") <= F.col("Reporting_Date")) & (F.col("THE_END") >= F.col("Reporting_Date"))
+    x = heavy_hitter_join(reps, bridge, "DlrRep", inside).withColumnRenamed("DlrRep", "aBR")
+    return x.select(*_REP_COLS, d2("Asset_Position_Shares").alias("Asset_Position_Shares"),
+                    d2("Asset_Position_Balance").alias("Asset_Position_Balance"), "Selling_Code", "Territory_External_ID")
+
+
 @register("fallback_branch_coalesce")
 def _q_fallback(src, cfg):
     return conform(MS.vendor_stages(src, cfg.with_(as_of=None), (MS.REP,)), MARKET_SHARE_COLUMNS)
@@ -349,9 +373,7 @@ def _per_product(src):
 
 @register("peer_values_join")
 def _q_peers(src, cfg):
-    prod = src[R.PRODUCT_DIM].select(F.col("Product_ID").alias("inv_Product_ID"), "Product_Name")
-    peers = MS.peers_of(src).select(F.col("CUSIP").alias("Product_Name"), "PEER_GROUP")
-    rows = _per_product(src).join(prod.join(peers, "Product_Name"), "inv_Product_ID")
+    rows = _per_product(src).join(peer_products(src, cfg, MS.peers_of(src)), "inv_Product_ID")
     return rows.groupBy("PEER_GROUP").agg(
         F.sum("__n").alias("n"), d2(F.sum("Asset_Value_Amt")).alias("assets"), d6(F.sum("Number_Of_Units")).alias("units"),
     )
@@ -391,11 +413,8 @@ def _q_key_varchar30(src, cfg):
 
 @register("semi_product_filter")
 def _q_semi(src, cfg):
-    etf = src[R.ETF_PRODUCT].where(F.col("Product_Type") == F.lit(cfg.etf_product_type)).select(
-        F.col("Product_CUSIP").alias("Product_Name")
-    )
-    prod = src[R.PRODUCT_DIM].select("Product_ID", "Product_Name").join(etf, "Product_Name", "left_semi")
-    rows = _by(src[R.NBV_MONTHEND], ["Product_ID"], "Txn_Amt").join(prod, "Product_ID")
+    prod = etf_products(src, cfg)
+    rows = _by(keep_possible(src[R.NBV_MONTHEND], "Product_ID", prod, "Product_ID"), ["Product_ID"], "Txn_Amt").join(prod, "Product_ID")
     return rows.groupBy("Product_Name").agg(F.sum("__n").alias("n"), d2(F.sum("Txn_Amt")).alias("amount"))
 
 
@@ -449,6 +468,26 @@ def _q_accumulate(src, cfg):
     return accumulate(*(conform(MS.vendor_stages(src, cfg, (stage,)), MARKET_SHARE_COLUMNS) for stage in (MS.ADVISOR, MS.CLIENT)))
 
 
+@register("accumulate_by_day")
+def _q_accumulate_by_day(src, cfg):
+    """The accumulator filled day by day (see :func:`_accumulated`)."""
+    return src[ACCUMULATED]
+
+
+#: The accumulator of ``accumulate_by_day`` among the adapter's stored tables.
+ACCUMULATED = "ACCUMULATOR" + R.BY_DAY
+
+
+def _accumulated(src: Sources) -> DataFrame:
+    """Odd days, even days late, odd days again."""
+    rows = _q_accumulate(src, testdata_config())
+    odd = F.dayofmonth("Reporting_Date") % 2 == 1
+    path = scratch_path(src, "accumulator")
+    for part in (odd, ~odd, odd):
+        append_days(rows.where(part), path)
+    return read_days(src.spark, path, rows)
+
+
 @register("market_share_attribution")
 def _q_market_share(src, cfg):
     return MS.market_share(src, cfg)
@@ -486,6 +525,7 @@ def sources_for(spark: SparkSession, sf_dir: str) -> Sources:
     if key not in _SOURCES:
         src = testdata_sources(spark, sf_dir)
         src.sf_dir = sf_dir.rstrip("/")
+        src.add(ACCUMULATED, lambda: _accumulated(src))
         _SOURCES[key] = src
     return _SOURCES[key]
 

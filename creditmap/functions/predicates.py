@@ -85,4 +85,4 @@ def default_branch_or_null(branch_code) -> Column:
 
 def active(flag_col, cfg: AttributionConfig) -> Column:
     """``Active_Record_Ind = 'Y'`` (F-01)."""
-    return col(flag_col) == F.lit(cfg.active_flag)
+    return same_text(flag_col) == F.lit(cfg.active_flag)

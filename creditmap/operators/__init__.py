@@ -1,2 +1,2 @@
 """Generic relational operators: versioned hops, interval joins, owner
-ranking, snapshot selection, conform / accumulate, size-checked broadcast."""
+ranking, snapshot selection, runtime filters, skewed joins, conform / accumulate."""

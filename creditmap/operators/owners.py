@@ -4,11 +4,11 @@
 the aggregated measures (W-01, W-02).  The scripts' order is not total;
 a final ascending territory makes the winner deterministic (Q-10).
 
-Positions get their owner from the rank-1 rows only (``top_owner``, then
+Positions get their owner from the rank-1 rows only (``argmax_owner``, then
 ``plans.lookup.attach``).  The scripts join the ranked table to the right of
 the positions and keep ``rn = 1 OR rn IS NULL``; every non-NULL key has exactly
-one rank-1 row, so both keep each position once, and filtering first lets Spark
-plan a WindowGroupLimit.
+one rank-1 row, so both keep each position once, and the winners alone come from
+an aggregate with map-side partials.
 """
 
 from __future__ import annotations
@@ -31,6 +31,22 @@ def top_owner(cands: DataFrame, key: str, measures: list[str], tiebreak: str) ->
     return rank_owner(cands, key, measures, tiebreak, "__rn").where(F.col("__rn") == 1).drop("__rn")
 
 
+def argmax_owner(cands: DataFrame, key: str, measures: list[str], tiebreak: str) -> DataFrame:
+    """The rows of :func:`top_owner` by an aggregate: each task sends one row per
+    key, winners of parts can be merged again, and a key with very many
+    candidates needs no sorted window.
+
+    The least of (measure is NULL, negated measure, ...; tiebreak) comes first in
+    the order of :func:`rank_owner`."""
+    order = [x for m in measures for x in (F.col(m).isNull(), -F.col(m))] + [F.col(tiebreak)]
+    names = [f"o{i}" for i in range(len(order))]
+    rest = [c for c in cands.columns if c not in (key, tiebreak)]
+    least = F.min(F.struct(*(x.alias(n) for x, n in zip(order, names)), F.struct(*rest).alias("rest")))
+    top = cands.groupBy(key).agg(least.alias("__top"))
+    kept = {c: F.col(f"__top.rest.{c}") for c in rest} | {tiebreak: F.col(f"__top.{names[-1]}"), key: F.col(key)}
+    return top.select(*(kept[c].alias(c) for c in cands.columns))
+
+
 def _waterfall_steps(override, ranked, house_code, house_codes, house_label) -> list[tuple[str, Column, Column]]:
     """(name, condition, territory) in order of precedence."""
     steps = [("override", col(override).isNotNull(), col(override))]

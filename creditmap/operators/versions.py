@@ -50,7 +50,7 @@ def current_versions(dim: DataFrame, sk: str, bk: str, keep: dict[str, str], act
     """(``sk`` of any version, ``keep`` of each current version with the same
     ``bk``): built on the dimension alone, so a fact needs one join (R-4)."""
     version = dim.select(F.col(sk), business_key(dim, bk).alias("__bk"))
-    current = dim.where(F.col(active_col) == F.lit(active_flag)).select(
+    current = dim.where(same_text(active_col) == F.lit(active_flag)).select(
         business_key(dim, bk).alias("__bk"), *[F.col(c).alias(a) for c, a in keep.items()]
     )
     return version.join(current, "__bk").drop("__bk")

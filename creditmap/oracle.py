@@ -519,6 +519,11 @@ def build(cfg: AttributionConfig | None = None) -> dict[str, str]:
         add(name, body, views)
     views, body = v.sales_assets()
     add("sales_assets_attribution", body, views)
+
+    # other layouts and joins, same results
+    for name, same in (("latest_snapshot_by_day", "latest_snapshot"), ("bucketed_position_join", "vendor_position_rollup_monthly"),
+                       ("heavy_hitter_attach", "point_in_interval_attach"), ("accumulate_by_day", "accumulate_distinct")):
+        q[name] = q[same]
     return q
 
 

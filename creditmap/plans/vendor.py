@@ -9,11 +9,11 @@ the group keys of that stage.  A stage rollup is then a filter and a
 projection of the shared aggregate, and the end-to-end plans attach all
 routes with one join, so the fact is scanned once per script.
 
-The daily fact is summed per (branch, time, group) before it meets a
-dimension, so a branch with a third of the rows is reduced map-side (R-3).
-The position fact meets its holdings once; stored bucketed by holding id on
-both sides, that join needs no shuffle.  The branch dimension carries its
-override intervals, so resolving them needs no further join of the fact.
+The daily fact meets its few branch dimensions as it is scanned (broadcast
+where they are small) and is aggregated once; the position fact meets its
+holdings once, and stored bucketed by holding id on both sides
+(``sources.layouts``) that join needs no shuffle.  Overrides come from an
+interval index by branch code and month.
 """
 
 from __future__ import annotations
@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 from ..config import AttributionConfig
 from ..functions import predicates as P
 from ..functions.keys import dealer_rep_key, dealer_type, month_end, same_text, vendor_key
-from ..operators.intervals import pick_interval, with_intervals
-from ..operators.owners import sum_per_key
+from ..operators.intervals import effective_dated_left
 from ..operators.snapshot import snapshot
 from ..sources import registry as R
 from ..sources.registry import Sources
@@ -59,37 +58,34 @@ def _branch_dims(src: Sources, dealer_how: str) -> DataFrame:
     return branch.join(firm, "Office_ID").join(dealer, "Firm_ID", dealer_how)
 
 
-def with_overrides(branches: DataFrame, src: Sources) -> DataFrame:
-    return with_intervals(branches, src[R.REF_TERRITORY], "Dealer_Branch_CD", "ETF_Branch_Name", "Effective_Date",
-                          "End_Date", "MLI_Territory_Name")
+def with_overrides(rows: DataFrame, src: Sources, at: str, only_when: Column | None = None) -> DataFrame:
+    """``rows`` with the territories that override their branch code at ``at`` (J-08)."""
+    return effective_dated_left(rows, src[R.REF_TERRITORY], "Dealer_Branch_CD", at, "ETF_Branch_Name", "Effective_Date", "End_Date",
+                                {"MLI_Territory_Name": "MLI_Territory_Name"}, only_when)
 
 
 # ---------------------------------------------------------------------------
 # Script A: market share, daily
 # ---------------------------------------------------------------------------
 
-def market_share_positions(src: Sources, cfg: AttributionConfig, as_of) -> DataFrame:
-    return src.memo(("market_share_positions", str(as_of), cfg), lambda: _market_share_positions(src, cfg, as_of))
+def market_share_positions(src: Sources, cfg: AttributionConfig, as_of, routes: tuple[str, ...] = (MS_BRANCH, MS_REP)) -> DataFrame:
+    return src.memo(("market_share_positions", str(as_of), routes, cfg), lambda: _market_share_positions(src, cfg, as_of, routes))
 
 
-def _market_share_positions(src: Sources, cfg: AttributionConfig, as_of) -> DataFrame:
-    """Market-share fact aggregated once for stages 1-3.
+def _market_share_positions(src: Sources, cfg: AttributionConfig, as_of, routes: tuple[str, ...]) -> DataFrame:
+    """Market-share fact aggregated once for the stages that want ``routes``.
 
     Group keys per route (A:135-144 for ``branch``, A:329-337 for ``rep``):
     Reporting_Date (raw), Firm_Name, aBR (office key / dealer-rep key),
     Dealer_Type, MLI_Dealer_Code (``branch`` only), Rank_Group,
     Office_Type, Dealer_Branch_CD, MLI_Territory_Name (``branch`` only).
     """
-    dims = with_overrides(_branch_dims(src, "inner"), src).select(
-        "*",
-        F.explode(_routes([
-            (MS_BRANCH, P.firm_kept("Firm_Name", "Dealer_Branch_CD", cfg)),
-            (MS_REP, P.rep_level_daily("MLI_Dealer_Code", "Dealer_Branch_CD", cfg)),
-        ])).alias(ROUTE),
-    )
-    fact = sum_per_key(snapshot(src[R.MARKET_SHARE], "Reporting_Date", as_of),
-                       ["Dealer_Branch_ID", "Reporting_Date", "Rank_Group"], ["Industry_Shares_Amount", "Industry_Asset_Amount"])
-    rows = pick_interval(fact.join(dims, "Dealer_Branch_ID"), "Reporting_Date", "MLI_Territory_Name", _is(MS_BRANCH))
+    wanted = {MS_BRANCH: P.firm_kept("Firm_Name", "Dealer_Branch_CD", cfg),
+              MS_REP: P.rep_level_daily("MLI_Dealer_Code", "Dealer_Branch_CD", cfg)}
+    dims = _branch_dims(src, "inner").select("*", F.explode(_routes([(r, wanted[r]) for r in routes])).alias(ROUTE))
+    fact = snapshot(src[R.MARKET_SHARE], "Reporting_Date", as_of).select(
+        "Dealer_Branch_ID", "Reporting_Date", "Rank_Group", "Industry_Shares_Amount", "Industry_Asset_Amount")
+    rows = with_overrides(fact.join(dims, "Dealer_Branch_ID"), src, "Reporting_Date", _is(MS_BRANCH))
     rep = _is(MS_REP)
     return rows.groupBy(
         ROUTE, "Reporting_Date", "Firm_Name",
@@ -132,11 +128,11 @@ def holdings_dims(src: Sources, cfg: AttributionConfig) -> DataFrame:
     hold = src[R.HOLDINGS].select("Holdings_ID", "Account_ID", "Dealer_Branch_ID", "Product_ID")
     acct = src[R.ACCOUNT].select("Account_ID", "Account_Postal_CD", "Account_Type_TA_CD")
     prod = src[R.ETF_PRODUCT].select("Product_ID", "Product_CUSIP")
-    branch = with_overrides(_branch_dims(src, "left"), src)
+    branch = _branch_dims(src, "left")
     dims = hold.join(acct, "Account_ID").join(branch, "Dealer_Branch_ID").join(prod, "Product_ID")
     return dims.select(
         "Holdings_ID", "Firm_ID", "Firm_Name", "MLI_Dealer_Code", "Office_Postal_CD", "Account_Postal_CD",
-        "Office_Type", "Dealer_Branch_CD", "Account_Type_TA_CD", "Product_CUSIP", "__intervals",
+        "Office_Type", "Dealer_Branch_CD", "Account_Type_TA_CD", "Product_CUSIP",
         F.explode(_routes([
             (SA_ACTUAL, P.actual_branches("Office_Type", "Dealer_Branch_CD", "MLI_Dealer_Code", cfg)),
             (SA_CORRELATED, P.correlated_branches("Office_Type", "Dealer_Branch_CD", "MLI_Dealer_Code", cfg)),
@@ -162,8 +158,7 @@ def _sales_positions(src: Sources, cfg: AttributionConfig) -> DataFrame:
         "Asset_Position_Shares", "Asset_Position_Net_New_Assets", "Asset_Position_Balance",
     )
     rep = _is(SA_REP)
-    rows = pick_interval(fact.join(holdings_dims(src, cfg), "Holdings_ID"), "Asset_Position_Reporting_Date",
-                         "MLI_Territory_Name", ~rep)
+    rows = with_overrides(fact.join(holdings_dims(src, cfg), "Holdings_ID"), src, "Asset_Position_Reporting_Date", ~rep)
     return rows.groupBy(
         ROUTE, month_end("Asset_Position_Reporting_Date").alias("Reporting_Date"), "Firm_Name",
         same_text(F.when(rep, dealer_rep_key("MLI_Dealer_Code", "Dealer_Branch_CD", cfg.strict_right))

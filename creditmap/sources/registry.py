@@ -41,6 +41,9 @@ NBV_MONTHEND = "NBV_MONTHEND_FACT"
 ASSET_MONTHEND = "ASSET_MONTHEND_FACT"
 # The peer list the market-share script declares inline.
 PEERS = "PEER_LIST"
+# Other stored layouts of the same tables (sources.layouts).
+BY_DAY = "/by-day"
+BUCKETED = "/bucketed"
 
 ALL_TABLES = (
     MARKET_SHARE, DEALER_BRANCH, FIRM, REF_DEALER, REF_TERRITORY, ACCOUNT, HOLDINGS,
@@ -76,6 +79,10 @@ class Sources:
     def __contains__(self, name: str) -> bool:
         return name in self._tables
 
+    def add(self, name: str, open_: Callable[[], DataFrame]) -> None:
+        """Register a table that ``open_`` opens at first use."""
+        self._tables[name] = open_
+
     def names(self) -> list[str]:
         return list(self._tables)
 

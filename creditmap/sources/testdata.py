@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import date_id
 from . import registry as R
+from .layouts import read_by_day, write_bucketed, write_by_day
 from .registry import Sources
 
 DRIVER_TABLES = ("nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -274,14 +275,14 @@ def build(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the session names in ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a fresh temporary
-    folder set as the checkpoint directory.
-    """
+    A local session that names none (tests) gets a temporary one; on a cluster
+    no folder of one machine would do, and this raises."""
     sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        conf = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(conf or tempfile.mkdtemp(prefix="creditmap-checkpoint-"))
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="creditmap-checkpoint-"))
         root = sc.getCheckpointDir()
     return root.rstrip("/")
 
@@ -305,4 +306,40 @@ def testdata_sources(spark: SparkSession, sf_dir: str, stored: bool = True) -> S
         return spark.read.schema(tables[name].schema).parquet(f"{root}/{name}")
 
     given = {name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet") for name in ("part", "supplier")}
-    return Sources(spark, given | {name: partial(opened, name) for name in tables})
+    src = Sources(spark, given | {name: partial(opened, name) for name in tables})
+    src.add(R.MARKET_SHARE + R.BY_DAY, partial(_by_day, src))
+    for name, key in BUCKETS.items():
+        src.add(name + R.BUCKETED, partial(_bucketed, src, name, key))
+    return src
+
+
+#: Tables that are also stored bucketed, and by which key.
+BUCKETS = {R.ASSET_POSITION: "Asset_Position_Holding_ID", R.HOLDINGS: "Holdings_ID"}
+
+
+def _by_day(src: Sources) -> DataFrame:
+    fact, path = src[R.MARKET_SHARE], scratch_path(src, "by-day")
+    write_by_day(fact, path, "Reporting_Date")
+    return read_by_day(src.spark, path, fact)
+
+
+def _bucketed(src: Sources, name: str, key: str, buckets: int = 8) -> DataFrame:
+    path = scratch_path(src, f"bucketed-{name}")
+    return write_bucketed(src[name], path.rsplit("/", 1)[1].replace("-", "_"), path, key, buckets)
+
+
+def scratch_path(src: Sources, name: str) -> str:
+    """A new folder under :func:`scratch_root` for a stored layout."""
+    return f"{scratch_root(src.spark)}/creditmap-layouts/{name}-{uuid.uuid4().hex[:8]}"
+
+
+def stored_by_day(src: Sources) -> Sources:
+    """``src`` with the daily fact stored by reporting day."""
+    return src.with_table(R.MARKET_SHARE, src[R.MARKET_SHARE + R.BY_DAY])
+
+
+def stored_bucketed(src: Sources) -> Sources:
+    """``src`` with positions and holdings stored bucketed by holding id."""
+    for name in BUCKETS:
+        src = src.with_table(name, src[name + R.BUCKETED])
+    return src

@@ -60,12 +60,21 @@ def test_small_dimensions_are_broadcast_by_file_size(spark, src):
     assert "BroadcastHashJoin" in plan
 
 
-def test_daily_fact_is_summed_before_any_join(spark, src):
-    """The raw rows meet a partial aggregate first, so at most the reduced rows are shuffled."""
-    plan = V.market_share_positions(src, analog(), None)._jdf.queryExecution().executedPlan().toString()
-    raw = plan[: plan.index("FileScan parquet [Dealer_Branch_ID")] if "FileScan parquet [Dealer_Branch_ID" in plan else plan
-    last = [x for x in re.findall(r"(HashAggregate|Exchange|BroadcastHashJoin|SortMergeJoin|FileScan)", raw)][-1]
-    assert last == "HashAggregate"
+def test_daily_fact_is_shuffled_once_and_reduced(spark, src):
+    """The raw rows meet their small dimensions and a partial aggregate before the only exchange of the fact."""
+    plan = executed(V.market_share_positions(src, analog(), None))
+    lines = plan[: plan.index("Initial Plan")].splitlines() if "Initial Plan" in plan else plan.splitlines()
+    scan = next(i for i, x in enumerate(lines) if re.search(r"FileScan parquet \[[^\]]*Industry_Asset_Amount#", x))
+    depth = re.search(r"[A-Z]", lines[scan]).start()
+    above = []  # the scan's ancestors, nearest first
+    for x in lines[:scan][::-1]:
+        found = re.search(r"[A-Z]", x)
+        if found and found.start() < depth:
+            above.append(x[found.start() :])
+            depth = found.start()
+    exchanges = [i for i, x in enumerate(above) if x.startswith("Exchange")]
+    assert len(exchanges) == 1
+    assert any("partial_sum" in x for x in above[: exchanges[0]]) and any(x.startswith("BroadcastHashJoin") for x in above[: exchanges[0]])
 
 
 def test_owner_fact_is_pre_aggregated_per_key(spark, src):
