@@ -174,12 +174,15 @@ def _sampled(docs: DataFrame, labels: DataFrame, how: Machine) -> DataFrame:
     return stored(rows.select("text", "n_chars", "shard", "y", "weight").mapInArrow(extract, "shard int, y int, weight double, feature array<int>, value array<double>"), "sample")
 
 
-def score(docs: DataFrame, labels: DataFrame, how: Machine = Machine()) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every row of ``docs``
-    (doc_id, text and, if there is one, n_chars); labels: (doc_id, quality)."""
-    spark = docs.sparkSession
+def _prepared(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, n_chars)"""
     given = F.col("n_chars").cast("bigint") if "n_chars" in docs.columns else F.lit(None).cast("bigint")
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", given.alias("n_chars"))
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", given.alias("n_chars"))
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, how: Machine):
+    """The parameters, broadcast (their size is fixed)."""
+    spark = docs.sparkSession
     sample = _sampled(docs, labels, how)
     theta = _start(how)
     for _ in range(how.rounds):
@@ -190,15 +193,39 @@ def score(docs: DataFrame, labels: DataFrame, how: Machine = Machine()) -> DataF
             break
         theta = sum(np.frombuffer(x["theta"], np.float32).reshape(theta.shape) * x["n"] for x in found) / sum(x["n"] for x in found)
         theta = theta.astype(np.float32)
-    model = spark.sparkContext.broadcast(theta)
+    return spark.sparkContext.broadcast(theta)
+
+
+def _scores(batch: pa.RecordBatch, theta: np.ndarray, how: Machine) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first row, end row, score of each row)."""
+    for first, end, row, feature, value in features(batch, how):
+        margin, _, _ = margins(row, feature, value, end - first, theta[-1, 0], theta[:, 0], theta[:, 1:])
+        yield first, end, 1 / (1 + np.exp(-np.clip(margin.astype(float), -30, 30)))
+
+
+def score(docs: DataFrame, labels: DataFrame, how: Machine = Machine()) -> DataFrame:
+    """(doc_id, held_out, score, predicted) for every row of ``docs``
+    (doc_id, text and, if there is one, n_chars); labels: (doc_id, quality)."""
+    docs = _prepared(docs)
+    model = _fitted(docs, labels, how)
 
     def scored(batches):
-        theta = model.value
         for batch in batches:
-            for first, end, row, feature, value in features(batch, how):
-                margin, _, _ = margins(row, feature, value, end - first, theta[-1, 0], theta[:, 0], theta[:, 1:])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(1 / (1 + np.exp(-np.clip(margin.astype(float), -30, 30))))], names=["doc_id", "score"])
+            for first, end, p in _scores(batch, model.value, how):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(p)], names=["doc_id", "score"])
 
     crc = crc_remainder(F.col("doc_id"), how.modulus)
     return (docs.mapInArrow(scored, "doc_id long, score double")
             .select("doc_id", (crc == how.held_out).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, least: float, how: Machine = Machine()) -> DataFrame:
+    """The rows of ``docs`` with a score of ``least`` or more, decided as they pass: no row needs an id."""
+    model = _fitted(_prepared(docs), labels, how)
+
+    def run(batches):
+        for batch in batches:
+            for first, end, p in _scores(batch, model.value, how):
+                yield batch.slice(first, end - first).filter(pa.array(p >= least))
+
+    return docs.mapInArrow(run, docs.schema)

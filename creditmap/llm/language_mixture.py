@@ -32,6 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -195,33 +196,54 @@ def _lettered(batch: pa.RecordBatch, row: int, end: int, data: np.ndarray, offse
     return found
 
 
+def _fitted(docs: DataFrame, how: Languages) -> tuple[list[str], Broadcast]:
+    """The languages in ``docs`` and the model of its training texts."""
+    train = docs.where((crc_remainder(F.col("doc_id"), how.modulus) != how.held_out) & F.col("lang").isNotNull()).select("text", "lang")
+    names = sorted(x[0] for x in train.select("lang").distinct().toLocalIterator())
+    return names, docs.sparkSession.sparkContext.broadcast(learned(train, names, how) if names else None)
+
+
+def _predicted(batch: pa.RecordBatch, names: list[str], counts: tuple[Counts, Counts] | None, how: Languages) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, end row, whether there is a letter, proportions, selected set)."""
+    for row, end, data, offsets in text_blocks(batch, "text"):
+        rows = end - row
+        grams, word, of = word_grams(data, offsets, how.order)
+        known = _lettered(batch, row, end, data, offsets) if names else np.zeros(rows, bool)
+        share, chosen = np.ones((rows, max(1, len(names)))), np.zeros((rows, max(1, len(names))), bool)
+        if names and len(of):
+            symbols = symbol_likelihoods(grams, counts, len(names))
+            words = np.add.reduceat(symbols, np.searchsorted(word, np.arange(len(of))), axis=0)
+            share, chosen = mixture(words, of, rows, how)
+        yield row, end, known, share, chosen
+
+
 def identify(docs: DataFrame, how: Languages = Languages()) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, langs: the selected set) for every row of ``docs`` (doc_id, text, lang)."""
-    spark = docs.sparkSession
-    crc = crc_remainder(F.col("doc_id"), how.modulus)
-    train = docs.where((crc != how.held_out) & F.col("lang").isNotNull()).select("text", "lang")
-    names = sorted(x[0] for x in train.select("lang").distinct().toLocalIterator())
-    model = spark.sparkContext.broadcast(learned(train, names, how) if names else None)
+    names, model = _fitted(docs, how)
 
     def predicted(batches) -> Iterator[pa.RecordBatch]:
-        counts = model.value
         for batch in batches:
-            for row, end, data, offsets in text_blocks(batch, "text"):
-                rows = end - row
-                grams, word, of = word_grams(data, offsets, how.order)
-                known = _lettered(batch, row, end, data, offsets) if names else np.zeros(rows, bool)
-                share, chosen = np.ones((rows, max(1, len(names)))), np.zeros((rows, max(1, len(names))), bool)
-                if names and len(of):
-                    symbols = symbol_likelihoods(grams, counts, len(names))
-                    words = np.add.reduceat(symbols, np.searchsorted(word, np.arange(len(of))), axis=0)
-                    share, chosen = mixture(words, of, rows, how)
+            for row, end, known, share, chosen in _predicted(batch, names, model.value, how):
                 best = share.argmax(1)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, rows), pa.array([names[b] if k else "und" for b, k in zip(best, known)], pa.string()),
-                     pa.array(np.where(known, share[np.arange(rows), best], 0.0)),
+                    [batch.column(0).slice(row, end - row), pa.array([names[b] if k else "und" for b, k in zip(best, known)], pa.string()),
+                     pa.array(np.where(known, share[np.arange(end - row), best], 0.0)),
                      pa.array([[names[c] for c in np.flatnonzero(x)] if k else [] for x, k in zip(chosen, known)], pa.list_(pa.string()))],
                     names=["doc_id", "lang_pred", "score", "langs"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    crc = crc_remainder(F.col("doc_id"), how.modulus)
     return (rows.mapInArrow(predicted, "doc_id long, lang_pred string, score double, langs array<string>")
             .select("doc_id", (crc == how.held_out).alias("held_out"), "lang_pred", "score", "langs"))
+
+
+def accepted(docs: DataFrame, least: float, how: Languages = Languages()) -> DataFrame:
+    """The rows of ``docs`` whose main language has a share of ``least`` or more, decided as they pass."""
+    names, model = _fitted(docs, how)
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, end, known, share, _ in _predicted(batch, names, model.value, how):
+                yield batch.slice(row, end - row).filter(pa.array(known & (share.max(1) >= least)))
+
+    return docs.mapInArrow(run, docs.schema)

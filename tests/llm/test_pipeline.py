@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from creditmap.llm import factorization_quality, language_mixture
@@ -54,6 +55,27 @@ def test_odd_rows_and_empty_tables(spark, documents):
         for name, stage in pipeline.STAGES[:-1]:
             out = stage(spark, docs, SF)
             assert out.columns == docs.columns, name
-            assert ids(out) <= {r[0] for r in rows} - {None}, name
+            assert ids(out) <= {r[0] for r in rows}, name
+        packed = pipeline.packing(spark, docs, SF).collect()
+        lengths = sorted(len(LIBRARY.encode(t or "", add_special_tokens=False).ids) + 1 for _, t, _ in rows)
+        assert sum(r.length for r in packed) == sum(lengths) and sum(r.piece == 0 for r in packed) == len(rows)
+
+
+def test_only_rows_that_link_go(spark, documents):
+    """Rows without doc_id, and different texts of one doc_id, are documents of their own."""
     left = pipeline.near_copies(spark, documents(ODD), SF).collect()
-    assert sorted(r.doc_id for r in left) == sorted({i for i, _, _ in ODD if i is not None})
+    assert sorted(map(str, ((r.doc_id, r.text) for r in left))) == sorted(map(str, {(i, t) for i, t, _ in ODD}))
+    same = "one text that several rows share word for word"
+    rows = [(None, same, "en"), (9, same, "en"), (9, same, "en"), (4, same + " or nearly", "de"), (7, "", "en"), (7, "", "en"), (None, "  ", "en"), (3, "short", "en"), (None, "short", "en")]
+    left = pipeline.near_copies(spark, documents(rows), SF).collect()
+    assert sorted(map(str, ((r.doc_id, r.text) for r in left))) == sorted(map(str, [(9, same), (4, same + " or nearly"), (7, ""), (7, ""), (None, "  "), (3, "short")]))
+
+
+def test_decisions_need_no_doc_id(spark):
+    """With every doc_id NULL the first two stages keep the rows that they keep by the scores."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    score = {r.doc_id: r.score for r in factorization_quality.score(docs, labels).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    bare = docs.withColumn("doc_id", F.lit(None).cast("bigint")).unionByName(docs)
+    left = sorted(str(r.text) for r in pipeline.quality(spark, bare, SF).where("doc_id IS NULL").collect())
+    assert left == sorted(str(texts[i]) for i, s in score.items() if s >= pipeline.LEAST_QUALITY)
