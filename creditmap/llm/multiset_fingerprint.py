@@ -8,7 +8,8 @@ A paragraph is a line with a non-blank character.  Its wide vector has
   with nothing), one bit of two 60-bit hashes, counted.
 
 A document's fingerprint is the sum of its paragraphs' vectors, entries modulo
-powers of two (three 20-bit entries share one 60-bit number).  It does not
+powers of two (two 30-bit entries share one 60-bit number: more than any text
+has pairs).  It does not
 depend on the order of paragraphs, equal multisets have equal fingerprints, and
 a paragraph is inserted or deleted by adding or subtracting its vector
 (``combine``).  The counted bits are a random projection of the word-pair
@@ -17,11 +18,12 @@ counts, so the cosine of two documents is read from two fingerprints
 
 Only DataFrame functions are used.  A document's text is shuffled once, to a
 block of neighbouring ids; the next document is found inside the block, or is
-the first of the next block that has rows.  NULL text is empty and has the zero
-fingerprint; two empty texts have likeness 1, an empty and another 0.  Rows
-with one doc_id follow one another by text; NULL ids come first; an empty table
-gives no rows; other columns are ignored.  Texts of over a million word pairs
-keep exact equality and sums, their likeness gets less certain.
+the first of the next block that has rows.  Blocks are put in order by a range
+partitioning, of which only the edges meet in one task.  A block of very many
+rows (NULL or repeated ids) is split by id and by the first bytes of the texts.
+NULL text is empty and has the zero fingerprint; two empty texts have likeness 1,
+an empty and another 0.  Rows with one doc_id follow one another by text; NULL
+ids come first; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,13 +31,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from creditmap.llm.common import stored
+
 EXACT = 3
 _HEAD = 2 + EXACT
-_LANES = 20
-_MASK = 1 | 1 << 20 | 1 << 40
+_LANES = 30
+_MASK = 1 | 1 << 30
 #: Moduli of the entries as powers of two: counters, exact entries, packed small entries.
 _BITS = [40] * _HEAD + [60] * (2 * _LANES)
 _SHIFT = 10  # ids of a block: 2 ** 10
+LARGE = 1 << 14  # rows from which a block is split
 
 
 def _word_pairs(paragraph: Column) -> Column:
@@ -46,11 +51,14 @@ def _word_pairs(paragraph: Column) -> Column:
 def fingerprints(texts: DataFrame, keys: list[str]) -> DataFrame:
     """``keys`` and ``f``: array<long>, for each row (keys, text) with a
     paragraph; the keys identify a row.  Partial sums meet by the keys."""
+    exact = [F.xxhash64(F.lit(k), F.col("p")).bitwiseAND(F.lit((1 << 40) - 1)).alias(f"x{k}") for k in range(EXACT)]
     paragraphs = (texts.select(*keys, F.explode(F.split("text", "\n")).alias("p")).where(F.col("p").rlike(r"\S"))
-                  .select(*keys, F.posexplode(_word_pairs(F.col("p"))).alias("place", "h"), "p"))
-    first = F.when(F.col("place") == 0, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-    exact = [F.when(F.col("place") == 0, F.xxhash64(F.lit(k), F.col("p")).bitwiseAND(F.lit((1 << 40) - 1))).otherwise(F.lit(0).cast("bigint")) for k in range(EXACT)]
-    hashed = paragraphs.select(*keys, first.alias("c0"), *(e.alias(f"c{1 + k}") for k, e in enumerate(exact)), F.lit(1).cast("bigint").alias(f"c{1 + EXACT}"), "h", F.xxhash64("h").alias("g"))
+                  .select(*keys, *exact, _word_pairs(F.col("p")).alias("pairs"))  # what a pair carries does not grow with its paragraph
+                  .select(*keys, *(f"x{k}" for k in range(EXACT)), F.posexplode("pairs").alias("place", "h")))
+    first = F.col("place") == 0
+    hashed = paragraphs.select(*keys, F.when(first, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint")).alias("c0"),
+                               *(F.when(first, F.col(f"x{k}")).otherwise(F.lit(0).cast("bigint")).alias(f"c{1 + k}") for k in range(EXACT)),
+                               F.lit(1).cast("bigint").alias(f"c{1 + EXACT}"), "h", F.xxhash64("h").alias("g"))
     bits = [F.sum(F.shiftright(h, i).bitwiseAND(F.lit(_MASK))) for h in ("h", "g") for i in range(_LANES)]
     sums = [F.sum(f"c{k}") for k in (0, 1 + EXACT, *range(1, 1 + EXACT))] + bits
     found = hashed.groupBy(*keys).agg(*(s.alias(f"s{k}") for k, s in enumerate(sums)))
@@ -74,9 +82,9 @@ def as_text(f: Column) -> Column:
 def _projection(f: Column) -> Column:
     """The signed entries: twice the count of set bits less the pairs counted."""
     def field(x: Column, k: int) -> Column:
-        return (2 * F.shiftright(x, 20 * k).bitwiseAND(F.lit((1 << 20) - 1)) - F.element_at(f, 2)).cast("double")
+        return (2 * F.shiftright(x, 30 * k).bitwiseAND(F.lit((1 << 30) - 1)) - F.element_at(f, 2)).cast("double")
 
-    return F.flatten(F.transform(F.slice(f, 1 + _HEAD, 2 * _LANES), lambda x: F.array(*(field(x, k) for k in range(3)))))
+    return F.flatten(F.transform(F.slice(f, 1 + _HEAD, 2 * _LANES), lambda x: F.array(*(field(x, k) for k in range(2)))))
 
 
 def _dot(x: Column, y: Column) -> Column:
@@ -92,25 +100,33 @@ def likeness(fx: Column, fy: Column) -> Column:
 
 
 def _following(blocks: DataFrame) -> DataFrame:
-    """(block, next_block) in ascending order, the last followed by the first;
-    found within spans of blocks, then over the spans."""
-    spans = blocks.groupBy(F.shiftright("block", _SHIFT).alias("span")).agg(F.min("block").alias("first"))
-    over = Window.orderBy("span")
-    spans = spans.select("span", F.coalesce(F.lead("first").over(over), F.min("first").over(over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("after"))
-    within = Window.partitionBy("span").orderBy("block")
-    return (blocks.withColumn("span", F.shiftright("block", _SHIFT)).withColumn("lead", F.lead("block").over(within))
-            .join(spans, "span").select("block", F.coalesce("lead", "after").alias("next_block")))
+    """(block, next_block) in ascending order, the last followed by the first: found within
+    ranges of blocks; one task sees the first block of each range, no more."""
+    parts = max(1, int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = stored(blocks.repartitionByRange(parts, "block").withColumn("part", F.spark_partition_id()), "blocks")
+    over = Window.orderBy("part")
+    edges = ranged.groupBy("part").agg(F.min("block").alias("first"))  # at most ``parts`` rows
+    edges = edges.select("part", F.coalesce(F.lead("first").over(over), F.min("first").over(over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("after"))
+    within = Window.partitionBy("part").orderBy("block")
+    return (ranged.withColumn("lead", F.lead("block").over(within)).join(F.broadcast(edges), "part")
+            .select("block", F.coalesce("lead", "after").alias("next_block")))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
     """(block, at, doc_id, text, next, last): the rows by ascending doc_id in
     blocks, with the next row's text; ``last``: it is in another block."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("block", F.coalesce(F.shiftright("doc_id", _SHIFT), F.lit(-(1 << 54))))
+    wide = F.coalesce(F.shiftright("doc_id", _SHIFT), F.lit(-(1 << 54)))
+    large = stored(rows.select(wide.alias("wide")).groupBy("wide").count().where(F.col("count") > LARGE).select(F.col("wide").alias("large")), "large")
+    rows = rows.withColumn("wide", wide).join(large, F.col("wide") == F.col("large"), "left")  # rows / LARGE at most, none as a rule
+    start = F.conv(F.hex(F.substring(F.concat(F.col("text").cast("binary"), F.lit(b"\0\0\0")), 1, 3)), 16, 10).cast("bigint")
+    place = F.coalesce(F.col("doc_id").bitwiseAND(F.lit((1 << _SHIFT) - 1)), F.lit(0).cast("bigint"))
+    inner = F.when(F.col("large").isNotNull(), F.shiftleft(place, 24) + start).otherwise(F.lit(-1).cast("bigint"))
+    rows = rows.select(F.struct("wide", inner.alias("inner")).alias("block"), "doc_id", "text")
     order = Window.partitionBy("block").orderBy("doc_id", "text")
     rows = rows.withColumn("at", F.row_number().over(order)).withColumn("next", F.lead("text").over(order))
     firsts = rows.where("at = 1").select(F.col("block").alias("next_block"), F.col("text").alias("beyond"))
-    beyond = _following(docs.select(F.coalesce(F.shiftright(F.col("doc_id").cast("bigint"), _SHIFT), F.lit(-(1 << 54))).alias("block")).distinct()).join(firsts, "next_block").select("block", "beyond")
+    beyond = _following(rows.select("block").distinct()).join(firsts, "next_block").select("block", "beyond")
     return (rows.join(beyond, "block")
             .select("block", "at", "doc_id", "text", F.coalesce("next", "beyond").alias("next"), F.col("next").isNull().alias("last")))
 

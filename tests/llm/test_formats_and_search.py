@@ -115,6 +115,61 @@ def test_edited_texts_follow_the_next_document(spark, documents):
     assert prints.edited_fingerprints(documents(ODD)).count() == len(ODD)
 
 
+def test_hashed_ids_and_split_blocks(spark, documents, monkeypatch):
+    """Ids far apart, and blocks of very many rows (NULL and repeated ids) that are split."""
+    monkeypatch.setattr(prints, "LARGE", 2)
+    rng = random.Random(5)
+    some = lambda: "".join(rng.choice("abé 🙂\n") for _ in range(rng.randint(0, 12)))
+    rows = [(rng.randrange(-(2**62), 2**62), some(), "en") for _ in range(60)] + [(None, some(), "en") for _ in range(40)]
+    rows += [(i, some(), "en") for i in (5, 6, 6, 6, 7, 1030) for _ in range(6)]
+    got = sorted((r.n_chars, r.edited_sha256, str(r.doc_id)) for r in prints.edited_fingerprints(documents(rows).repartition(4)).collect())
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    expected = []
+    for k, (i, text, _) in enumerate(order):
+        after = order[(k + 1) % len(order)][1]
+        expected.append((len(text), sha256((text[: len(text) - len(text) // 2] + after[: len(text) // 2]).encode()).hexdigest(), str(i)))
+    assert got == sorted(expected)
+
+
+def likenesses(spark, pairs):
+    found = fingerprint(spark, *(t for pair in pairs for t in pair))
+    rows = spark.createDataFrame([(k, list(found[2 * k]), list(found[2 * k + 1])) for k in range(len(pairs))], "k int, x array<long>, y array<long>")
+    return [r[0] for r in rows.orderBy("k").select(prints.likeness(F.col("x"), F.col("y"))).collect()]
+
+
+def test_likeness_is_near_the_cosine_of_word_pairs(spark):
+    from collections import Counter
+
+    rng = random.Random(2)
+    word = lambda: rng.choice("abcdefghijklmnopqrst") + rng.choice("abcde")
+    pairs = []
+    for share in (0.0, 0.2, 0.4, 0.6, 0.8, 0.95) * 5:
+        x = [[word() for _ in range(8)] for _ in range(40)]
+        y = [line if rng.random() < share else [word() for _ in range(8)] for line in x]
+        pairs.append(tuple("\n".join(map(" ".join, z)) for z in (x, y)))
+
+    def cosine(x, y):
+        a, b = (Counter(p for line in t.split("\n") for w in [line.split()] for p in zip(w, [*w[1:], None])) for t in (x, y))
+        return sum(n * b[p] for p, n in a.items()) / (sum(n * n for n in a.values()) * sum(n * n for n in b.values())) ** 0.5
+
+    errors = [got - cosine(x, y) for got, (x, y) in zip(likenesses(spark, pairs), pairs)]
+    assert max(map(abs, errors)) < 0.35 and np.mean(np.abs(errors)) < 0.1
+
+
+def test_counters_of_very_long_texts_do_not_wrap(spark):
+    few, many = "a b\n" * 1000, "a b\n" * ((1 << 21) + 3)
+    assert likenesses(spark, [(few, many)])[0] > 0.999
+    assert abs(likenesses(spark, [(few + "c d\n" * 1000, many)])[0] - 0.7) < 0.25  # cosine 1 / sqrt(2)
+
+
+def test_one_line_of_a_million_words(spark):
+    """What a pair carries does not grow with its paragraph."""
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(50_000)}" for _ in range(1_000_000)]
+    x, y = " ".join(words), " ".join(words[:-1])
+    assert likenesses(spark, [(x, y)])[0] > 0.99
+
+
 VECTORS = "vec_id long, embedding array<float>, label int, code string, query long"
 
 
