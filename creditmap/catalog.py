@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from .functions import predicates as P
 from .functions.keys import (
     branch_key, client_key, dealer_rep_key, dealer_type, master_dealer_rep_key, month_end, same_text, vendor_key,
 )
+from .operators.distinct_counts import counted, distinct_state, merged
 from .operators.output import accumulate, append_days, conform, read_days
 from .operators.owners import rank_owner, waterfall_step
 from .operators.runtime_filter import keep_possible
@@ -239,6 +241,16 @@ def _q_rank_client_policy(src, cfg):
     return _ranked(OW.client_candidates(src, cfg, True, True), OW.CLIENT_ORDER)
 
 
+@register("distinct_parties_merged")
+def _q_distinct_parties(src, cfg):
+    """Parties per branch and territory from the merged states of three parts of the advisor chain."""
+    keys = [OW.OWNER_KEY, OW.OWNER_TERRITORY]
+    chain = OW.advisor_chain(src, cfg, False, False).withColumnRenamed("Territory_External_ID", OW.OWNER_TERRITORY)
+    part = F.pmod("Associated_Codes_ID", F.lit(3))
+    states = reduce(DataFrame.unionByName, (distinct_state(chain.where(part == k), keys, "src_Party_ID") for k in range(3)))
+    return counted(merged(states, keys), keys, "Parties")
+
+
 def _daily_positions_all_days(src, cfg):
     return V.branch_positions_daily(V.market_share_positions(src, cfg, None, (V.MS_BRANCH,)))
 

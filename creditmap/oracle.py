@@ -460,6 +460,7 @@ def build(cfg: AttributionConfig | None = None) -> dict[str, str]:
     for name, dashed in (("rank_owner_client", False), ("rank_owner_client_policy", True)):
         add(name, f"""SELECT branch AS "BR", terr AS "Territory", {_money('assets', '"Assets"')}, place AS rn
             FROM ({v.ranked(v.clients(dashed, dashed), False)}) r""", terr)
+    add("distinct_parties_merged", f"""SELECT branch AS "BR", terr AS "Territory", parties AS "Parties" FROM ({v.ranked(v.advisors(False, False), True)}) r""", terr)
     day = f"""Reporting_Date, Firm_Name, office_key AS "aBR", kind AS Dealer_Type, code AS MLI_Dealer_Code, Rank_Group AS "PeerGroup",
         Office_Type, cd AS Dealer_Branch_CD, override AS MLI_Territory_Name, {sums}"""
     owned = "office_day LEFT JOIN advisor_owner ON branch = office_key"

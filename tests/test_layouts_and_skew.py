@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from creditmap import catalog
 from creditmap.config import testdata_config as analog
+from creditmap.operators.distinct_counts import counted, distinct_state, merged
 from creditmap.operators.intervals import effective_dated_left, interval_index, overlap_join
 from creditmap.operators.output import append_days, read_days
 from creditmap.operators.owners import argmax_owner, top_owner
@@ -235,3 +236,17 @@ def test_days_run_again_or_late_give_the_whole_build(spark, src):
     assert rows(read_days(spark, path, whole)) == rows(whole.distinct())
     append_days(frame(spark, "Reporting_Date timestamp_ntz, x int", [(day(1), 7)]), path)  # corrected
     assert rows(read_days(spark, path, whole), "x") == [(3,), (4,), (7,), (9,)]
+
+
+def test_merged_states_count_like_count_distinct(spark, src):
+    rng = random.Random(4)
+    data = [(rng.choice(["a", "b", None]), rng.choice([None, rng.randint(-5, 40), rng.randint(0, 200_000)]), k) for k in range(3000)]
+    x = frame(spark, "g string, party long, day int", data)
+    days = [distinct_state(x.where(f"day % 4 = {k}"), ["g"], "party") for k in (0, 1, 2, 3, 3)]  # one day comes twice
+    path = scratch_path(src, "states")
+    for k, state in enumerate(days):
+        state.write.parquet(f"{path}/{k}")
+    stored = spark.read.option("recursiveFileLookup", "true").parquet(path)
+    got = counted(merged(merged(stored, ["g"]), ["g"]), ["g"], "n")
+    assert rows(got, "g", "n") == rows(x.groupBy("g").agg(F.countDistinct("party").alias("n")), "g", "n")
+    assert "Expand" not in plan_of(got)
