@@ -49,13 +49,19 @@ def _is(route: str) -> Column:
     return F.col(ROUTE) == F.lit(route)
 
 
-def _branch_dims(src: Sources, dealer_how: str) -> DataFrame:
-    branch = src[R.DEALER_BRANCH].select(
-        "Dealer_Branch_ID", "Office_ID", "Dealer_Branch_CD", "Office_Type", "Office_Postal_CD"
-    )
+def _with_firm(rows: DataFrame, src: Sources, dealer_how: str) -> DataFrame:
+    """``rows`` of branches with their firm and dealer; each join is with a stored table, whose size Spark knows."""
     firm = src[R.FIRM].select(F.col("Firm_ID").alias("Office_ID"), "Firm_ID", "Firm_Name")
     dealer = src[R.REF_DEALER].select(F.col("ETF_Dealer_Code").alias("Firm_ID"), "MLI_Dealer_Code")
-    return branch.join(firm, "Office_ID").join(dealer, "Firm_ID", dealer_how)
+    return rows.join(firm, "Office_ID").join(dealer, "Firm_ID", dealer_how)
+
+
+def _branches(src: Sources) -> DataFrame:
+    return src[R.DEALER_BRANCH].select("Dealer_Branch_ID", "Office_ID", "Dealer_Branch_CD", "Office_Type", "Office_Postal_CD")
+
+
+def _branch_dims(src: Sources, dealer_how: str) -> DataFrame:
+    return _with_firm(_branches(src), src, dealer_how)
 
 
 def with_overrides(rows: DataFrame, src: Sources, at: str, only_when: Column | None = None) -> DataFrame:
@@ -128,8 +134,7 @@ def holdings_dims(src: Sources, cfg: AttributionConfig) -> DataFrame:
     hold = src[R.HOLDINGS].select("Holdings_ID", "Account_ID", "Dealer_Branch_ID", "Product_ID")
     acct = src[R.ACCOUNT].select("Account_ID", "Account_Postal_CD", "Account_Type_TA_CD")
     prod = src[R.ETF_PRODUCT].select("Product_ID", "Product_CUSIP")
-    branch = _branch_dims(src, "left")
-    dims = hold.join(acct, "Account_ID").join(branch, "Dealer_Branch_ID").join(prod, "Product_ID")
+    dims = _with_firm(hold.join(acct, "Account_ID").join(prod, "Product_ID").join(_branches(src), "Dealer_Branch_ID"), src, "left")
     return dims.select(
         "Holdings_ID", "Firm_ID", "Firm_Name", "MLI_Dealer_Code", "Office_Postal_CD", "Account_Postal_CD",
         "Office_Type", "Dealer_Branch_CD", "Account_Type_TA_CD", "Product_CUSIP",
