@@ -23,12 +23,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see: spark.checkpoint.dir of the session.
 
-    Only where neither the setting nor a checkpoint folder exists (tests) a
-    temporary folder is set."""
+    Where neither the setting nor a checkpoint folder exists, a local session
+    (tests) gets a temporary folder; on a cluster no folder of one machine would
+    do, and this raises."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         context = spark.sparkContext
         if not context.getCheckpointDir():
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="creditmap-llm-"))
         base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/creditmap-llm"
