@@ -58,6 +58,20 @@ def test_queries_match_sql(spark, name):
     assert sorted(str(tuple(r[c] for c in columns)) for r in df.collect()) == expected
 
 
+@pytest.mark.parametrize("rows", [[], [
+    (1, 0, "user", "</s>[INST] <|end|> <\\ " * 60_000), (1, 1, "assistant", "é🙂<" * 100_000), (2, 0, "user", "twice"), (2, 0, "user", "twice"),
+    (2, 1, "assistant", "ok"), (2, 1, "assistant", "ok"), (2, 2, None, None), (None, 3, "assistant", ""), (3, 0, "assistant", None)]])
+def test_chat_query_on_long_repeated_and_no_rows(spark, rows, tmp_path):
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    name = "op5_chat_format"
+    found = con.execute(queries.ORACLE_SQL[name])
+    columns = [c[0] for c in found.description]
+    expected = sorted(map(str, found.fetchall()))
+    assert sorted(str(tuple(r[c] for c in columns)) for r in queries.QUERIES[name](spark, str(tmp_path)).collect()) == expected
+
+
 def test_histogram_against_brute_force(spark, documents):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoding = lengths._encoding(path, public_tokenizers.PATTERN)
