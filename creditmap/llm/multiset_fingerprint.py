@@ -99,21 +99,26 @@ def likeness(fx: Column, fy: Column) -> Column:
             .otherwise(F.least(F.greatest(cosine, F.lit(0.0)), F.lit(1.0))))
 
 
+#: A block of rows: ids by their upper bits and, in large blocks only, a part of it.
+BLOCK = ["block", "inner"]
+
+
 def _following(blocks: DataFrame) -> DataFrame:
-    """(block, next_block) in ascending order, the last followed by the first: found within
-    ranges of blocks; one task sees the first block of each range, no more."""
+    """(BLOCK, next_block, next_inner) in ascending order, the last followed by the first: found
+    within ranges of blocks; one task sees the first block of each range, no more."""
     parts = max(1, int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = stored(blocks.repartitionByRange(parts, "block").withColumn("part", F.spark_partition_id()), "blocks")
+    ranged = stored(blocks.repartitionByRange(parts, *BLOCK).withColumn("part", F.spark_partition_id()), "blocks")
     over = Window.orderBy("part")
-    edges = ranged.groupBy("part").agg(F.min("block").alias("first"))  # at most ``parts`` rows
+    pair = F.struct(*BLOCK)
+    edges = ranged.groupBy("part").agg(F.min(pair).alias("first"))  # at most ``parts`` rows
     edges = edges.select("part", F.coalesce(F.lead("first").over(over), F.min("first").over(over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("after"))
-    within = Window.partitionBy("part").orderBy("block")
-    return (ranged.withColumn("lead", F.lead("block").over(within)).join(F.broadcast(edges), "part")
-            .select("block", F.coalesce("lead", "after").alias("next_block")))
+    within = Window.partitionBy("part").orderBy(*BLOCK)
+    found = ranged.withColumn("lead", F.lead(pair).over(within)).join(F.broadcast(edges), "part").select(*BLOCK, F.coalesce("lead", "after").alias("n"))
+    return found.select(*BLOCK, F.col("n.block").alias("next_block"), F.col("n.inner").alias("next_inner"))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """(block, at, doc_id, text, next, last): the rows by ascending doc_id in
+    """(BLOCK, at, doc_id, text, next, last): the rows by ascending doc_id in
     blocks, with the next row's text; ``last``: it is in another block."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     wide = F.coalesce(F.shiftright("doc_id", _SHIFT), F.lit(-(1 << 54)))
@@ -122,13 +127,13 @@ def with_next(docs: DataFrame) -> DataFrame:
     start = F.conv(F.hex(F.substring(F.concat(F.col("text").cast("binary"), F.lit(b"\0\0\0")), 1, 3)), 16, 10).cast("bigint")
     place = F.coalesce(F.col("doc_id").bitwiseAND(F.lit((1 << _SHIFT) - 1)), F.lit(0).cast("bigint"))
     inner = F.when(F.col("large").isNotNull(), F.shiftleft(place, 24) + start).otherwise(F.lit(-1).cast("bigint"))
-    rows = rows.select(F.struct("wide", inner.alias("inner")).alias("block"), "doc_id", "text")
-    order = Window.partitionBy("block").orderBy("doc_id", "text")
+    rows = rows.select(F.col("wide").alias("block"), inner.alias("inner"), "doc_id", "text")
+    order = Window.partitionBy(*BLOCK).orderBy("doc_id", "text")
     rows = rows.withColumn("at", F.row_number().over(order)).withColumn("next", F.lead("text").over(order))
-    firsts = rows.where("at = 1").select(F.col("block").alias("next_block"), F.col("text").alias("beyond"))
-    beyond = _following(rows.select("block").distinct()).join(firsts, "next_block").select("block", "beyond")
-    return (rows.join(beyond, "block")
-            .select("block", "at", "doc_id", "text", F.coalesce("next", "beyond").alias("next"), F.col("next").isNull().alias("last")))
+    firsts = rows.where("at = 1").select(F.col("block").alias("next_block"), F.col("inner").alias("next_inner"), F.col("text").alias("beyond"))
+    beyond = _following(rows.select(*BLOCK).distinct()).join(firsts, ["next_block", "next_inner"]).select(*BLOCK, "beyond")
+    return (rows.join(beyond, BLOCK)
+            .select(*BLOCK, "at", "doc_id", "text", F.coalesce("next", "beyond").alias("next"), F.col("next").isNull().alias("last")))
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
@@ -137,15 +142,15 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     replaced by as much of the next document's beginning."""
     n = F.length("text")
     rows = with_next(docs).withColumn("edited", F.concat(F.expr("substring(text, 1, length(text) - length(text) div 2)"), F.expr("substring(next, 1, cast(length(text) div 2 as int))")))
-    variants = rows.select("block", "at", F.explode(F.filter(F.array(
+    variants = rows.select(*BLOCK, "at", F.explode(F.filter(F.array(
         F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")),
         F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")),
         F.struct(F.when(F.col("last"), F.lit(2)).alias("kind"), F.when(F.col("last"), F.col("next")).alias("text"))), lambda v: v["kind"].isNotNull())).alias("v"))
-    found = fingerprints(variants.select("block", "at", F.col("v.kind").alias("kind"), F.col("v.text").alias("text")), ["block", "at", "kind"])
-    by_kind = found.groupBy("block", "at").agg(*(F.max(F.when(F.col("kind") == k, F.col("f"))).alias(f"f{k}") for k in range(3)))
-    facts = rows.select("block", "at", "doc_id", n.cast("bigint").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "last")
-    order = Window.partitionBy("block").orderBy("at")
-    every = (facts.join(by_kind, ["block", "at"], "left")
+    found = fingerprints(variants.select(*BLOCK, "at", F.col("v.kind").alias("kind"), F.col("v.text").alias("text")), [*BLOCK, "at", "kind"])
+    by_kind = found.groupBy(*BLOCK, "at").agg(*(F.max(F.when(F.col("kind") == k, F.col("f"))).alias(f"f{k}") for k in range(3)))
+    facts = rows.select(*BLOCK, "at", "doc_id", n.cast("bigint").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "last")
+    order = Window.partitionBy(*BLOCK).orderBy("at")
+    every = (facts.join(by_kind, [*BLOCK, "at"], "left")
              .withColumns({f"f{k}": F.coalesce(f"f{k}", zero()) for k in range(3)})
              .withColumn("fn", F.when(F.col("last"), F.col("f2")).otherwise(F.lead("f0").over(order))))
     return every.select(
