@@ -304,7 +304,7 @@ def _q_vendor_correlated(src, cfg):
 
 
 def _monthly(src, cfg, route):
-    return V.branch_positions_monthly(V.sales_positions(src, cfg), route).select(
+    return V.branch_positions_monthly(V.sales_positions(src, cfg, (route,)), route).select(
         "Asset_Position_Reporting_Date", "Firm_Name", "aBR", "cBR", "Dealer_Type", "CUSIP", "Office_Type",
         "Dealer_Branch_CD", "Account_Type", "MLI_Territory_Name",
         d6("Asset_Position_Shares").alias("Asset_Position_Shares"),
@@ -330,7 +330,7 @@ def _q_rep_daily(src, cfg):
 
 @register("dealer_rep_positions_monthly")
 def _q_rep_monthly(src, cfg):
-    return V.rep_positions_monthly(V.sales_positions(src, cfg)).select(
+    return V.rep_positions_monthly(V.sales_positions(src, cfg, (V.SA_REP,))).select(
         "Firm_Name", "Dealer_Type", "aBR", "Office_Type", "Reporting_Date", "cBR", "Account_Type", "CUSIP",
         d6("Asset_Position_Shares").alias("Asset_Position_Shares"),
         d2("Asset_Position_Net_New_Assets").alias("Asset_Position_Net_New_Assets"),

@@ -129,29 +129,36 @@ def rep_positions_daily(positions: DataFrame) -> DataFrame:
 # Script B: sales and assets, month end
 # ---------------------------------------------------------------------------
 
-def holdings_dims(src: Sources, cfg: AttributionConfig) -> DataFrame:
-    """Holding id -> account, branch, firm, dealer, product and stage routes."""
+SA_ROUTES = (SA_ACTUAL, SA_CORRELATED, SA_REP)
+
+
+def holdings_dims(src: Sources, cfg: AttributionConfig, routes: tuple[str, ...] = SA_ROUTES) -> DataFrame:
+    """Holding id -> account, branch, firm, dealer, product and stage routes.
+
+    Holdings meet their branch first: those that no stage of ``routes`` wants are gone before any shuffle."""
+    wanted = {
+        SA_ACTUAL: P.actual_branches("Office_Type", "Dealer_Branch_CD", "MLI_Dealer_Code", cfg),
+        SA_CORRELATED: P.correlated_branches("Office_Type", "Dealer_Branch_CD", "MLI_Dealer_Code", cfg),
+        SA_REP: P.rep_level_monthly("Dealer_Branch_CD", "MLI_Dealer_Code", cfg),
+    }
     hold = src[R.HOLDINGS].select("Holdings_ID", "Account_ID", "Dealer_Branch_ID", "Product_ID")
     acct = src[R.ACCOUNT].select("Account_ID", "Account_Postal_CD", "Account_Type_TA_CD")
     prod = src[R.ETF_PRODUCT].select("Product_ID", "Product_CUSIP")
-    dims = _with_firm(hold.join(acct, "Account_ID").join(prod, "Product_ID").join(_branches(src), "Dealer_Branch_ID"), src, "left")
+    held = _with_firm(hold.join(_branches(src), "Dealer_Branch_ID"), src, "left").withColumn("__routes", _routes([(r, wanted[r]) for r in routes]))
+    dims = held.where(F.size("__routes") > 0).join(acct, "Account_ID").join(prod, "Product_ID")
     return dims.select(
         "Holdings_ID", "Firm_ID", "Firm_Name", "MLI_Dealer_Code", "Office_Postal_CD", "Account_Postal_CD",
         "Office_Type", "Dealer_Branch_CD", "Account_Type_TA_CD", "Product_CUSIP",
-        F.explode(_routes([
-            (SA_ACTUAL, P.actual_branches("Office_Type", "Dealer_Branch_CD", "MLI_Dealer_Code", cfg)),
-            (SA_CORRELATED, P.correlated_branches("Office_Type", "Dealer_Branch_CD", "MLI_Dealer_Code", cfg)),
-            (SA_REP, P.rep_level_monthly("Dealer_Branch_CD", "MLI_Dealer_Code", cfg)),
-        ])).alias(ROUTE),
+        F.explode("__routes").alias(ROUTE),
     )
 
 
-def sales_positions(src: Sources, cfg: AttributionConfig) -> DataFrame:
-    return src.memo(("sales_positions", cfg), lambda: _sales_positions(src, cfg))
+def sales_positions(src: Sources, cfg: AttributionConfig, routes: tuple[str, ...] = SA_ROUTES) -> DataFrame:
+    return src.memo(("sales_positions", routes, cfg), lambda: _sales_positions(src, cfg, routes))
 
 
-def _sales_positions(src: Sources, cfg: AttributionConfig) -> DataFrame:
-    """Asset positions aggregated once for stages 1-3, at month end.
+def _sales_positions(src: Sources, cfg: AttributionConfig, routes: tuple[str, ...]) -> DataFrame:
+    """Asset positions aggregated once for the stages that want ``routes``, at month end.
 
     Group keys per route (B:134-144 for ``actual``/``correlated``, B:329-337
     for ``rep``): month end, Firm_Name, aBR (office key / dealer-rep key),
@@ -163,7 +170,7 @@ def _sales_positions(src: Sources, cfg: AttributionConfig) -> DataFrame:
         "Asset_Position_Shares", "Asset_Position_Net_New_Assets", "Asset_Position_Balance",
     )
     rep = _is(SA_REP)
-    rows = with_overrides(fact.join(holdings_dims(src, cfg), "Holdings_ID"), src, "Asset_Position_Reporting_Date", ~rep)
+    rows = with_overrides(fact.join(holdings_dims(src, cfg, routes), "Holdings_ID"), src, "Asset_Position_Reporting_Date", ~rep)
     return rows.groupBy(
         ROUTE, month_end("Asset_Position_Reporting_Date").alias("Reporting_Date"), "Firm_Name",
         same_text(F.when(rep, dealer_rep_key("MLI_Dealer_Code", "Dealer_Branch_CD", cfg.strict_right))
