@@ -8,6 +8,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,17 @@ def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
 
+#: File bytes of all tables that one bucket is to hold, and the bounds of the number of buckets.
+BUCKET_BYTES, FEWEST_BUCKETS, MOST_BUCKETS = 16 << 20, 8, 1 << 14
+
+
+def buckets_for(tables: Iterable[DataFrame], each: int = BUCKET_BYTES) -> int:
+    """Number of buckets for stored ``tables`` that are joined bucket by bucket: a power of two that grows
+    with their files, so that a task's rows do not."""
+    held = sum(int(str(t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for t in tables)
+    return min(MOST_BUCKETS, max(FEWEST_BUCKETS, 1 << (max(1, held // each) - 1).bit_length()))
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
     """Write ``df`` as a table of ``buckets`` buckets by ``key``, each sorted; two tables with the same number
     join on their keys without an exchange.  Rows are dealt by bucket first, so a bucket is one file."""

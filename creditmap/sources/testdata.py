@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import date_id
 from . import registry as R
-from .layouts import read_by_day, write_bucketed, write_by_day
+from .layouts import buckets_for, read_by_day, write_bucketed, write_by_day
 from .registry import Sources
 
 DRIVER_TABLES = ("nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -323,8 +323,9 @@ def _by_day(src: Sources) -> DataFrame:
     return read_by_day(src.spark, path, fact)
 
 
-def _bucketed(src: Sources, name: str, key: str, buckets: int = 8) -> DataFrame:
+def _bucketed(src: Sources, name: str, key: str) -> DataFrame:
     path = scratch_path(src, f"bucketed-{name}")
+    buckets = buckets_for(src[n] for n in BUCKETS)
     return write_bucketed(src[name], path.rsplit("/", 1)[1].replace("-", "_"), path, key, buckets)
 
 
